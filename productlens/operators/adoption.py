@@ -12,15 +12,15 @@ The five per-user event scans of the SQL formulation (first activity after
 rollout start, first exposure, first view, first use, use count) are one
 conditional ``groupBy(user_id)`` over ``fct_events``; all its aggregates are
 partially aggregated map-side, so a heavy user costs one combined row per
-map task. The feature row is bounded to one row by its primary key and is
-joined by broadcast on the feature name.
+map task. The feature row is bounded to one row by its primary key; its
+rollout bounds enter as scalar subqueries (computed once, no join).
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from productlens import config
@@ -37,7 +37,7 @@ def feature_window(features: DataFrame, feature: str = config.FEATURE,
                     end.alias("rollout_end_at")))
 
 
-def user_feature_activity(events: DataFrame, window: DataFrame, feature: str = config.FEATURE) -> DataFrame:
+def user_feature_activity(events: DataFrame, rollout_start: Column, feature: str = config.FEATURE) -> DataFrame:
     """A3, A6, A7 in one pass: per-user first activity after rollout start,
     first exposure / view / use of the feature, and number of use events."""
     ts = F.col("event_time_final")
@@ -46,11 +46,8 @@ def user_feature_activity(events: DataFrame, window: DataFrame, feature: str = c
     def first(name: str):
         return F.min(F.when(is_feature & (F.col("event_name") == name), ts))
 
-    ev = events.select("user_id", "event_time_final", "event_name", "feature_name",
-                       F.lit(feature).alias("_feature"))
-    ev = ev.join(F.broadcast(window.select("_feature", "rollout_start_at")), "_feature")
-    return ev.groupBy("user_id").agg(
-        F.min(F.when(ts >= F.col("rollout_start_at"), ts)).alias("first_activity_after_launch"),
+    return events.groupBy("user_id").agg(
+        F.min(F.when(ts >= rollout_start, ts)).alias("first_activity_after_launch"),
         first(config.EXPOSED).alias("first_exposure_at"),
         first(config.VIEWED).alias("first_view_at"),
         first(config.USED).alias("first_used_at"),
@@ -92,11 +89,16 @@ def feature_adoption(cohorts: DataFrame, features: DataFrame, events: DataFrame,
                      initial_share: float = config.ROLLOUT_INITIAL_SHARE,
                      resolution: int = config.BUCKET_RESOLUTION) -> DataFrame:
     """Composite A: one row per non-internal user (empty when the feature has no row)."""
+    # The feature row is unique (primary key): its rollout bounds are scalar
+    # subqueries, evaluated once and inlined as constants (no join). Without a
+    # feature row they are NULL and the mart is empty.
     window = feature_window(features, feature, rollout_days)
-    activity = user_feature_activity(events, window, feature)
+    start = window.select("rollout_start_at").scalar()
+    end = window.select("rollout_end_at").scalar()
+    activity = user_feature_activity(events, start, feature)
     base = (cohorts.select("user_id", "signup_at", "signup_week", "signup_month", *SEGMENTS,
-                           F.lit(feature).alias("_feature"))
-            .join(F.broadcast(window.select("_feature", "rollout_start_at", "rollout_end_at")), "_feature")
+                           start.alias("rollout_start_at"), end.alias("rollout_end_at"))
+            .filter(F.col("rollout_start_at").isNotNull())
             .withColumn("_bucket", rollout_bucket("user_id", resolution)))
     a = base.join(activity, "user_id", "left")
     used = F.col("first_used_at")

@@ -11,7 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from productlens.operators import adoption as A
 from productlens.operators import clean as C
+from productlens.operators import models as M
+from productlens.operators import quality as Q
+from productlens.operators import reports as N
+from productlens.operators import sessions as W
 from productlens.plans.checks import for_check
 from productlens.plans.marts import Marts
 from productlens.session import ensure_utc
@@ -31,15 +36,61 @@ def _q(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _retention_curve(m: Marts) -> DataFrame:
+    return N.retention_curve(m.mart_cohort_retention_weekly, 1, m.weeks)
+
+
+def _retention_by_tier(m: Marts) -> DataFrame:
+    return N.retention_by_tier(m.mart_user_week_retention, 1, 4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # sources (driver tables relabelled) and checks
     "raw_events": _q(lambda m: m.raw_events),
     "dim_users": _q(lambda m: m.dim_users),
     "billing_invoices": _q(lambda m: m.invoices),
+    "pk_violations": _q(lambda m: Q.pk_violations(m.base)),
+    "null_violations": _q(lambda m: Q.null_violations(m.base)),
+    "orphan_keys": _q(lambda m: Q.orphan_keys(m.base)),
+    # cleaning
     "duplicate_ids": _q(lambda m: C.duplicate_ids(m.raw_events)),
     "clean_events": _q(lambda m: m.fct_events),
     "dq_flag_counts": _q(lambda m: C.dq_flag_counts(m.fct_events)),
+    # sessions
     "sessions": _q(lambda m: m.fct_sessions),
+    "sessions_session_window": _q(lambda m: W.sessions_via_session_window(m.fct_events, m.gap_minutes)),
+    # cohorts, adoption
     "user_cohorts": _q(lambda m: m.dim_user_cohorts),
+    "rollout_bucket": _q(lambda m: A.rollout_buckets(m.dim_users)),
     "feature_adoption": _q(lambda m: m.fct_feature_adoption),
+    # retention
     "cohort_retention_weekly": _q(lambda m: m.mart_cohort_retention_weekly),
+    "baseline_engagement": _q(lambda m: m.mart_user_baseline_engagement),
+    "engagement_tiers": _q(lambda m: m.mart_user_engagement_tiers),
+    "user_week_retention": _q(lambda m: m.mart_user_week_retention),
+    # revenue
+    "user_revenue_monthly": _q(lambda m: m.mart_user_revenue_monthly),
+    "impact_summary": _q(lambda m: m.mart_feature_impact_summary),
+    "revenue_relative_to_adoption": _q(lambda m: m.mart_revenue_relative_to_adoption),
+    # reports
+    "adoption_funnel": _q(lambda m: N.adoption_funnel(m.fct_feature_adoption)),
+    "adoption_funnel_long": _q(lambda m: N.funnel_long(N.adoption_funnel(m.fct_feature_adoption))),
+    "time_to_adoption_hist": _q(lambda m: N.time_to_adoption_hist(m.fct_feature_adoption)),
+    "retention_curve": _q(_retention_curve),
+    "retention_by_tier": _q(_retention_by_tier),
+    "revenue_around_adoption": _q(lambda m: N.revenue_around_adoption(m.mart_revenue_relative_to_adoption)),
+    "adoption_rate_by_size": _q(lambda m: N.adoption_rate_by_size(m.fct_feature_adoption)),
+    "retention_heatmap": _q(lambda m: N.retention_heatmap(m.mart_cohort_retention_weekly, range(0, m.weeks + 1))),
+    "retention_heatmap_cells": _q(lambda m: N.retention_heatmap_long(m.mart_cohort_retention_weekly)),
+    "activity_curve": _q(lambda m: N.activity_curve(m.mart_user_week_retention)),
+    "adoption_share_by_size": _q(lambda m: N.adoption_share_by_size(m.fct_feature_adoption)),
+    "adoption_rate": _q(lambda m: N.adoption_rate(m.fct_feature_adoption)),
+    "retention_lift": _q(lambda m: N.retention_lift(_retention_curve(m))),
+    "retention_lift_by_tier": _q(lambda m: N.retention_lift_by_tier(_retention_by_tier(m))),
+    "adoption_by_tier": _q(lambda m: N.adoption_by_tier(m.mart_user_engagement_tiers, m.fct_feature_adoption)),
+    # statistical models (no SQL oracle)
+    "time_to_adoption_kde": _q(lambda m: M.time_to_adoption_kde(m.fct_feature_adoption)),
+    "adoption_logit": _q(lambda m: M.adoption_logit(m.mart_user_baseline_engagement, m.fct_feature_adoption)),
+    "adoption_logit_ci": _q(lambda m: M.adoption_logit_ci(m.mart_user_baseline_engagement,
+                                                          m.fct_feature_adoption)),
 }

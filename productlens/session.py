@@ -48,14 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
     (local runs and tests) a scratch folder is created and registered.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="productlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
