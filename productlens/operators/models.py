@@ -4,7 +4,7 @@
   from signup to adoption, evaluated on an equal-spaced grid over the data
   range and also scaled to histogram counts (density x n x bin width).
 * ``adoption_logit``: logistic curve P(adopted | sessions in first 7 days),
-  fitted with Spark ML on the aggregated (x, y, count) cells.
+  fitted with Spark ML (binomial GLM, IRLS) on the aggregated (x, y, count) cells.
 * ``adoption_logit_ci``: percentile bootstrap band of that curve.
 
 Scale notes
@@ -25,12 +25,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from productlens import config
+from productlens.session import checkpoint_dir
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
@@ -39,7 +40,7 @@ def time_to_adoption_kde(adoption: DataFrame, grid: int = config.KDE_GRID,
                          bins: int = config.HIST_BINS) -> DataFrame:
     x = adoption.filter(F.col("adopted_feature")).select(
         F.col("days_from_signup_to_adoption").cast("double").alias("x")).filter(F.col("x").isNotNull())
-    values = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    values = _reduced(x.groupBy("x").agg(F.count(F.lit(1)).alias("c")))
     stats = values.agg(F.sum("c").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
                        (F.sum(F.col("c") * F.col("x")) / F.sum("c")).alias("mean"))
     n = stats.select("n").scalar()
@@ -61,13 +62,24 @@ def time_to_adoption_kde(adoption: DataFrame, grid: int = config.KDE_GRID,
                     (density * n * binwidth).alias("count_scale")))
 
 
+def _reduced(df: DataFrame) -> DataFrame:
+    """Checkpoint a small reduced table to the session's shared checkpoint folder.
+
+    Multi-pass steps (iterative fits, several scalar statistics) then read
+    the checkpoint instead of re-running the pipeline, and a lost executor
+    does not replay the lineage.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _cells(baseline: DataFrame, adoption: DataFrame) -> DataFrame:
     """(x = sessions_first_7d, y = adopted, n) over users present in both marts."""
     j = baseline.select("user_id", "sessions_first_7d").join(
         adoption.select("user_id", "adopted_feature"), "user_id")
-    return j.groupBy(F.col("sessions_first_7d").cast("double").alias("x"),
-                     F.col("adopted_feature").cast("double").alias("y")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"))
+    return _reduced(j.groupBy(F.col("sessions_first_7d").cast("double").alias("x"),
+                              F.col("adopted_feature").cast("double").alias("y")).agg(
+        F.count(F.lit(1)).cast("double").alias("n")))
 
 
 def _grid(cells: DataFrame, points: int) -> DataFrame:
@@ -78,11 +90,14 @@ def _grid(cells: DataFrame, points: int) -> DataFrame:
 
 
 def adoption_logit(baseline: DataFrame, adoption: DataFrame, points: int = config.LOGIT_GRID) -> DataFrame:
-    """Weighted logistic regression on the aggregated cells; curve on a grid."""
+    """Binomial GLM (logit link) fitted by IRLS on the aggregated cells,
+    weighted by cell counts (the same estimator as a row-level logistic fit);
+    curve on a grid over the observed range."""
     cells = _cells(baseline, adoption)
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(cells)
-    model = LogisticRegression(featuresCol="features", labelCol="y", weightCol="n", regParam=0.0,
-                               maxIter=200, tol=1e-10).fit(data)
+    model = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features",
+                                        labelCol="y", weightCol="n", regParam=0.0, maxIter=50,
+                                        tol=1e-10).fit(data)
     a, b = float(model.intercept), float(model.coefficients[0])
     grid = _grid(cells, points)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("x"))))

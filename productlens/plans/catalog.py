@@ -23,10 +23,25 @@ from productlens.session import ensure_utc
 from productlens.sources.driver import DriverSource
 
 
+_MARTS: dict[tuple[int, str], tuple[SparkSession, Marts]] = {}
+
+
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
+    """The lazily built pipeline over one driver directory.
+
+    DataFrames are immutable plans, so one ``Marts`` per (session, directory)
+    is reused by every query: the client-side plan construction is paid once,
+    while each query still executes over the whole parquet tables.
+    """
     ensure_utc(spark)
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _MARTS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
     src = DriverSource(spark, sf_dir)
-    return Marts(src.tables(), rollout_days=src.rollout_days)
+    m = Marts(src.tables(), rollout_days=src.rollout_days)
+    _MARTS[key] = (spark, m)
+    return m
 
 
 def _q(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -201,7 +201,11 @@ def subscriptions(customer: DataFrame) -> DataFrame:
 
 
 class DriverSource:
-    """Base tables derived lazily from a driver scale-factor directory."""
+    """Base tables derived lazily from a driver scale-factor directory.
+
+    ``tables()`` returns a mapping that builds each base table on first use,
+    so a query only plans the relabelling of the tables it reads.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, feature: str = config.FEATURE):
         self.spark, self.sf_dir, self.feature = spark, sf_dir.rstrip("/"), feature
@@ -210,13 +214,35 @@ class DriverSource:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def tables(self) -> dict[str, DataFrame]:
-        customer = self._read("customer")
-        return {
-            "raw_events": raw_events(self._read("events"), self.feature),
-            "dim_users": dim_users(customer),
-            "dim_plans": dim_plans(self.spark),
-            "dim_features": dim_features(self.spark, self.feature),
-            "fct_subscriptions": subscriptions(customer),
-            "fct_billing_invoices": billing_invoices(self._read("orders")),
+    def tables(self) -> "LazyTables":
+        builders = {
+            "raw_events": lambda: raw_events(self._read("events"), self.feature),
+            "dim_users": lambda: dim_users(self._read("customer")),
+            "dim_plans": lambda: dim_plans(self.spark),
+            "dim_features": lambda: dim_features(self.spark, self.feature),
+            "fct_subscriptions": lambda: subscriptions(self._read("customer")),
+            "fct_billing_invoices": lambda: billing_invoices(self._read("orders")),
         }
+        return LazyTables(builders)
+
+
+class LazyTables(dict):
+    """dict of DataFrames whose values are built on first access."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        df = self._builders[key]()
+        self[key] = df
+        return df
+
+    def keys(self):
+        return self._builders.keys()
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __contains__(self, key):
+        return key in self._builders
