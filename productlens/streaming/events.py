@@ -1,0 +1,145 @@
+"""Incremental cleaning and sessionisation with Structured Streaming.
+
+The same rules as ``operators.clean`` and ``operators.sessions``, for a feed
+that arrives continuously:
+
+* ``dedupe_stream``: per ``event_id`` an event-time stateful operator
+  (``applyInPandasWithState``) keeps the best copy (earliest ingestion, same
+  total tie order as the batch job) and the number of copies, and emits it
+  once the watermark on ``ingested_at`` passes first ingestion + ``delay``.
+  Copies ingested within ``delay`` of the first one are therefore merged
+  exactly as in batch; later ones are dropped as late data. State is one
+  small row per open event id.
+* ``clean_events_stream``: dedup, time repair, standardisation and a
+  stream-static ``left_semi`` join with the users dimension.
+* ``sessions_stream``: ``session_window`` over ``event_time_final`` with a
+  watermark, emitting each session once it is closed (append mode). Session
+  numbers need the user's whole history, so a streamed session is keyed by
+  ``user_id`` and its start instead.
+
+Run them as two queries (bronze -> silver -> gold), each with its own
+checkpoint location on shared storage so a restart resumes exactly.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
+
+from productlens import config
+from productlens.operators.clean import FCT_EVENTS_COLUMNS, repair_time, standardise_fields, external_users
+
+_PAYLOAD = ("user_id", "event_name", "event_time_us", "feature_name", "session_id", "device_type", "country",
+            "properties_json", "ingested_us")
+_ORDER = ("ingested_us", "event_time_us", "user_id", "event_name", "feature_name", "session_id",
+          "properties_json", "device_type", "country")
+_STATE = T.StructType(
+    [T.StructField("event_id", T.StringType())]
+    + [T.StructField(c, T.LongType() if c.endswith("_us") else T.StringType()) for c in _PAYLOAD]
+    + [T.StructField("copies", T.LongType()), T.StructField("first_us", T.LongType())])
+_OUT = _STATE
+
+
+def _best(frame: pd.DataFrame) -> pd.Series:
+    """First row under the dedup order (NULLs last in every key)."""
+    return frame.sort_values(list(_ORDER), na_position="last", kind="mergesort").iloc[0]
+
+
+def _dedupe_fn(delay_ms: int):
+    def fn(key, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            row = state.get
+            state.remove()
+            yield pd.DataFrame([list(row)], columns=_OUT.fieldNames())
+            return
+        frames = [p for p in pdfs]
+        cur = pd.concat(frames, ignore_index=True)[["event_id", *_PAYLOAD]]
+        copies = len(cur)
+        if state.exists:
+            old = state.get
+            prev = pd.DataFrame([list(old)[:len(_PAYLOAD) + 1]], columns=["event_id", *_PAYLOAD])
+            cur = pd.concat([prev, cur], ignore_index=True)
+            copies += int(old[-2])
+            first_us = min(int(old[-1]), int(np.nanmin(cur["ingested_us"].to_numpy(dtype="float64"))))
+        else:
+            first_us = int(np.nanmin(cur["ingested_us"].to_numpy(dtype="float64")))
+        best = _best(cur)
+        values = [key[0]] + [None if pd.isna(best[c]) else (int(best[c]) if c.endswith("_us") else str(best[c]))
+                             for c in _PAYLOAD] + [copies, first_us]
+        state.update(tuple(values))
+        state.setTimeoutTimestamp(first_us // 1000 + delay_ms)
+        return
+        yield  # pragma: no cover  (generator)
+    return fn
+
+
+def dedupe_stream(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """One row per event_id with ``dq_duplicate_event_id`` (streaming C1-C3)."""
+    delay_ms = int(_interval_ms(delay))
+    s = (raw.withWatermark("ingested_at", delay)
+         .filter(F.col("event_id").isNotNull() & F.col("ingested_at").isNotNull())
+         .select("event_id", "ingested_at", "user_id", "event_name",
+                 F.unix_micros("event_time").alias("event_time_us"), "feature_name", "session_id",
+                 "device_type", "country", "properties_json",
+                 F.unix_micros("ingested_at").alias("ingested_us")))
+    out = s.groupBy("event_id").applyInPandasWithState(
+        _dedupe_fn(delay_ms), _OUT, _STATE, "append", "EventTimeTimeout")
+    return out.select(
+        "event_id", "user_id", "event_name",
+        F.timestamp_micros("event_time_us").alias("event_time"),
+        "feature_name", "session_id", "device_type", "country", "properties_json",
+        F.timestamp_micros("ingested_us").alias("ingested_at"),
+        (F.col("copies") > 1).alias("dq_duplicate_event_id"))
+
+
+def clean_events_stream(raw: DataFrame, users: DataFrame, delay: str = "1 hour",
+                        devices=config.DEVICE_TYPES, countries=config.COUNTRY_CODES) -> DataFrame:
+    """Streaming composite C (``users`` is a static DataFrame)."""
+    ev = repair_time(dedupe_stream(raw, delay))
+    ev = standardise_fields(ev, devices, countries)
+    ev = ev.join(external_users(users).select("user_id"), "user_id", "left_semi")
+    return ev.select(*FCT_EVENTS_COLUMNS)
+
+
+def sessions_stream(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
+                    delay: str = "2 hours", feature: str = config.FEATURE) -> DataFrame:
+    """Streaming sessions (W2, W4, W6, W7) closed by the watermark."""
+    ts = F.col("event_time_final")
+
+    def n(name, feat=None):
+        c = F.col("event_name") == name
+        if feat:
+            c = c & (F.col("feature_name") == feat)
+        return F.sum(c.cast("int"))
+
+    s = (events.withWatermark("event_time_final", delay)
+         .groupBy("user_id", F.session_window(ts, f"{int(gap_minutes)} minutes").alias("w"))
+         .agg(F.min(ts).alias("session_start_at"), F.max(ts).alias("session_end_at"),
+              F.count(F.lit(1)).alias("event_count"),
+              *[n(name).alias(alias) for alias, name in config.SESSION_EVENT_COUNTS],
+              n(config.EXPOSED, feature).alias(f"{feature}_exposed"),
+              n(config.VIEWED, feature).alias(f"{feature}_viewed"),
+              n(config.USED, feature).alias(f"{feature}_used"),
+              F.size(F.collect_set("session_id")).cast("bigint").alias("raw_session_id_count")))
+    us = F.unix_micros("session_end_at") - F.unix_micros("session_start_at")
+    return s.select(
+        "user_id",
+        F.concat_ws("", "user_id", F.lit("_t"), F.unix_micros("session_start_at").cast("string")).alias("session_key"),
+        "session_start_at", "session_end_at",
+        F.round(us.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(20,0)"), 0).cast("bigint")
+        .alias("session_duration_seconds"),
+        "event_count", *[a for a, _ in config.SESSION_EVENT_COUNTS],
+        f"{feature}_exposed", f"{feature}_viewed", f"{feature}_used",
+        (F.col(f"{feature}_used") > 0).alias(f"used_{feature}_in_session"),
+        "raw_session_id_count")
+
+
+def _interval_ms(text: str) -> float:
+    num, unit = text.split()
+    unit = unit.rstrip("s")
+    scale = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit]
+    return float(num) * scale
