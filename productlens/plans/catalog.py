@@ -7,6 +7,9 @@ returns a comparison-friendly projection (``checks.for_check``).
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,19 +22,27 @@ from productlens.operators import reports as N
 from productlens.operators import sessions as W
 from productlens.plans.checks import for_check
 from productlens.plans.marts import Marts
-from productlens.session import ensure_utc
+from productlens.session import checkpoint_dir, ensure_utc
 from productlens.sources.driver import DriverSource
+from productlens.sources.warehouse import Warehouse
+
+# One folder per process under the shared checkpoint folder, so a run never
+# reads tables another run wrote.
+RUN_ID = uuid.uuid4().hex[:12]
 
 
 _MARTS: dict[tuple[int, str], tuple[SparkSession, Marts]] = {}
 
 
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
-    """The lazily built pipeline over one driver directory.
-
-    DataFrames are immutable plans, so one ``Marts`` per (session, directory)
-    is reused by every query: the client-side plan construction is paid once,
-    while each query still executes over the whole parquet tables.
+    """The pipeline over one driver directory, shared by every query of a session.
+
+    Like the analysed pipeline's CTAS tables, each derived table is computed
+    over the whole input the first time a query needs it, written to the
+    session's shared checkpoint folder (``spark.checkpoint.dir``) and read
+    back by every later consumer; reports then run over the written marts.
+    ``PRODUCTLENS_MATERIALIZE=0`` keeps every table a lazy plan instead, so
+    each query recomputes its branch from the parquet files.
     """
     ensure_utc(spark)
     key = (id(spark), sf_dir.rstrip("/"))
@@ -39,7 +50,11 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     if hit is not None and hit[0] is spark:
         return hit[1]
     src = DriverSource(spark, sf_dir)
-    m = Marts(src.tables(), rollout_days=src.rollout_days)
+    store = None
+    if os.environ.get("PRODUCTLENS_MATERIALIZE", "1") != "0":
+        tag = re.sub(r"[^A-Za-z0-9.]+", "_", sf_dir.strip("/"))
+        store = Warehouse(spark, f"{checkpoint_dir(spark)}/productlens-marts/{RUN_ID}/{tag}")
+    m = Marts(src.tables(), rollout_days=src.rollout_days, store=store)
     _MARTS[key] = (spark, m)
     return m
 

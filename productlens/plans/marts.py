@@ -10,10 +10,13 @@
     invoices -> monthly revenue -> user revenue -> impact summary
                                 -> revenue relative to adoption
 
-Each attribute is built once per ``Marts`` object, so a DataFrame shared by
-two consumers is the same logical plan (Spark reuses its exchanges).
-``pipeline.materialise`` writes the tables and rebuilds ``Marts`` on top of
-the written copies, which is how the jobs run at scale.
+Each attribute is built once per ``Marts`` object. Given a ``store``
+(``sources.warehouse.Warehouse``), every derived table is written there on
+first use and its consumers read the written copy, as the analysed pipeline
+does with its CTAS tables: a layer shared by many reports is computed once,
+lineage is cut at every table, and a lost executor reruns only the current
+table's stage. Without a store the attributes stay lazy plans (each consumer
+then prunes and recomputes its own branch).
 """
 
 from __future__ import annotations
@@ -35,8 +38,10 @@ class Marts:
     def __init__(self, base: dict[str, DataFrame], *, feature: str = config.FEATURE,
                  gap_minutes: int = config.SESSION_GAP_MINUTES, rollout_days: int = config.ROLLOUT_DAYS,
                  initial_share: float = config.ROLLOUT_INITIAL_SHARE, weeks: int = config.RETENTION_WEEKS,
-                 baseline_days: int = config.BASELINE_DAYS, derived: dict[str, DataFrame] | None = None):
+                 baseline_days: int = config.BASELINE_DAYS, derived: dict[str, DataFrame] | None = None,
+                 store=None):
         self.base = base
+        self.store = store
         self.feature, self.gap_minutes, self.rollout_days = feature, gap_minutes, rollout_days
         self.initial_share, self.weeks, self.baseline_days = initial_share, weeks, baseline_days
         for name, df in (derived or {}).items():
@@ -59,57 +64,68 @@ class Marts:
     def invoices(self) -> DataFrame:
         return self.base["fct_billing_invoices"]
 
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        if self.store is None:
+            return df
+        return self.store.write(df, LAYER_OF.get(name, "marts"), name)
+
     # core
     @cached_property
     def fct_events(self) -> DataFrame:
-        return C.clean_events(self.raw_events, self.dim_users)
+        return self._keep("fct_events", C.clean_events(self.raw_events, self.dim_users))
 
     @cached_property
     def fct_sessions(self) -> DataFrame:
-        return W.sessionize(self.fct_events, self.gap_minutes, self.feature)
+        return self._keep("fct_sessions", W.sessionize(self.fct_events, self.gap_minutes, self.feature))
 
     # marts
     @cached_property
     def dim_user_cohorts(self) -> DataFrame:
-        return K.user_cohorts(self.dim_users)
+        return self._keep("dim_user_cohorts", K.user_cohorts(self.dim_users))
 
     @cached_property
     def fct_feature_adoption(self) -> DataFrame:
-        return A.feature_adoption(self.dim_user_cohorts, self.dim_features, self.fct_events,
-                                  self.feature, self.rollout_days, self.initial_share)
+        df = A.feature_adoption(self.dim_user_cohorts, self.dim_features, self.fct_events,
+                                self.feature, self.rollout_days, self.initial_share)
+        return self._keep("fct_feature_adoption", df)
 
     @cached_property
     def mart_cohort_retention_weekly(self) -> DataFrame:
-        return R.cohort_retention_weekly(self.fct_sessions, self.dim_user_cohorts, self.fct_feature_adoption)
+        df = R.cohort_retention_weekly(self.fct_sessions, self.dim_user_cohorts, self.fct_feature_adoption)
+        return self._keep("mart_cohort_retention_weekly", df)
 
     @cached_property
     def mart_user_baseline_engagement(self) -> DataFrame:
-        return R.baseline_engagement(self.fct_sessions, self.dim_users, self.baseline_days)
+        df = R.baseline_engagement(self.fct_sessions, self.dim_users, self.baseline_days)
+        return self._keep("mart_user_baseline_engagement", df)
 
     @cached_property
     def mart_user_engagement_tiers(self) -> DataFrame:
-        return R.engagement_tiers(self.mart_user_baseline_engagement)
+        return self._keep("mart_user_engagement_tiers", R.engagement_tiers(self.mart_user_baseline_engagement))
 
     @cached_property
     def mart_user_week_retention(self) -> DataFrame:
-        return R.user_week_retention(self.dim_user_cohorts, self.fct_feature_adoption,
-                                     self.mart_user_engagement_tiers, self.fct_sessions, self.weeks)
+        df = R.user_week_retention(self.dim_user_cohorts, self.fct_feature_adoption,
+                                   self.mart_user_engagement_tiers, self.fct_sessions, self.weeks)
+        return self._keep("mart_user_week_retention", df)
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
-        return V.monthly_revenue(self.invoices)
+        return self._keep("monthly_revenue", V.monthly_revenue(self.invoices))
 
     @cached_property
     def mart_user_revenue_monthly(self) -> DataFrame:
-        return V.user_revenue_monthly(self.dim_user_cohorts, self.monthly_revenue, self.fct_feature_adoption)
+        df = V.user_revenue_monthly(self.dim_user_cohorts, self.monthly_revenue, self.fct_feature_adoption)
+        return self._keep("mart_user_revenue_monthly", df)
 
     @cached_property
     def mart_feature_impact_summary(self) -> DataFrame:
-        return V.impact_summary(self.mart_user_revenue_monthly)
+        return self._keep("mart_feature_impact_summary", V.impact_summary(self.mart_user_revenue_monthly))
 
     @cached_property
     def mart_revenue_relative_to_adoption(self) -> DataFrame:
-        return V.revenue_relative_to_adoption(self.fct_feature_adoption, self.monthly_revenue)
+        df = V.revenue_relative_to_adoption(self.fct_feature_adoption, self.monthly_revenue)
+        return self._keep("mart_revenue_relative_to_adoption", df)
 
 
 # Materialisation order (file order of the analysed pipeline) and layer of each table.
@@ -126,3 +142,4 @@ TABLE_LAYERS = (
     ("mart_user_engagement_tiers", "marts"),
     ("mart_user_week_retention", "marts"),
 )
+LAYER_OF = dict(TABLE_LAYERS)
