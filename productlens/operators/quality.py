@@ -1,9 +1,10 @@
 """Declared-constraint checks as jobs (Q1-Q3).
 
 Spark does not enforce primary keys, NOT NULL or foreign keys, so each
-declared constraint becomes an aggregation that counts its violations. Each
-check is one partial-aggregated pass (or one anti join) per table; the
-results are a handful of rows.
+declared constraint becomes an aggregation that counts its violations. All
+key checks run as one union + partial-aggregated ``groupBy`` and all
+reference checks as one anti join; the results are a handful of rows (the
+per-check summaries are bounded by the number of checks and broadcast).
 """
 
 from __future__ import annotations
@@ -16,25 +17,35 @@ from pyspark.sql import functions as F
 from productlens import schemas
 
 
+def _names(tables: dict[str, DataFrame], rows, ddl: str) -> DataFrame:
+    """The fixed list of checks as a tiny frame (so a check on an empty table still reports 0)."""
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(list(rows), ddl)
+
+
 def pk_violations(tables: dict[str, DataFrame], keys: dict[str, str] = schemas.PRIMARY_KEYS) -> DataFrame:
     """Q1: per table, rows, distinct keys, keys occurring more than once and NULL keys.
 
-    One ``groupBy(key)`` per table (NULL keys form their own group), then a
-    global aggregate over the per-key counts.
+    All tables' keys are unioned into one (table, key) column pair and counted
+    in one ``groupBy`` (NULL keys form their own group, partial aggregation
+    map-side), then summarised per table.
     """
-    parts = []
-    for table, key in keys.items():
-        per_key = tables[table].groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        present, dup = F.col("_k").isNotNull(), F.col("_k").isNotNull() & (F.col("_n") > 1)
-        parts.append(per_key.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-            F.count_if(present).alias("distinct_keys"),
-            F.count_if(dup).alias("duplicate_keys"),
-            F.coalesce(F.sum(F.when(dup, F.col("_n"))), F.lit(0)).alias("rows_with_duplicate_key"),
-            F.coalesce(F.sum(F.when(~present, F.col("_n"))), F.lit(0)).alias("null_keys"),
-        ).select(F.lit(table).alias("table_name"), F.lit(key).alias("key_column"), "rows", "distinct_keys",
-                 "duplicate_keys", "rows_with_duplicate_key", "null_keys"))
-    return reduce(DataFrame.unionByName, parts)
+    parts = [tables[t].select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("_k"))
+             for t, k in keys.items()]
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("table_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    present, dup = F.col("_k").isNotNull(), F.col("_k").isNotNull() & (F.col("_n") > 1)
+    summary = per_key.groupBy("table_name").agg(
+        F.sum("_n").alias("rows"),
+        F.count_if(present).alias("distinct_keys"),
+        F.count_if(dup).alias("duplicate_keys"),
+        F.sum(F.when(dup, F.col("_n"))).alias("rows_with_duplicate_key"),
+        F.sum(F.when(~present, F.col("_n"))).alias("null_keys"))
+    names = _names(tables, keys.items(), "table_name string, key_column string")
+    zero = F.lit(0).cast("bigint")
+    return names.join(F.broadcast(summary), "table_name", "left").select(
+        "table_name", "key_column",
+        *[F.coalesce(F.col(c), zero).alias(c) for c in
+          ("rows", "distinct_keys", "duplicate_keys", "rows_with_duplicate_key", "null_keys")])
 
 
 def null_violations(tables: dict[str, DataFrame], required=schemas.REQUIRED_COLUMNS) -> DataFrame:
@@ -49,15 +60,26 @@ def orphan_keys(tables: dict[str, DataFrame], fks=schemas.FOREIGN_KEYS,
                 extra=(("raw_events", "user_id", "dim_users", "user_id"),)) -> DataFrame:
     """Q3: non-NULL foreign-key values with no parent row (rows and distinct values).
 
-    ``extra`` adds undeclared references worth watching (events of unknown users).
+    ``extra`` adds undeclared references worth watching (events of unknown
+    users). Every reference is checked by one ``left_anti`` join of the
+    unioned child keys against the unioned parent keys on (parent, key).
     """
-    parts = []
-    for child, ccol, parent, pcol in tuple(fks) + tuple(extra):
-        c = tables[child].select(F.col(ccol).alias("_k")).filter(F.col("_k").isNotNull())
-        p = tables[parent].select(F.col(pcol).alias("_k"))
-        orphans = c.join(p, "_k", "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphan_rows"),
-                                 F.count_distinct("_k").alias("orphan_keys"))
-                     .select(F.lit(child).alias("table_name"), F.lit(ccol).alias("column_name"),
-                             F.lit(parent).alias("ref_table"), "orphan_rows", "orphan_keys"))
-    return reduce(DataFrame.unionByName, parts)
+    checks = tuple(fks) + tuple(extra)
+    children = reduce(DataFrame.unionByName, [
+        tables[child].select(F.lit(child).alias("table_name"), F.lit(ccol).alias("column_name"),
+                             F.lit(parent).alias("ref_table"), F.col(ccol).cast("string").alias("_k"))
+        .filter(F.col("_k").isNotNull())
+        for child, ccol, parent, _ in checks])
+    parents = reduce(DataFrame.unionByName, [
+        tables[parent].select(F.lit(parent).alias("ref_table"), F.col(pcol).cast("string").alias("_k"))
+        for parent, pcol in dict.fromkeys((p, pc) for _, _, p, pc in checks)])
+    orphans = children.join(parents, ["ref_table", "_k"], "left_anti")
+    counts = orphans.groupBy("table_name", "column_name", "ref_table").agg(
+        F.count(F.lit(1)).alias("orphan_rows"), F.count_distinct("_k").alias("orphan_keys"))
+    names = _names(tables, [(c, cc, p) for c, cc, p, _ in checks],
+                   "table_name string, column_name string, ref_table string")
+    zero = F.lit(0).cast("bigint")
+    return names.join(F.broadcast(counts), ["table_name", "column_name", "ref_table"], "left").select(
+        "table_name", "column_name", "ref_table",
+        F.coalesce(F.col("orphan_rows"), zero).alias("orphan_rows"),
+        F.coalesce(F.col("orphan_keys"), zero).alias("orphan_keys"))
