@@ -64,3 +64,23 @@ def test_marts_accepts_materialised_layers(spark):
     m = Marts(lazy.base, rollout_days=lazy.rollout_days, derived={"fct_events": lazy.fct_events.limit(0)})
     assert m.fct_sessions.count() == 0
     assert F is not None
+
+
+def test_catalog_mode_buckets_user_tables(spark, tmp_path):
+    from productlens.sources.warehouse import Warehouse
+    wh = Warehouse(spark, str(tmp_path / "cat"), catalog=True, buckets=4)
+    m = marts_for(spark, SF_SMALL)
+    sessions = wh.write(m.fct_sessions, "core", "fct_sessions")
+    adoption = wh.write(m.fct_feature_adoption, "marts", "fct_feature_adoption")
+    assert sessions.count() == m.fct_sessions.count()
+    desc = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED core.fct_sessions").collect()}
+    assert "Bucket Columns" in desc and "user_id" in desc["Bucket Columns"]
+    # a join of two tables bucketed the same way on user_id needs no shuffle
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = sessions.join(adoption, "user_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        j.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in plan
