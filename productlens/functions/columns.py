@@ -96,3 +96,20 @@ def ratio(numerator: str | Column, denominator: str | Column) -> Column:
     """n / d as double, NULL when d is 0 (safe under ANSI mode)."""
     d = col(denominator)
     return F.when(d == 0, F.lit(None)).otherwise(col(numerator).cast("double") / d.cast("double"))
+
+
+def literal_frame(spark, rows, schema):
+    """A small constant table built JVM-side (no Python worker at execution).
+
+    ``schema`` is a StructType or a DDL string; ``rows`` are tuples in field order.
+    """
+    from pyspark.sql import types as T
+
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(f.name).cast(f.dataType) for f in schema.fields])

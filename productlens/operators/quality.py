@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from productlens import schemas
+from productlens.functions.columns import literal_frame
 
 
 def _names(tables: dict[str, DataFrame], rows, ddl: str) -> DataFrame:
     """The fixed list of checks as a tiny frame (so a check on an empty table still reports 0)."""
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(list(rows), ddl)
+    return literal_frame(spark, list(rows), ddl)
 
 
 def pk_violations(tables: dict[str, DataFrame], keys: dict[str, str] = schemas.PRIMARY_KEYS) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from productlens import config, schemas
-from productlens.functions.columns import MICROS_PER_DAY
+from productlens.functions.columns import MICROS_PER_DAY, literal_frame
 
 # --- fixed values of the relabelling rules ---
 BASE_DATE = date(2024, 1, 1)          # day 0 of the driver's event log
@@ -150,16 +150,13 @@ def raw_events(events: DataFrame, feature: str = config.FEATURE) -> DataFrame:
 
 def dim_features(spark: SparkSession, feature: str = config.FEATURE,
                  rollout_start: datetime = FEATURE_ROLLOUT_START) -> DataFrame:
-    from decimal import Decimal
-    rows = [(feature, rollout_start, rollout_start, Decimal("20.00"),
-             "Rolled out gradually over the rollout window")]
-    return spark.createDataFrame(rows, schemas.DIM_FEATURES)
+    start = rollout_start.strftime("%Y-%m-%d %H:%M:%S")
+    rows = [(feature, start, start, "20.00", "Rolled out gradually over the rollout window")]
+    return literal_frame(spark, rows, schemas.DIM_FEATURES)
 
 
 def dim_plans(spark: SparkSession) -> DataFrame:
-    from decimal import Decimal
-    rows = [(p, n, Decimal(price), seat) for p, n, price, seat in PLANS]
-    return spark.createDataFrame(rows, schemas.DIM_PLANS)
+    return literal_frame(spark, PLANS, schemas.DIM_PLANS)
 
 
 def billing_invoices(orders: DataFrame) -> DataFrame:
