@@ -62,8 +62,10 @@ def orphan_keys(tables: dict[str, DataFrame], fks=schemas.FOREIGN_KEYS,
     """Q3: non-NULL foreign-key values with no parent row (rows and distinct values).
 
     ``extra`` adds undeclared references worth watching (events of unknown
-    users). Every reference is checked by one ``left_anti`` join of the
-    unioned child keys against the unioned parent keys on (parent, key).
+    users). Child keys are first reduced to distinct values with row counts
+    (partial aggregation, so a hot key is one row per map task), then every
+    reference is checked by one ``left_anti`` join of those keys against the
+    unioned parent keys on (parent, key).
     """
     checks = tuple(fks) + tuple(extra)
     children = reduce(DataFrame.unionByName, [
@@ -74,9 +76,10 @@ def orphan_keys(tables: dict[str, DataFrame], fks=schemas.FOREIGN_KEYS,
     parents = reduce(DataFrame.unionByName, [
         tables[parent].select(F.lit(parent).alias("ref_table"), F.col(pcol).cast("string").alias("_k"))
         for parent, pcol in dict.fromkeys((p, pc) for _, _, p, pc in checks)])
-    orphans = children.join(parents, ["ref_table", "_k"], "left_anti")
+    keys = children.groupBy("table_name", "column_name", "ref_table", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    orphans = keys.join(parents, ["ref_table", "_k"], "left_anti")
     counts = orphans.groupBy("table_name", "column_name", "ref_table").agg(
-        F.count(F.lit(1)).alias("orphan_rows"), F.count_distinct("_k").alias("orphan_keys"))
+        F.sum("_n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
     names = _names(tables, [(c, cc, p) for c, cc, p, _ in checks],
                    "table_name string, column_name string, ref_table string")
     zero = F.lit(0).cast("bigint")
