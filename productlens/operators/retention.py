@@ -8,14 +8,18 @@
 
 Scale notes
 -----------
-Sessions are reduced to distinct (user, week) or (user, day) keys before
-they meet the user tables, so a heavy user contributes a handful of rows per
-week instead of all its sessions, and the joins that follow are one-row-per-
-user on the other side. The interval join of the SQL formulation (session
-start in [week_start, week_end)) becomes an equi join on the computed week
-index, and the dense user x week spine is an ``explode(sequence(0, weeks))``
-(no cross join). Cohort sizes are one row per (signup_week, adopted_feature),
-bounded by the calendar, and are broadcast.
+Sessions are reduced per user to the *set* of active weeks (or days) with
+``groupBy(user_id).agg(collect_set(...))``: partially aggregated map-side,
+so a heavy user contributes one small set per map task, and the set is
+bounded by the calendar (weeks or days in the data), not by its sessions.
+That is the only shuffle of sessions, and it is already on ``user_id``, so
+the joins with the one-row-per-user cohort, adoption and tier tables that
+follow are co-partitioned. The interval join of the SQL formulation
+(session start in [week_start, week_end)) becomes a week index computed
+from the day, and the dense user x week spine is an
+``explode(sequence(0, weeks))`` checked with ``array_contains`` (no cross
+join, no second join). Cohort sizes are one row per (signup_week,
+adopted_feature), bounded by the calendar, and are broadcast.
 """
 
 from __future__ import annotations
@@ -39,18 +43,20 @@ def cohort_base(cohorts: DataFrame, adoption: DataFrame) -> DataFrame:
 
 
 def user_activity_weeks(sessions: DataFrame) -> DataFrame:
-    """Distinct (user, activity week)."""
-    return sessions.select("user_id", week_start("session_start_at").alias("activity_week")).distinct()
+    """Per user, the set of distinct activity weeks (Mondays)."""
+    return sessions.groupBy("user_id").agg(
+        F.collect_set(week_start("session_start_at")).alias("activity_weeks"))
 
 
 def cohort_retention_weekly(sessions: DataFrame, cohorts: DataFrame, adoption: DataFrame) -> DataFrame:
     """Composite R-50."""
     base = cohort_base(cohorts, adoption)
     act = (base.join(user_activity_weeks(sessions), "user_id")
+           .select("signup_week", "adopted_feature", F.explode("activity_weeks").alias("activity_week"))
            .filter(F.col("activity_week") >= F.col("signup_week"))
            .withColumn("week_number", _week_index("activity_week", "signup_week")))
-    # (user, activity_week) is unique and distinct weeks give distinct week numbers,
-    # so a plain count equals COUNT(DISTINCT user_id).
+    # one row per (user, distinct activity week) and distinct weeks give distinct
+    # week numbers, so a plain count equals COUNT(DISTINCT user_id).
     counts = act.groupBy("signup_week", "adopted_feature", "week_number").agg(
         F.count(F.lit(1)).alias("active_users"))
     sizes = base.groupBy("signup_week", "adopted_feature").agg(F.count(F.lit(1)).alias("cohort_size"))
@@ -79,20 +85,21 @@ def engagement_tiers(baseline: DataFrame, tiers=config.ENGAGEMENT_TIERS) -> Data
 
 def user_week_retention(cohorts: DataFrame, adoption: DataFrame, tiers: DataFrame, sessions: DataFrame,
                         weeks: int = config.RETENTION_WEEKS) -> DataFrame:
-    """Composite R-65: one row per (user, week_number in 0..weeks) with retained 0/1."""
+    """Composite R-65: one row per (user, week_number in 0..weeks) with retained 0/1.
+
+    Week boundaries are UTC midnights, so "session start in [signup_week + 7n,
+    signup_week + 7(n+1))" is "(start date - signup_week) // 7 == n" (floor
+    division: days before the signup week give negative weeks, never week 0).
+    """
+    days = sessions.groupBy("user_id").agg(F.collect_set(F.to_date("session_start_at")).alias("_days"))
     base = (cohorts.select("user_id", "signup_week")
             .join(adoption.select("user_id", "adopted_feature"), "user_id")
-            .join(tiers.select("user_id", "engagement_tier"), "user_id"))
-    spine = base.withColumn("week_number", F.explode(F.sequence(F.lit(0), F.lit(int(weeks)))))
-    # Week boundaries are UTC midnights, so "start in [signup_week + 7n, signup_week + 7(n+1))"
-    # is "start date on/after signup_week and (date - signup_week) div 7 == n".
-    days = sessions.select("user_id", F.to_date("session_start_at").alias("_d")).distinct()
-    active = (days.join(cohorts.select("user_id", "signup_week"), "user_id")
-              .filter(F.col("_d") >= F.col("signup_week"))
-              .withColumn("week_number", _week_index("_d", "signup_week"))
-              .filter(F.col("week_number") <= int(weeks))
-              .select("user_id", "week_number").distinct()
-              .withColumn("_hit", F.lit(1)))
-    return (spine.join(active, ["user_id", "week_number"], "left")
-            .select("user_id", "signup_week", "adopted_feature", "engagement_tier", "week_number",
-                    F.col("_hit").isNotNull().cast("int").alias("retained")))
+            .join(tiers.select("user_id", "engagement_tier"), "user_id")
+            .join(days, "user_id", "left"))
+    week_of = F.transform("_days", lambda d: F.floor(F.datediff(d, F.col("signup_week")) / F.lit(7)).cast("int"))
+    active = F.filter(week_of, lambda w: (w >= 0) & (w <= int(weeks)))
+    spine = base.select("user_id", "signup_week", "adopted_feature", "engagement_tier",
+                        F.coalesce(active, F.array().cast("array<int>")).alias("_active"),
+                        F.explode(F.sequence(F.lit(0), F.lit(int(weeks)))).alias("week_number"))
+    return spine.select("user_id", "signup_week", "adopted_feature", "engagement_tier", "week_number",
+                        F.array_contains("_active", F.col("week_number")).cast("int").alias("retained"))
