@@ -1,7 +1,9 @@
 """Report queries over the marts.
 
 Each returns a small aggregated DataFrame (the data behind a chart); only
-that small result ever leaves Spark. Reshaping that the notebook did in
+that small result ever leaves Spark. Reports the notebook sorted (retention
+curve, retention by tier, revenue around adoption, activity curve) are
+sorted the same way; their size is bounded by weeks/months x groups. Reshaping that the notebook did in
 pandas (unpivot, pivot, cross-tab normalisation) runs in Spark here.
 """
 
@@ -66,20 +68,23 @@ def retention_curve(cohort_retention: DataFrame, first_week: int = 1,
     """Unweighted mean of cohort retention rates by (week, adopted)."""
     return (cohort_retention.filter(F.col("week_number").between(first_week, last_week))
             .groupBy("week_number", "adopted_feature")
-            .agg(F.avg("retention_rate_pct").alias("retention")))
+            .agg(F.avg("retention_rate_pct").alias("retention"))
+            .orderBy("week_number", "adopted_feature"))
 
 
 def retention_by_tier(user_weeks: DataFrame, first_week: int = 1, last_week: int = 4) -> DataFrame:
     """Retention % by engagement tier, adoption and week (bias control)."""
     return (user_weeks.filter(F.col("week_number").between(first_week, last_week))
             .groupBy("engagement_tier", "adopted_feature", "week_number")
-            .agg(F.round(F.avg(F.col("retained").cast("decimal(10,0)")) * 100, 2).alias("retention_rate_pct")))
+            .agg(F.round(F.avg(F.col("retained").cast("decimal(10,0)")) * 100, 2).alias("retention_rate_pct"))
+            .orderBy("engagement_tier", "adopted_feature", "week_number"))
 
 
 def revenue_around_adoption(rel: DataFrame, before: int = 3, after: int = 3) -> DataFrame:
     """Mean monthly revenue of adopters by month relative to adoption."""
     return (rel.filter(F.col("adopted_feature") & F.col("months_from_adoption").between(-before, after))
-            .groupBy("months_from_adoption").agg(F.avg("revenue_usd").alias("revenue")))
+            .groupBy("months_from_adoption").agg(F.avg("revenue_usd").alias("revenue"))
+            .orderBy("months_from_adoption"))
 
 
 def adoption_rate_by_size(adoption: DataFrame) -> DataFrame:
@@ -110,7 +115,8 @@ def retention_heatmap(cohort_retention: DataFrame, weeks=None) -> DataFrame:
 
 def activity_curve(user_weeks: DataFrame) -> DataFrame:
     """Share of users active per (week, adopted) over the dense user-week rows."""
-    return user_weeks.groupBy("week_number", "adopted_feature").agg(F.avg("retained").alias("retention"))
+    return (user_weeks.groupBy("week_number", "adopted_feature").agg(F.avg("retained").alias("retention"))
+            .orderBy("week_number", "adopted_feature"))
 
 
 def adoption_share_by_size(adoption: DataFrame) -> DataFrame:

@@ -77,8 +77,7 @@ def main(argv=None) -> None:
         base = {k: src.tables()[k] for k in src.tables().keys()}
         params["rollout_days"] = src.rollout_days
     elif args.csv_dir:
-        from productlens import schemas
-        base = {t: csv_source.read_table(spark, f"{args.csv_dir}/{t}", t) for t in schemas.BASE_TABLES}
+        base = csv_source.read_tables(spark, args.csv_dir)
     else:
         ap.error("one of --sf-dir / --csv-dir is required")
     for k, v in run(spark, base, args.out, catalog=args.catalog, buckets=args.buckets, **params).items():

@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from productlens import schemas
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "false"}
+# Written timestamps keep microseconds and an explicit offset (Spark's default keeps milliseconds).
+WRITE_OPTIONS = {**CSV_OPTIONS, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def apply_load_defaults(df: DataFrame, table: str, load_ts: datetime | None = None) -> DataFrame:
@@ -64,4 +66,15 @@ def count_cast_failures(spark: SparkSession, path: str, table: str) -> DataFrame
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a table as CSV with a header row (S2). Parquet is preferred for anything downstream."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    df.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
+
+
+def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+    """Export a set of tables (e.g. the six base tables) as ``<root>/<table>/`` CSV folders."""
+    for name, df in tables.items():
+        write_table(df, f"{root.rstrip('/')}/{name}", mode)
+
+
+def read_tables(spark: SparkSession, root: str, load_ts: datetime | None = None) -> dict[str, DataFrame]:
+    """Load every base table from ``<root>/<table>/`` CSV folders (S1, S3 input)."""
+    return {t: read_table(spark, f"{root.rstrip('/')}/{t}", t, load_ts) for t in schemas.BASE_TABLES}
