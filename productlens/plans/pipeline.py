@@ -70,7 +70,8 @@ def main(argv=None) -> None:
     ap.add_argument("--buckets", type=int, default=None, help="bucket user-keyed tables (catalog mode)")
     ap.add_argument("--feature", default=config.FEATURE)
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("productlens-pipeline").getOrCreate()
+    spark = (SparkSession.builder.appName("productlens-pipeline")
+             .config("spark.ui.enabled", "false").getOrCreate())
     params = {"feature": args.feature}
     if args.sf_dir:
         src = DriverSource(spark, args.sf_dir, args.feature)
