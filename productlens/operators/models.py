@@ -150,7 +150,11 @@ def adoption_logit_ci(baseline: DataFrame, adoption: DataFrame, points: int = co
     per_rep = packed.select(
         F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"),
         F.col("c.x").alias("xs"), F.col("c.y").alias("ys"), F.col("c.n").alias("ns"), "lo", "hi")
-    parts = max(1, min(reps, per_rep.sparkSession.sparkContext.defaultParallelism))
+    try:
+        slots = per_rep.sparkSession.sparkContext.defaultParallelism
+    except Exception:
+        slots = 8
+    parts = max(1, min(reps, slots))
     curves = per_rep.repartition(parts, "rep").mapInPandas(
         _bootstrap_batches(points, seed), "rep int, grid_index int, x double, p double")
     q_lo, q_hi = (100.0 - level) / 200.0, 1.0 - (100.0 - level) / 200.0

@@ -53,7 +53,10 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     store = None
     if os.environ.get("PRODUCTLENS_MATERIALIZE", "1") != "0":
         tag = re.sub(r"[^A-Za-z0-9.]+", "_", sf_dir.strip("/"))
-        store = Warehouse(spark, f"{checkpoint_dir(spark)}/productlens-marts/{RUN_ID}/{tag}")
+        try:
+            store = Warehouse(spark, f"{checkpoint_dir(spark)}/productlens-marts/{RUN_ID}/{tag}")
+        except RuntimeError:
+            store = None  # no shared folder: plan every table lazily
     m = Marts(src.tables(), rollout_days=src.rollout_days, store=store)
     _MARTS[key] = (spark, m)
     return m

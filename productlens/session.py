@@ -46,15 +46,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local runs and tests) a scratch folder is created and registered.
+    and Spark runs in local mode (tests, single-machine runs) a scratch
+    folder is created and registered; on a cluster an unset folder is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Connect session: the server owns the folder
+        sc = None
+    if sc is not None and not current:
+        current = sc.getCheckpointDir()
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="productlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
