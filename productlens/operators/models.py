@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from productlens import config
-from productlens.session import checkpoint_dir
+from productlens.session import checkpoint_dir, ship_package
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
@@ -155,6 +155,7 @@ def adoption_logit_ci(baseline: DataFrame, adoption: DataFrame, points: int = co
     except Exception:
         slots = 8
     parts = max(1, min(reps, slots))
+    ship_package(per_rep.sparkSession)
     curves = per_rep.repartition(parts, "rep").mapInPandas(
         _bootstrap_batches(points, seed), "rep int, grid_index int, x double, p double")
     q_lo, q_hi = (100.0 - level) / 200.0, 1.0 - (100.0 - level) / 200.0

@@ -65,3 +65,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="productlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``productlens`` importable in Python workers (``--py-files`` at runtime).
+
+    Needed before the Pandas-UDF paths (bootstrap refits, streaming dedup
+    state), whose functions live in this package. Zips the package once per
+    application and registers it with ``addPyFile``, which copies it to every
+    executor.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Connect: the package must be installed on the server side
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    from pathlib import Path
+
+    import productlens
+    pkg = Path(productlens.__file__).resolve().parent
+    out = tempfile.mkdtemp(prefix="productlens-pkg-", dir=os.environ.get("TMPDIR", "/tmp"))
+    archive = shutil.make_archive(os.path.join(out, "productlens"), "zip", root_dir=pkg.parent, base_dir=pkg.name)
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)

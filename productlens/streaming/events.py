@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
 
 from productlens import config
+from productlens.session import ship_package
 from productlens.operators.clean import FCT_EVENTS_COLUMNS, repair_time, standardise_fields, external_users
 
 _PAYLOAD = ("user_id", "event_name", "event_time_us", "feature_name", "session_id", "device_type", "country",
@@ -86,6 +87,7 @@ def dedupe_stream(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
                  F.unix_micros("event_time").alias("event_time_us"), "feature_name", "session_id",
                  "device_type", "country", "properties_json",
                  F.unix_micros("ingested_at").alias("ingested_us")))
+    ship_package(raw.sparkSession)
     out = s.groupBy("event_id").applyInPandasWithState(
         _dedupe_fn(delay_ms), _OUT, _STATE, "append", "EventTimeTimeout")
     return out.select(
