@@ -71,16 +71,17 @@ def rollout_bucket(user_id: str | Column, resolution: int = config.BUCKET_RESOLU
 
 
 def engagement_tier(sessions: str | Column, tiers=config.ENGAGEMENT_TIERS) -> Column:
-    """Bucket a session count into the configured tier labels."""
+    """Bucket a session count into the configured tier labels.
+
+    The open-ended last tier is the ELSE branch, so anything the earlier
+    tiers do not match (a NULL count included) falls into it.
+    """
     c = col(sessions)
     expr = None
     for label, lo, hi in tiers:
-        if lo is None:
-            cond = c <= hi
-        elif hi is None:
-            cond = c >= lo
-        else:
-            cond = c.between(lo, hi)
+        if hi is None:
+            return expr.otherwise(F.lit(label)) if expr is not None else F.lit(label)
+        cond = c <= hi if lo is None else c.between(lo, hi)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
 

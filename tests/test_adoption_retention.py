@@ -129,12 +129,12 @@ def test_baseline_and_tiers(spark, make_users):
 
 
 def test_tier_edges(spark):
-    base = spark.createDataFrame([(f"u{n}", n) for n in (0, 1, 2, 3, 4, 6, 7, 10, 11, 40)],
+    base = spark.createDataFrame([(f"u{n}", n) for n in (0, 1, 2, 3, 4, 6, 7, 10, 11, 40, None)],
                                  "user_id string, sessions_first_7d long")
     t = {r["sessions_first_7d"]: r["engagement_tier"] for r in R.engagement_tiers(base).collect()}
     assert t == {0: "0-1 sessions", 1: "0-1 sessions", 2: "2-3 sessions", 3: "2-3 sessions", 4: "4-6 sessions",
                  6: "4-6 sessions", 7: "7-10 sessions", 10: "7-10 sessions", 11: "11+ sessions",
-                 40: "11+ sessions"}
+                 40: "11+ sessions", None: "11+ sessions"}  # NULL falls to the ELSE tier
 
 
 def _retention_inputs(spark, make_users):
