@@ -38,7 +38,8 @@ def summary(df) -> str:
              f"  windows: {plan.count('Window [')}"]
     for cols, loc, pushed in scans:
         cols = re.sub(r"#\d+L?", "", cols)
-        lines.append(f"  scan {Path(loc).name}: [{cols}] pushed=[{re.sub(r'#[0-9]+L?', '', pushed)}]")
+        label = "written table" if "..." in loc or "productlens-marts" in loc else Path(loc).name
+        lines.append(f"  scan {label}: [{cols}] pushed=[{re.sub(r'#[0-9]+L?', '', pushed)}]")
     return "\n".join(lines)
 
 
