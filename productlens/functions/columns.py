@@ -112,5 +112,5 @@ def literal_frame(spark, rows, schema):
                for row in rows]
     if not structs:
         return spark.createDataFrame([], schema)
-    return spark.range(1).select(F.inline(F.array(*structs))).select(
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs))).select(
         *[F.col(f.name).cast(f.dataType) for f in schema.fields])
