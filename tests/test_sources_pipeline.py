@@ -94,3 +94,22 @@ def test_export_and_reload_base_tables(spark, tmp_path):
     for name, df in base.items():
         assert df.exceptAll(back[name].select(df.columns)).count() == 0, name
         assert back[name].exceptAll(df).count() == 0, name
+
+
+def test_reports_from_written_warehouse(spark, tmp_path):
+    import pytest
+
+    from productlens.plans import reports
+    src = DriverSource(spark, SF_SMALL)
+    base = {k: src.tables()[k] for k in src.tables().keys()}
+    pipeline.run(spark, base, str(tmp_path / "wh"), rollout_days=src.rollout_days)
+    names = reports.run(spark, str(tmp_path / "wh"), str(tmp_path / "rep"))
+    assert len(names) == 17
+    lazy = marts_for(spark, SF_SMALL)
+    got = spark.read.parquet(str(tmp_path / "rep" / "retention_curve"))
+    want = reports.report_tables(lazy)["retention_curve"]
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    small = reports.to_pandas_checked(reports.report_tables(lazy)["adoption_funnel_long"], max_rows=3)
+    assert list(small["stage"]) == ["Total Users", "Feature Eligible", "Feature Adopted"]
+    with pytest.raises(ValueError):
+        reports.to_pandas_checked(lazy.fct_events, max_rows=10)
