@@ -97,7 +97,7 @@ def adoption_logit(baseline: DataFrame, adoption: DataFrame, points: int = confi
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(cells)
     model = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features",
                                         labelCol="y", weightCol="n", regParam=0.0, maxIter=50,
-                                        tol=1e-10).fit(data)
+                                        tol=1e-8).fit(data)
     a, b = float(model.intercept), float(model.coefficients[0])
     grid = _grid(cells, points)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("x"))))
