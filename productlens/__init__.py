@@ -1,0 +1,13 @@
+"""productlens: product analytics (cleaning, sessions, adoption, retention, revenue, reports) on Spark.
+
+Typical use::
+
+    from productlens import Marts, Warehouse, pipeline, reports
+    marts = Marts(base_tables, feature="team_collab")      # lazy DataFrames for every table
+    pipeline.run(spark, base_tables, "/shared/warehouse")   # materialise in dependency order
+    reports.run(spark, "/shared/warehouse", "/shared/reports")
+"""
+
+from productlens.plans import pipeline, reports  # noqa: F401
+from productlens.plans.marts import TABLE_LAYERS, Marts  # noqa: F401
+from productlens.sources.warehouse import Warehouse  # noqa: F401

@@ -85,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pk_violations": _q(lambda m: Q.pk_violations(m.base)),
     "null_violations": _q(lambda m: Q.null_violations(m.base)),
     "orphan_keys": _q(lambda m: Q.orphan_keys(m.base)),
+    "grain_violations": _q(lambda m: Q.grain_violations({t: getattr(m, t) for t in Q.DERIVED_GRAINS})),
     # cleaning
     "duplicate_ids": _q(lambda m: C.duplicate_ids(m.raw_events)),
     "clean_events": _q(lambda m: m.fct_events),
