@@ -8,6 +8,20 @@ Typical use::
     reports.run(spark, "/shared/warehouse", "/shared/reports")
 """
 
-from productlens.plans import pipeline, reports  # noqa: F401
-from productlens.plans.marts import TABLE_LAYERS, Marts  # noqa: F401
-from productlens.sources.warehouse import Warehouse  # noqa: F401
+import importlib
+
+_EXPORTS = {
+    "Marts": ("productlens.plans.marts", "Marts"),
+    "TABLE_LAYERS": ("productlens.plans.marts", "TABLE_LAYERS"),
+    "Warehouse": ("productlens.sources.warehouse", "Warehouse"),
+    "pipeline": ("productlens.plans.pipeline", None),
+    "reports": ("productlens.plans.reports", None),
+}
+
+
+def __getattr__(name):  # lazy, so Python workers importing one module do not load everything
+    if name not in _EXPORTS:
+        raise AttributeError(name)
+    module, attr = _EXPORTS[name]
+    mod = importlib.import_module(module)
+    return getattr(mod, attr) if attr else mod
