@@ -85,7 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pk_violations": _q(lambda m: Q.pk_violations(m.base)),
     "null_violations": _q(lambda m: Q.null_violations(m.base)),
     "orphan_keys": _q(lambda m: Q.orphan_keys(m.base)),
-    "grain_violations": _q(lambda m: Q.grain_violations({t: getattr(m, t) for t in Q.DERIVED_GRAINS})),
     # cleaning
     "duplicate_ids": _q(lambda m: C.duplicate_ids(m.raw_events)),
     "clean_events": _q(lambda m: m.fct_events),
@@ -106,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_revenue_monthly": _q(lambda m: m.mart_user_revenue_monthly),
     "impact_summary": _q(lambda m: m.mart_feature_impact_summary),
     "revenue_relative_to_adoption": _q(lambda m: m.mart_revenue_relative_to_adoption),
+    # grain of every derived table (after the marts it checks)
+    "grain_violations": _q(lambda m: Q.grain_violations({t: getattr(m, t) for t in Q.DERIVED_GRAINS})),
     # reports
     "adoption_funnel": _q(lambda m: N.adoption_funnel(m.fct_feature_adoption)),
     "adoption_funnel_long": _q(lambda m: N.funnel_long(N.adoption_funnel(m.fct_feature_adoption))),
