@@ -2,13 +2,16 @@
 
 Each query derives the base tables from the driver's parquet tables
 (``sources.driver``), runs the jobs it needs over the whole tables and
-returns a comparison-friendly projection (``checks.for_check``).
+returns a comparison-friendly projection (``checks.for_check``). Derived
+tables are written once per session and shared by later queries
+(``marts_for``).
 """
 
 from __future__ import annotations
 
 import os
 import re
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -32,6 +35,7 @@ RUN_ID = uuid.uuid4().hex[:12]
 
 
 _MARTS: dict[tuple[int, str], tuple[SparkSession, Marts]] = {}
+_LOCK = threading.Lock()
 
 
 def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
@@ -46,9 +50,14 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     """
     ensure_utc(spark)
     key = (id(spark), sf_dir.rstrip("/"))
-    hit = _MARTS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
+    with _LOCK:
+        hit = _MARTS.get(key)
+        if hit is not None and hit[0] is spark:
+            return hit[1]
+        return _new_marts(spark, sf_dir, key)
+
+
+def _new_marts(spark: SparkSession, sf_dir: str, key) -> Marts:
     src = DriverSource(spark, sf_dir)
     store = None
     if os.environ.get("PRODUCTLENS_MATERIALIZE", "1") != "0":

@@ -21,6 +21,7 @@ then prunes and recomputes its own branch).
 
 from __future__ import annotations
 
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -42,6 +43,8 @@ class Marts:
                  store=None):
         self.base = base
         self.store = store
+        self._lock = threading.RLock()  # one writer per table, even if queries run in threads
+        self._written: dict[str, DataFrame] = {}
         self.feature, self.gap_minutes, self.rollout_days = feature, gap_minutes, rollout_days
         self.initial_share, self.weeks, self.baseline_days = initial_share, weeks, baseline_days
         for name, df in (derived or {}).items():
@@ -67,7 +70,10 @@ class Marts:
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
         if self.store is None:
             return df
-        return self.store.write(df, LAYER_OF.get(name, "marts"), name)
+        with self._lock:
+            if name not in self._written:
+                self._written[name] = self.store.write(df, LAYER_OF.get(name, "marts"), name)
+            return self._written[name]
 
     # core
     @cached_property

@@ -58,3 +58,13 @@ def test_query_matches_oracle(spark, duck, name):
 def test_model_queries_run(spark, name):
     rows = entry.queries()[name](spark, SF_SMALL).collect()
     assert len(rows) > 0
+
+
+def test_queries_from_threads_share_one_materialisation(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    fresh = SF_SMALL + "/."  # same data, a new (session, folder) key: nothing materialised yet
+    names = ["sessions", "feature_adoption", "user_week_retention", "retention_curve", "impact_summary"]
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda n: Counter(map(tuple, entry.queries()[n](spark, fresh).collect())), names))
+    for n, rows in zip(names, got):
+        assert rows == Counter(map(tuple, entry.queries()[n](spark, SF_SMALL).collect())), n
