@@ -121,5 +121,5 @@ def grain_violations(tables: dict[str, DataFrame], grains=DERIVED_GRAINS) -> Dat
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"))
     names = _names(tables, [(t, ",".join(k)) for t, k in grains.items()], "table_name string, grain string")
     zero = F.lit(0).cast("bigint")
-    return names.join(F.broadcast(summary), "table_name", "left").select(
-        "table_name", "grain", *[F.coalesce(F.col(c), zero).alias(c) for c in ("rows", "distinct_keys", "duplicate_keys")])
+    counts = [F.coalesce(F.col(c), zero).alias(c) for c in ("rows", "distinct_keys", "duplicate_keys")]
+    return names.join(F.broadcast(summary), "table_name", "left").select("table_name", "grain", *counts)
