@@ -66,7 +66,9 @@ def _new_marts(spark: SparkSession, sf_dir: str, key) -> Marts:
             store = Warehouse(spark, f"{checkpoint_dir(spark)}/productlens-marts/{RUN_ID}/{tag}")
         except RuntimeError:
             store = None  # no shared folder: plan every table lazily
-    m = Marts(src.tables(), rollout_days=src.rollout_days, store=store)
+    # one-step projections of cheap inputs are recomputed rather than written
+    light = frozenset({"dim_user_cohorts", "mart_user_engagement_tiers"})
+    m = Marts(src.tables(), rollout_days=src.rollout_days, store=store, store_skip=light)
     _MARTS[key] = (spark, m)
     return m
 

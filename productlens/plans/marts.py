@@ -40,9 +40,10 @@ class Marts:
                  gap_minutes: int = config.SESSION_GAP_MINUTES, rollout_days: int = config.ROLLOUT_DAYS,
                  initial_share: float = config.ROLLOUT_INITIAL_SHARE, weeks: int = config.RETENTION_WEEKS,
                  baseline_days: int = config.BASELINE_DAYS, derived: dict[str, DataFrame] | None = None,
-                 store=None):
+                 store=None, store_skip: frozenset[str] = frozenset()):
         self.base = base
         self.store = store
+        self.store_skip = store_skip  # tables cheaper to recompute than to write and read back
         self._lock = threading.RLock()  # one writer per table, even if queries run in threads
         self._written: dict[str, DataFrame] = {}
         self.feature, self.gap_minutes, self.rollout_days = feature, gap_minutes, rollout_days
@@ -68,7 +69,7 @@ class Marts:
         return self.base["fct_billing_invoices"]
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        if self.store is None:
+        if self.store is None or name in self.store_skip:
             return df
         with self._lock:
             if name not in self._written:
