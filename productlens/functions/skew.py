@@ -1,0 +1,34 @@
+"""Salting for joins whose big side may have a few very heavy keys.
+
+``salt_hot_keys`` finds heavy keys with one partial-aggregated count per key
+and keeps those above ``threshold`` rows: at most ``rows / threshold`` keys,
+a bound known from the construction, so the list is broadcast. Rows of a
+heavy key on the big side get a salt in ``[0, buckets)`` from a hash of
+``spread_by``; the matching row of the small side is replicated once per
+salt. Every other key keeps salt 0 and is not replicated, so the small side
+grows only by ``buckets`` rows per heavy key. Joining on ``(key, _salt)``
+splits each heavy key over ``buckets`` tasks whatever AQE decides.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALT = "_salt"
+
+
+def salt_hot_keys(big: DataFrame, small: DataFrame, key: str, spread_by: Column,
+                  threshold: int = 1_000_000, buckets: int = 32) -> tuple[DataFrame, DataFrame]:
+    """Return ``(big, small)`` with a ``_salt`` column; join them on ``[key, "_salt"]``."""
+    hot = (big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+           .filter(F.col("_rows") > threshold).select(key, F.lit(True).alias("_hot")))
+    big = (big.join(F.broadcast(hot), key, "left")
+           .withColumn(SALT, F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(buckets)))
+                       .otherwise(F.lit(0)).cast("int"))
+           .drop("_hot"))
+    small = (small.join(F.broadcast(hot), key, "left")
+             .withColumn(SALT, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                         .otherwise(F.array(F.lit(0)))))
+             .drop("_hot"))
+    return big, small

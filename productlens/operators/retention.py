@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from productlens import config
 from productlens.functions.columns import MICROS_PER_DAY, engagement_tier, pct, week_start
+from productlens.functions.skew import SALT, salt_hot_keys
 
 
 def _week_index(later_date: str, earlier_date: str):
@@ -65,11 +66,19 @@ def cohort_retention_weekly(sessions: DataFrame, cohorts: DataFrame, adoption: D
                     pct("active_users", "cohort_size").alias("retention_rate_pct")))
 
 
-def baseline_engagement(sessions: DataFrame, users: DataFrame,
-                        days: int = config.BASELINE_DAYS) -> DataFrame:
-    """Sessions starting in [signup_at, signup_at + days) per user; all users, zero-filled."""
+def baseline_engagement(sessions: DataFrame, users: DataFrame, days: int = config.BASELINE_DAYS,
+                        hot_threshold: int = 1_000_000, salt_buckets: int = 32) -> DataFrame:
+    """Sessions starting in [signup_at, signup_at + days) per user; all users, zero-filled.
+
+    The window depends on each user's exact signup time, so sessions cannot
+    be pre-reduced before meeting the users table. Users with more than
+    ``hot_threshold`` sessions are salted over ``salt_buckets`` join keys
+    (``functions.skew``), so one heavy user never lands in a single task.
+    """
     base = users.select("user_id", "signup_at")
-    s = sessions.select("user_id", "session_start_at").join(base, "user_id")
+    big, small = salt_hot_keys(sessions.select("user_id", "session_start_at"), base, "user_id",
+                               F.col("session_start_at"), hot_threshold, salt_buckets)
+    s = big.join(small, ["user_id", SALT]).drop(SALT)
     start_us, signup_us = F.unix_micros("session_start_at"), F.unix_micros("signup_at")
     s = s.filter((start_us >= signup_us) & (start_us < signup_us + F.lit(int(days) * MICROS_PER_DAY)))
     counts = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))

@@ -82,3 +82,24 @@ def test_hot_event_id_is_combined_before_the_shuffle(spark, make_raw, make_users
     assert "partial_min" in plan and "partial_count" in plan
     rows = {r["event_id"]: r for r in cleaned.collect()}
     assert rows["hot"]["session_id"] == "s00000" and rows["hot"]["dq_duplicate_event_id"]
+
+
+def test_baseline_salts_a_hot_user(spark, make_users):
+    from productlens.functions.skew import salt_hot_keys
+    from productlens.operators import retention as R
+    base_us = 1_704_067_200_000_000  # 2024-01-01
+    sessions = spark.range(6000).select(
+        F.when(F.col("id") < 3000, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 50).cast("string")))
+        .alias("user_id"),
+        F.timestamp_micros(F.lit(base_us) + F.col("id") * F.lit(60_000_000)).alias("session_start_at"))
+    users = make_users([user_row("hot", "2024-01-01 00:00:00")] + [user_row(f"u{i}", "2024-01-03 00:00:00")
+                                                                   for i in range(50)])
+    exact = {r["user_id"]: r["sessions_first_7d"] for r in R.baseline_engagement(sessions, users).collect()}
+    salted = {r["user_id"]: r["sessions_first_7d"]
+              for r in R.baseline_engagement(sessions, users, hot_threshold=1000, salt_buckets=8).collect()}
+    assert salted == exact and exact["hot"] == 3000
+    big, small = salt_hot_keys(sessions, users.select("user_id", "signup_at"), "user_id",
+                               F.col("session_start_at"), threshold=1000, buckets=8)
+    salts = {r["_salt"] for r in big.filter("user_id = 'hot'").select("_salt").distinct().collect()}
+    assert len(salts) == 8  # the hot user is split over eight join keys
+    assert small.filter("user_id = 'hot'").count() == 8 and small.filter("user_id = 'u1'").count() == 1
