@@ -25,8 +25,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +91,9 @@ def adoption_logit(baseline: DataFrame, adoption: DataFrame, points: int = confi
     """Binomial GLM (logit link) fitted by IRLS on the aggregated cells,
     weighted by cell counts (the same estimator as a row-level logistic fit);
     curve on a grid over the observed range."""
+    from pyspark.ml.feature import VectorAssembler  # driver-only: keeps Python workers' imports light
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
     cells = _cells(baseline, adoption)
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(cells)
     model = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features",
