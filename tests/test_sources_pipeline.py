@@ -113,3 +113,26 @@ def test_reports_from_written_warehouse(spark, tmp_path):
     assert list(small["stage"]) == ["Total Users", "Feature Eligible", "Feature Adopted"]
     with pytest.raises(ValueError):
         reports.to_pandas_checked(lazy.fct_events, max_rows=10)
+
+
+def test_catalog_pipeline_answers_sql_on_schema_qualified_marts(spark, tmp_path):
+    from decimal import Decimal
+
+    from productlens.operators import reports as N
+    src = DriverSource(spark, SF_SMALL)
+    base = {k: src.tables()[k] for k in src.tables().keys()}
+    pipeline.run(spark, base, str(tmp_path / "catwh"), catalog=True, rollout_days=src.rollout_days)
+    got = spark.sql("""
+        SELECT week_number, adopted_feature, AVG(retention_rate_pct) AS retention
+        FROM marts.mart_cohort_retention_weekly
+        WHERE week_number BETWEEN 1 AND 8
+        GROUP BY 1, 2""")
+    want = N.retention_curve(spark.table("marts.mart_cohort_retention_weekly"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # PostgreSQL-style casts run as written
+    row = spark.sql("""
+        SELECT ROUND(100.0 * AVG(retained)::numeric, 2) AS pct, COUNT(DISTINCT user_id)::bigint AS users
+        FROM marts.mart_user_week_retention WHERE week_number = 0""").collect()[0]
+    assert isinstance(row["pct"], Decimal) and row["users"] == spark.table("marts.dim_user_cohorts").count()
+    assert spark.table("core.fct_events").count() == spark.table("core.fct_sessions").agg(
+        F.sum("event_count")).collect()[0][0]
