@@ -109,3 +109,13 @@ def test_event_count_invariant(spark):
     events = _random_events(spark, seed=3)
     total = W.sessionize(events).agg(F.sum("event_count")).collect()[0][0]
     assert total == events.count()
+
+
+def test_counts_over_null_event_names_stay_null(spark):
+    # SUM((name = 'x')::int) skips NULL names and is NULL when every name is NULL
+    rows = [row(1, "a", T0, None), row(2, "a", T0 + timedelta(minutes=1), None),
+            row(3, "b", T0, None), row(4, "b", T0 + timedelta(minutes=1), "login")]
+    s = sessions_by_user(W.sessionize(ev(spark, rows)))
+    assert s[("a", 1)]["login_events"] is None and s[("a", 1)]["event_count"] == 2
+    assert s[("b", 1)]["login_events"] == 1 and s[("b", 1)]["page_views"] == 0
+    assert s[("a", 1)]["used_team_collab_in_session"] is None
