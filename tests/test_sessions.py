@@ -56,15 +56,15 @@ def test_gap_boundaries_durations_and_counts(spark):
 
 
 def test_session_spanning_slices(spark):
-    # 23:50 -> 00:10 crosses midnight (the default slice boundary) with 20-minute gaps.
+    # 23:30 -> 01:10 crosses hour boundaries (default slices) and midnight with 20-minute gaps.
     base = datetime(2024, 1, 1, 23, 30, tzinfo=timezone.utc)
     rows = [row(i, "a", base + timedelta(minutes=20 * i)) for i in range(6)]
     rows.append(row(99, "a", base + timedelta(hours=5)))
     s = sessions_by_user(W.sessionize(ev(spark, rows)))
     assert s[("a", 1)]["event_count"] == 6
     assert s[("a", 2)]["event_count"] == 1
-    # hour slices give the same result
-    s2 = sessions_by_user(W.sessionize(ev(spark, rows), slice_us=3_600_000_000))
+    # day slices give the same result
+    s2 = sessions_by_user(W.sessionize(ev(spark, rows), slice_us=MICROS_PER_DAY))
     assert {k: v["event_count"] for k, v in s2.items()} == {k: v["event_count"] for k, v in s.items()}
 
 
