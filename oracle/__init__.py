@@ -1,0 +1 @@
+"""DuckDB SQL oracle for the registered queries."""

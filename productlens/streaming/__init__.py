@@ -1,0 +1 @@
+"""Structured Streaming forms of cleaning and sessionisation, and their runner."""
