@@ -13,11 +13,12 @@ that arrives continuously:
 * ``clean_events_stream``: dedup, time repair, standardisation and a
   stream-static ``left_semi`` join with the users dimension.
 * ``sessions_stream``: ``session_window`` over ``event_time_final`` with a
-  watermark, emitting each session once it is closed (append mode). Session
-  numbers need the user's whole history, so a streamed session is keyed by
-  ``user_id`` and its start instead.
+  watermark, emitting each session once it is closed (append mode).
+* ``number_sessions_stream``: numbers closed sessions per user with a
+  one-number state per user, so the output carries the batch job's
+  ``session_number`` and ``session_key``.
 
-Run them as two queries (bronze -> silver -> gold), each with its own
+Run them as chained queries (``streaming.run``), each with its own
 checkpoint location on shared storage so a restart resumes exactly.
 """
 
@@ -145,3 +146,42 @@ def _interval_ms(text: str) -> float:
     unit = unit.rstrip("s")
     scale = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit]
     return float(num) * scale
+
+
+_NUMBER_STATE = T.StructType([T.StructField("last", T.LongType())])
+
+
+def _number_fn(out_cols):
+    def fn(key, pdfs, state: GroupState):
+        last = int(state.get[0]) if state.exists else 0
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_start_us", kind="mergesort")
+        pdf["session_number"] = np.arange(last + 1, last + 1 + len(pdf), dtype="int64")
+        state.update((last + len(pdf),))
+        yield pdf[out_cols]
+    return fn
+
+
+def number_sessions_stream(sessions: DataFrame, feature: str = config.FEATURE) -> DataFrame:
+    """Number closed sessions per user (1, 2, ...) as they arrive, like the batch job.
+
+    Input is the append-mode output of ``sessions_stream`` read back as a
+    stream. A user's sessions close in time order (the watermark closes them
+    by end time and late data is dropped), so a per-user counter in state is
+    enough: state is one number per user.
+    """
+    ship_package(sessions.sparkSession)
+    cols = [c for c in sessions.columns if c not in ("session_key", "session_start_at", "session_end_at")]
+    s = sessions.select(*cols, F.unix_micros("session_start_at").alias("_start_us"),
+                        F.unix_micros("session_end_at").alias("_end_us"))
+    out_fields = [f for f in s.schema.fields] + [T.StructField("session_number", T.LongType())]
+    out = T.StructType(out_fields)
+    numbered = s.groupBy("user_id").applyInPandasWithState(
+        _number_fn(out.fieldNames()), out, _NUMBER_STATE, "append", "NoTimeout")
+    return numbered.select(
+        "user_id",
+        F.concat_ws("", "user_id", F.lit("_s"), F.lpad(F.col("session_number").cast("string"), 6, "0"))
+        .alias("session_key"),
+        "session_number",
+        F.timestamp_micros("_start_us").alias("session_start_at"),
+        F.timestamp_micros("_end_us").alias("session_end_at"),
+        *[c for c in cols if c != "user_id"])

@@ -3,8 +3,9 @@
     python -m productlens.streaming.run --raw <raw parquet folder> --users <dim_users parquet> \\
         --out <shared folder> [--once]
 
-* silver: raw feed -> ``clean_events_stream`` -> ``<out>/core/fct_events_stream`` (parquet, append)
-* gold:   silver    -> ``sessions_stream``     -> ``<out>/core/fct_sessions_stream`` (parquet, append)
+* silver: raw feed -> ``clean_events_stream``    -> ``<out>/core/fct_events_stream`` (parquet, append)
+* closed: silver    -> ``sessions_stream``        -> ``<out>/core/fct_sessions_closed``
+* gold:   closed    -> ``number_sessions_stream`` -> ``<out>/core/fct_sessions_stream`` (numbered, keyed)
 
 Each query keeps its own checkpoint under ``<out>/_checkpoints`` on shared
 storage, so a restart (or a lost driver) resumes exactly where it stopped.
@@ -19,13 +20,13 @@ from pyspark.sql import SparkSession
 
 from productlens import config, schemas
 from productlens.session import ensure_utc
-from productlens.streaming.events import clean_events_stream, sessions_stream
+from productlens.streaming.events import clean_events_stream, number_sessions_stream, sessions_stream
 
 
 def start(spark: SparkSession, raw_dir: str, users_path: str, out: str, *, once: bool = False,
           dedup_delay: str = "1 hour", session_delay: str = "2 hours",
           gap_minutes: int = config.SESSION_GAP_MINUTES):
-    """Start the silver and gold queries; returns both StreamingQuery handles."""
+    """Start the silver, closed-session and gold queries; returns the StreamingQuery handles."""
     ensure_utc(spark)
     out = out.rstrip("/")
     users = spark.read.parquet(users_path)
@@ -38,13 +39,21 @@ def start(spark: SparkSession, raw_dir: str, users_path: str, out: str, *, once:
     if once:
         silver.awaitTermination()
     events = spark.readStream.schema(_silver_schema(spark, users)).parquet(f"{out}/core/fct_events_stream")
-    gold = (sessions_stream(events, gap_minutes, session_delay).writeStream.format("parquet")
+    closed = (sessions_stream(events, gap_minutes, session_delay).writeStream.format("parquet")
+              .option("path", f"{out}/core/fct_sessions_closed")
+              .option("checkpointLocation", f"{out}/_checkpoints/fct_sessions_closed")
+              .outputMode("append").trigger(**trigger).start())
+    if once:
+        closed.awaitTermination()
+    closed_schema = sessions_stream(spark.createDataFrame([], events.schema), gap_minutes).schema
+    sessions = spark.readStream.schema(closed_schema).parquet(f"{out}/core/fct_sessions_closed")
+    gold = (number_sessions_stream(sessions).writeStream.format("parquet")
             .option("path", f"{out}/core/fct_sessions_stream")
             .option("checkpointLocation", f"{out}/_checkpoints/fct_sessions_stream")
             .outputMode("append").trigger(**trigger).start())
     if once:
         gold.awaitTermination()
-    return silver, gold
+    return silver, closed, gold
 
 
 def _silver_schema(spark: SparkSession, users):
@@ -63,7 +72,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = (SparkSession.builder.appName("productlens-streaming")
              .config("spark.ui.enabled", "false").getOrCreate())
-    silver, gold = start(spark, args.raw, args.users, args.out, once=args.once)
+    start(spark, args.raw, args.users, args.out, once=args.once)
     if not args.once:
         spark.streams.awaitAnyTermination()
 

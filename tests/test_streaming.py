@@ -79,3 +79,27 @@ def test_streaming_runner_available_now(spark, tmp_path):
     assert silver.count() == silver.select("event_id").distinct().count() > 0
     gold = spark.read.parquet(f"{out}/core/fct_sessions_stream")
     assert gold.count() > 0
+
+
+def test_streaming_session_numbers_equal_batch(spark, tmp_path):
+    raw, users, _ = _feed(spark, tmp_path)
+    events = C.clean_events(raw, users)
+    path = str(tmp_path / "events2")
+    events.orderBy("event_time_final").coalesce(1).write.parquet(path)
+    for year in (2030, 2031):
+        beat = events.limit(1).withColumn("event_time_final", F.lit(datetime(year, 1, 1, tzinfo=timezone.utc)))
+        beat.withColumn("user_id", F.lit("heartbeat")).coalesce(1).write.mode("append").parquet(path)
+    gold = str(tmp_path / "gold")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    q = (S.sessions_stream(stream, delay="1 day").writeStream.format("parquet").option("path", gold)
+         .option("checkpointLocation", str(tmp_path / "ck_gold")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    closed = spark.read.parquet(gold)
+    numbered = _drain(S.number_sessions_stream(spark.readStream.schema(closed.schema).parquet(gold)),
+                      tmp_path, "numbered_sessions")
+    cols = ["user_id", "session_key", "session_number", "session_start_at", "session_end_at", "event_count",
+            "raw_session_id_count", "team_collab_used"]
+    want = W.sessionize(events).select(cols)
+    got = numbered.filter("user_id <> 'heartbeat'").select(cols)
+    # with the heartbeats every session closes: numbers and keys equal the batch job
+    assert got.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
