@@ -67,7 +67,10 @@ def _reduced(df: DataFrame) -> DataFrame:
     the checkpoint instead of re-running the pipeline, and a lost executor
     does not replay the lineage.
     """
-    checkpoint_dir(df.sparkSession)
+    try:
+        checkpoint_dir(df.sparkSession)
+    except RuntimeError:  # no shared folder configured: keep the (small) lineage instead
+        return df
     return df.checkpoint(eager=True)
 
 
