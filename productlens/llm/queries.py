@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from productlens.llm import sentencepiece_codec
+from productlens.llm import sentencepiece_codec, sharding, token_counts, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +26,36 @@ def sentencepiece_digest(docs: DataFrame) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+# The rules of the URL query, and the sites that its block list names.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+LISTED_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+LISTED_ZONES = ["example.com", "example.net", "example.org"]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = [(f"{site}.{zone}", "/", "block", False) for site in LISTED_SITES for zone in LISTED_ZONES]
+    listings = spark.createDataFrame([(*r, True) for r in URL_RULES] + listed,
+                                     "host string, path string, verdict string, is_rule boolean")
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"), listings)
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+            .withColumn("over_limit", F.col("n_tokens") > 512))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op4_url_filters": op4_url_filters,
+    "op5_sharding": op5_sharding,
+    "op7_token_counts": op7_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
