@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from productlens.llm import sentencepiece_codec, sharding, token_counts, url_filters
+from productlens.llm import sentencepiece_codec, sharding, simhash, token_counts, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
             .withColumn("over_limit", F.col("n_tokens") > 512))
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_url_filters": op4_url_filters,
     "op5_sharding": op5_sharding,
+    "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
 }
 
