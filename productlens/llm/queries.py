@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from productlens.llm import sentencepiece_codec, sharding, simhash, token_counts, url_filters
+from productlens.llm import (decontamination, html_text, sentencepiece_codec, sharding, simhash, token_counts,
+                             url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,11 @@ def sentencepiece_digest(docs: DataFrame) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_text.extract(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 # The rules of the URL query, and the sites that its block list names.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -55,12 +61,19 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("over_limit", F.col("n_tokens") > 512))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it holds."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_html_text": op3_html_text,
     "op4_url_filters": op4_url_filters,
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
