@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from productlens.llm import (decontamination, html_text, sentencepiece_codec, sharding, simhash, token_counts,
-                             url_filters)
+from productlens.llm import (decontamination, html_text, quality, sentencepiece_codec, sharding, simhash, tasks,
+                             token_counts, url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,17 @@ def sentencepiece_digest(docs: DataFrame) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+KEEP_FROM = 0.3
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), folds=5)
+    return quality.score(docs, model).select(
+        "doc_id", tasks.held_out(F.col("doc_id"), 5).alias("held_out"), "score",
+        (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = html_text.extract(table(spark, sf_dir, "pages"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
@@ -68,6 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality": op2_quality,
     "op3_html_text": op3_html_text,
     "op4_url_filters": op4_url_filters,
     "op5_sharding": op5_sharding,
