@@ -4,8 +4,8 @@ A word gives one feature for itself and one for each character n-gram of ``NGRAM
 are hashed into ``BUCKETS`` rows of an embedding table. A word that repeats one of the ``LAGS`` words before it gives one
 more feature, the same for all words, as repetition shows in no single word. A document is the mean of its features' vectors; a softmax layer
 gives the class. Table and layer are fitted by numpy stochastic gradient descent in one task, on at most ``SAMPLE``
-labelled rows of at most ``SAMPLE_CHARS`` characters in sum (those with the smallest hashes, whatever the order of the
-rows). The fitted model is one small array per bucket, sent to all tasks; scoring needs no shuffle and reads whole texts.
+labelled rows with ``SAMPLE_CHARS`` characters in sum (those with the smallest hashes, whatever the order of the rows;
+a text that would pass the sum is left out). The fitted model is one small array per bucket, sent to all tasks; scoring needs no shuffle and reads whole texts.
 
 NULL and empty texts have the mean vector zero, so the score is that of the bias. A document without label, or with a
 NULL one, is not learned from; of repeated labels of an id all count. With labels of one class or none, the score is that
@@ -157,18 +157,17 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds:
     texts = rows.join(F.broadcast(chosen), "id").select(rank.alias("r"), "text", "label")
 
     def run(batches):
-        held = [(r, t or "", y) for b in batches for r, t, y in zip(*(c.to_pylist() for c in b.columns))]
-        held.sort()
         size, kept = 0, []
-        for _, t, y in held:
-            size += len(t)
-            if kept and size > sample_chars:
-                break
-            kept.append((t, y))
+        for b in slices(batches, "text"):
+            for t, y in zip(texts_of(b, "text"), b.column("label").to_pylist()):
+                size += len(t)
+                if size <= sample_chars:
+                    kept.append((t, y))
         model = fit([t for t, _ in kept], np.array([y for _, y in kept], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()]), pa.array([model.bias])], ["weight", "bias"])
 
-    fitted = texts.coalesce(1).mapInArrow(run, "weight binary, bias double").first()
+    # one task: the sample, in the order of the hashes
+    fitted = texts.repartition(1).sortWithinPartitions("r", "text", "label").mapInArrow(run, "weight binary, bias double").first()
     if fitted is None:
         return fit([], np.empty(0, np.int64))
     return Model(np.frombuffer(fitted.weight), fitted.bias)

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from productlens.llm import (decontamination, html_text, quality, sentencepiece_codec, sharding, simhash, tasks,
-                             token_counts, url_filters)
+from productlens.llm import (decontamination, hmm, html_text, nearest, quality, sentencepiece_codec, sharding,
+                             simhash, tasks, token_counts, url_filters)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("over_limit", F.col("n_tokens") > 512))
 
 
+def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"), folds=10)
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item that it holds."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -85,6 +93,8 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
     "op7_token_counts": op7_token_counts,
+    "op8_hmm": op8_hmm,
+    "op9_nearest": op9_nearest,
     "op10_decontamination": op10_decontamination,
 }
 
