@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from productlens.llm.tasks import prepare, ranges, slices, texts_of
+from productlens.llm.tasks import filtered, prepare, ranges, slices, texts_of
 
 OTHER = re.compile(r"[\W_]+")
 Q, RATE = 10, 0.08
@@ -202,3 +202,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
     if out is None:
         out = spark.createDataFrame([], f"id {kind}, item {item_kind}, edits int, end long")
     return out.toDF(*names)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
+    for block in blocks_of(benchmark, item_col, item_text_col, block_chars):
+        sent = docs.sparkSession.sparkContext.broadcast(Items([t for _, t in block], q, rate))
+
+        def start(sent=sent):
+            def free(texts):
+                out = np.ones(len(texts), bool)
+                out[[found[0] for found in sent.value.search(texts)]] = False
+                return out
+            return free
+
+        docs = filtered(docs, text_col, start)
+    return docs

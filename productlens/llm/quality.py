@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from productlens.llm.tasks import Growing, WordTable, held_out, prepare, ranges, slices, texts_of
+from productlens.llm.tasks import Growing, WordTable, filtered, held_out, prepare, ranges, slices, texts_of
 
 WORD = re.compile(r"\S+")
 NGRAMS, BUCKETS, DIM = (2, 3), 1 << 17, 8
@@ -173,6 +173,25 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds:
     return Model(np.frombuffer(fitted.weight), fitted.bias)
 
 
+class Scorer:
+    """Scores lists of texts; knows the features of the words it has seen."""
+
+    def __init__(self, model: Model):
+        self.model, self.words = model, Words()
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        model, known = self.model, self.words
+        distinct, code, owner = words_of(texts)
+        known.table.see([distinct])
+        at = known.table.index(distinct)
+        start, count = known.start.data[at], known.count.data[at]
+        flat = known.flat.data[ranges(start, count)]
+        sums = np.bincount(np.repeat(np.arange(len(at)), count), weights=model.weight[flat], minlength=len(at))
+        again = repeats(code, owner, len(texts))
+        total = np.bincount(owner, weights=sums[code], minlength=len(texts)) + again * model.weight[REPEAT]
+        return model.score(total, np.bincount(owner, weights=count[code], minlength=len(texts)) + again)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row: the model's probability of class 1."""
     spark = docs.sparkSession
@@ -180,20 +199,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        m, words = sent.value, Words()
+        scorer = Scorer(sent.value)
         for b in slices(batches, "text"):
-            texts = texts_of(b, "text")
-            distinct, code, owner = words_of(texts)
-            words.table.see([distinct])
-            at = words.table.index(distinct)
-            start, count = words.start.data[at], words.count.data[at]
-            flat = words.flat.data[ranges(start, count)]
-            sums = np.bincount(np.repeat(np.arange(len(at)), count), weights=m.weight[flat], minlength=len(at))
-            total = np.bincount(owner, weights=sums[code], minlength=len(texts))
-            n = np.bincount(owner, weights=count[code], minlength=len(texts))
-            again = repeats(code, owner, len(texts))
-            total, n = total + again * m.weight[REPEAT], n + again
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(m.score(total, n))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(scorer(texts_of(b, "text")))], ["id", "score"])
 
     return (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
             .mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, score double").withColumnRenamed("id", id_col))
+
+
+def keep(docs: DataFrame, model: Model, at_least: float, text_col: str = "text") -> DataFrame:
+    """The rows that score ``at_least`` that much, all columns as they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def start():
+        scorer = Scorer(sent.value)
+        return lambda texts: scorer(texts) >= at_least
+
+    return filtered(docs, text_col, start)

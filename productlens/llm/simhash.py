@@ -186,3 +186,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, id_col: st
                        .alias("component_id")))
     return (rows.join(classes, "fp", "left")
             .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def representatives(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, all columns as they are: that of the smallest id, once.
+
+    Rows without id cannot be named and all stay.
+    """
+    found = near_duplicates(docs, width, radius, id_col, text_col)
+    chosen = found.where(found[id_col] == F.col("component_id")).select(F.col(id_col).alias("chosen")).distinct()
+    kept = docs.join(chosen, docs[id_col] == F.col("chosen"), "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(docs[id_col].isNull()))

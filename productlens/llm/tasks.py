@@ -78,6 +78,21 @@ def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
     return [t or "" for t in batch.column(text).to_pylist()]
 
 
+def filtered(docs: DataFrame, text_col: str, start) -> DataFrame:
+    """The rows of ``docs`` that pass, all columns as they are, without a shuffle.
+
+    ``start()`` is called once in each task and returns ``keep(texts) -> bool array``.
+    """
+    prepare(docs.sparkSession)
+
+    def run(batches):
+        keep = start()
+        for b in slices(batches, text_col, 1 << 20):
+            yield b.filter(pa.array(keep(texts_of(b, text_col))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 class WordTable:
     """Ids for strings in order of first sight, with what was computed for each; forgets all beyond ``limit``.
 
