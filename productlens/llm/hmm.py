@@ -37,8 +37,8 @@ STATES, CLASSES, ROUNDS, PIECE, DIRECTIONS = 8, 1 << 14, 4, 256, 8
 END = CLASSES
 #: a chunk ends when it has so many tokens or distinct words; tokens that forward-backward works on at once
 CHUNK_TOKENS, CHUNK_WORDS, BLOCK_TOKENS = 2_000_000, 400_000, 400_000
-#: prior weight of the overall class shares in a state's emissions, and of uniform moves
-EMISSION_PRIOR, MOVE_PRIOR = 50.0, 1.0
+#: prior weight of uniform starts and moves
+MOVE_PRIOR = 1.0
 #: stands for the end of a text: no word has a space
 END_WORD = " "
 ADD = 0.1
@@ -146,7 +146,8 @@ class Model:
 
     @classmethod
     def from_counts(cls, start, move, emit, shares) -> Model:
-        emit = emit + EMISSION_PRIOR * shares[:, None]
+        # a state's emissions fall back on the overall class shares, with the weight of the classes it has (Witten-Bell)
+        emit = emit + np.minimum(emit, 1).sum(axis=0) * shares[:, None]
         move = move + MOVE_PRIOR / STATES
         start = start + MOVE_PRIOR / STATES
         return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))

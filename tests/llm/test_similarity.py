@@ -1,0 +1,258 @@
+"""SimHash, components, decontamination, nearest neighbours and the pipeline against brute force."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from productlens.llm import components, decontamination, nearest, queries, simhash
+from tests.conftest import SF_CHECK, SF_SMALL
+from tests.llm.conftest import ODD
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i: i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(items, near):
+    """Smallest member's index of each item's component, by plain search."""
+    root = list(range(len(items)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(items)):
+        for j in range(i):
+            if near(items[i], items[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(items))]
+
+
+def classes(docs, radius=2):
+    fps = [fingerprint(t) for _, t in docs]
+    root = groups(fps, lambda a, b: (a ^ b).bit_count() <= radius)
+    low = {}
+    for r, (i, _) in zip(root, docs):
+        low[r] = i if low.get(r) is None else low[r] if i is None else min(low[r], i)
+    return Counter((i, f"{f:016x}", low[r]) for (i, _), f, r in zip(docs, fps, root))
+
+
+def test_near_duplicates_on_odd_rows(odd_docs, make_docs):
+    assert Counter(map(tuple, simhash.near_duplicates(odd_docs).collect())) == classes(ODD)
+    assert simhash.near_duplicates(make_docs([])).count() == 0
+    same = make_docs([(3, "a b c d")] * 4 + [(2, "A B c d")])
+    assert {r.component_id for r in simhash.near_duplicates(same).collect()} == {2}
+
+
+def test_registered_near_duplicates(spark):
+    docs = [(r.doc_id, r.text) for r in queries.table(spark, SF_SMALL, "documents").collect()]
+    assert Counter(map(tuple, queries.op6_simhash(spark, SF_SMALL).collect())) == classes(docs)
+
+
+@pytest.mark.parametrize("tile", [4, 4096])
+@pytest.mark.parametrize("radius", [0, 2, 3])
+def test_links_join_all_near_fingerprints(spark, monkeypatch, tile, radius):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2**63, 12, dtype=np.int64)
+    fps = {0, -1, *base.tolist()}
+    for f in base.tolist():  # clouds and chains around each, also through the sign bit
+        for _ in range(25):
+            for b in rng.integers(0, 64, rng.integers(1, 5)).tolist():
+                f = (f ^ (1 << b)) if b < 63 else f ^ -(1 << 63)
+            fps.add(f)
+    fps = sorted(fps)
+    links = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), radius).collect()
+    at = {f: i for i, f in enumerate(fps)}
+    assert all(((r.a ^ r.b) & (2**64 - 1)).bit_count() <= 64 for r in links)
+    joined = {frozenset((at[r.a], at[r.b])) for r in links}
+    want = groups(fps, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= radius)
+    assert groups(range(len(fps)), lambda a, b: frozenset((a, b)) in joined) == want
+
+
+def test_dense_group_sends_few_links(spark):
+    fps = [(1 << a | 1 << b) for a in range(30) for b in range(a)]  # all within 4 bits, most linked by 2
+    sent = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), 2).count()
+    assert sent <= 45 * len(fps)
+
+
+def test_components_of_a_chain_a_star_and_pairs(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000), (9, 9)]
+    edges += [(None, 3), (7000, None)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parts = {}
+    for n, r in got.items():
+        parts.setdefault(r, set()).add(n)
+    assert sorted(map(len, parts.values())) == [2, 201, 300] and 7000 not in got
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_label_components():
+    a, b = np.array([4, 3, 2, 7]), np.array([3, 2, 1, 6])
+    assert components.label_components(8, a, b).tolist() == [0, 1, 1, 1, 1, 5, 6, 6]
+
+
+ITEM = "The quick brown fox jumps over the lazy dog, and 27 other animals follow it into the deep wood beyond the river."
+
+
+def fewest_edits(item, text):
+    """Plain table: the whole item against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+def changed(rng, text, edits):
+    text = list(text)
+    for _ in range(edits):
+        k = int(rng.integers(0, len(text)))
+        kind = rng.integers(0, 3)
+        text[k: k + (kind != 0)] = ["z"] if kind != 1 else []
+    return "".join(text)
+
+
+def test_search_equals_plain_alignment():
+    rng = np.random.default_rng(4)
+    words = "alpha beta gamma delta river stone light quick brown fox over lazy".split()
+    items = [ITEM] + [" ".join(rng.choice(words, n)) for n in (9, 14, 30)] + ["tiny one", "", "x"]
+    block = decontamination.Items(items, decontamination.Q, decontamination.RATE)
+    texts = []
+    for _ in range(60):
+        own = " ".join(rng.choice(words, 40))
+        item = items[rng.integers(0, 4)]
+        texts.append(f"{own} {changed(rng, item, int(rng.integers(0, 16)))} {own}")
+    texts += ["", ITEM.upper(), "  ".join(ITEM.split()), ITEM + ITEM, ITEM[:-8], "nothing here"]
+    found = {(t, i): d for t, i, d, _ in block.search(texts)}
+    for t, text in enumerate(texts):
+        for i in range(4):
+            best = fewest_edits(decontamination.normal(items[i]), decontamination.normal(text))
+            assert found.get((t, i)) == (best if best <= block.edits[i] else None)
+    assert not any(i > 4 for _, i in found)
+
+
+def test_gram_hashes_depend_on_the_gram_alone():
+    a = decontamination.code_points("xxabcdefghijkyy")
+    b = decontamination.code_points("abcdefghijk")
+    for q in (1, 3, 8, 10, 11):
+        assert decontamination.gram_hashes(a, q)[2: 2 + 12 - q].tolist() == decontamination.gram_hashes(b, q).tolist()
+
+
+def test_contamination_on_odd_rows(spark, odd_docs, make_docs):
+    bench = spark.createDataFrame([(1, ITEM, 9), (1, ITEM, 9), (None, ITEM, 9), (2, None, 9), (3, "", 9)],
+                                  "item_id long, text string, doc_id long")
+    assert decontamination.contaminated(odd_docs, bench).count() == 0
+    docs = make_docs([(1, "before " + ITEM + " after"), (1, "before " + ITEM + " after"), (None, ITEM), (2, ITEM[:50]),
+                      (3, "pad " * 60_000 + ITEM)])
+    rows = decontamination.contaminated(docs, bench).collect()
+    assert Counter((r.doc_id, r.item_id) for r in rows) == {(d, i): n * k for d, n in ((1, 2), (None, 1), (3, 1))
+                                                            for i, k in ((1, 2), (None, 1))}
+    assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [2]
+    assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
+    assert decontamination.contaminated(make_docs([]), bench).count() == 0
+    assert decontamination.clean(docs, bench.limit(0)).count() == 5
+
+
+def test_blocks_of_the_benchmark_change_nothing(spark):
+    docs, bench = (queries.table(spark, SF_SMALL, n) for n in ("documents", "benchmark"))
+    whole = Counter(map(tuple, decontamination.contaminated(docs, bench).collect()))
+    small = Counter(map(tuple, decontamination.contaminated(docs, bench, block_chars=2000).collect()))
+    assert whole == small
+    items = {r.item_id: decontamination.normal(r.text) for r in bench.collect()}
+    exact = {(r.doc_id, i) for r in docs.collect() for i, t in items.items() if t in decontamination.normal(r.text)}
+    assert exact == {(d, i) for d, i, e, _ in whole if e == 0}
+
+
+def exact_neighbours(vectors, queries_, k):
+    ids = np.array([i for i, _ in vectors])
+    x = np.array([v for _, v in vectors], np.float32).astype(float)
+    out = {}
+    for q in queries_:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        order = [i for i in np.lexsort((ids, d))[:k] if np.isfinite(d[i])]
+        out[q] = [(int(ids[i]), float(d[i])) for i in order]
+    return out
+
+
+def vectors_frame(spark, rows):
+    return spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, label int, cell int")
+
+
+def test_nearest_on_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 7)
+    rng = np.random.default_rng(2)
+    good = [(i, rng.standard_normal(6).astype(np.float32).tolist()) for i in range(60)]
+    good += [(100 + i, good[0][1]) for i in range(30)]  # a hot vector: ties go to smaller ids
+    bad = [(200, None), (210, [0.0] * 6), (220, [1.0, None, 0, 0, 0, 0]), (230, [float("nan")] + [1.0] * 5),
+           (240, [float("inf")] * 6), (250, [1.0, 2.0]), (None, [1.0] * 6), (260, [])]
+    rows = nearest.nearest(vectors_frame(spark, good + bad), F.col("vec_id") % 10 == 0, k=4, share=1.0).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = exact_neighbours(good, [i for i, _ in good if i % 10 == 0], 4)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [v for v, _ in got[q]] == [v for v, _ in want[q]]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], atol=1e-12)
+
+
+def test_nearest_with_few_or_no_rows(spark):
+    few = vectors_frame(spark, [(0, [1.0]), (1, [3.0]), (2, [2.0])])
+    rows = nearest.nearest(few, F.col("vec_id") == 0).collect()
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(rows, key=lambda r: r["rank"])] == [(1, 2, 1.0), (2, 1, 2.0)]
+    for none in ([], [(0, None)], [(0, [0.0])]):
+        out = nearest.nearest(vectors_frame(spark, none), F.col("vec_id") == 0)
+        assert out.count() == 0 and out.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_visited_cells_come_in_order():
+    rng = np.random.default_rng(3)
+    one, two = rng.random(5), rng.random(4)
+    counts = rng.integers(0, 3, 20)
+    cells = nearest.visited(one, two, counts, int(counts.sum()))
+    sums = [one[c // 4] + two[c % 4] for c in cells]
+    assert sums == sorted(sums) and sorted(cells) == np.flatnonzero(counts).tolist()
+
+
+def test_registered_search_recall(spark):
+    vectors = [(r.vec_id, r.embedding) for r in queries.table(spark, SF_CHECK, "embeddings").collect()]
+    got = {}
+    for r in queries.op9_nearest(spark, SF_CHECK).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact_neighbours(vectors, [i for i, _ in vectors if i % 100 == 0], 10)
+    assert got.keys() == want.keys()
+    assert sum(len(got[q] & {v for v, _ in n}) for q, n in want.items()) >= 0.9 * 10 * len(want)
+
+
+def test_pipeline_equals_its_parts(spark):
+    scores = {r.doc_id: r.predicted for r in queries.op2_quality(spark, SF_SMALL).collect()}
+    leaks = {r.doc_id for r in queries.op10_decontamination(spark, SF_SMALL).collect()}
+    docs = sorted((r.doc_id, r.text) for r in queries.table(spark, SF_SMALL, "documents").collect() if scores[r.doc_id])
+    fps = [fingerprint(t) for _, t in docs]
+    root = groups(fps, lambda a, b: (a ^ b).bit_count() <= 2)
+    want = {docs[r][0] for r in root} - leaks
+    rows = corpus_pipeline.run(spark, SF_SMALL).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(want)
+    digests = {r.doc_id: r.ids_sha256 for r in queries.op1_sentencepiece(spark, SF_SMALL).collect()}
+    assert all(digests[r.doc_id] == r.ids_sha256 for r in rows)
+
+
+def test_stages_keep_the_columns(spark, odd_docs):
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        assert stage(spark, odd_docs, SF_SMALL).columns == odd_docs.columns
+    left = simhash.representatives(odd_docs).collect()
+    assert Counter(r.doc_id for r in left) == {1: 1, 4: 1, 5: 1, 6: 1, 7: 1, None: 1}
