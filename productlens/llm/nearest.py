@@ -3,7 +3,7 @@
 Each half of a vector is quantised by k-means of its own (``CENTROIDS`` per half), so a vector lies in the cell of two
 centroids. The centroids are fitted on at most ``SAMPLE`` distinct vectors (smallest id hashes); every vector is indexed.
 A query takes centroid pairs from a heap by the sum of its squared distances to both halves' centroids, until the cells
-hold ``SHARE`` of all vectors; the entries of those cells are reranked by their exact distance in double precision.
+hold ``SHARE`` of all vectors, at least ``LEAST``; the entries of those cells are reranked by their exact distance in double precision.
 
 A cell of more than ``BLOCK`` entries is split by a hash of the row; a task keeps one block and streams the queries that visit it,
 and sends on at most k rows for each. So no task holds a whole cell, and copies of one vector spread over blocks; they
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from productlens.llm.tasks import prepare, written
 
 CENTROIDS, SAMPLE, ROUNDS = 16, 20_000, 10
-SHARE = 0.65
+SHARE, LEAST = 0.65, 1000
 BLOCK = 8192
 #: numbers that a task's distance table holds at once
 TABLE = 1 << 22
@@ -110,7 +110,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     counts = np.zeros(len(first) * len(second), np.int64)
     for r in entries.groupBy("cell").count().collect():  # one row per cell
         counts[r["cell"]] = r["count"]
-    want = int(np.ceil(share * counts.sum()))
+    want = max(LEAST, k + 1, int(np.ceil(share * counts.sum())))
     blocks = np.maximum(1, -(-counts // BLOCK))
 
     def visits(batches):

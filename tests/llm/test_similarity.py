@@ -197,7 +197,7 @@ def test_nearest_on_odd_rows(spark, monkeypatch):
     rng = np.random.default_rng(2)
     good = [(i, rng.standard_normal(6).astype(np.float32).tolist()) for i in range(60)]
     good += [(100 + i, good[0][1]) for i in range(30)]  # a hot vector: ties go to smaller ids
-    bad = [(200, None), (210, [0.0] * 6), (220, [1.0, None, 0, 0, 0, 0]), (230, [float("nan")] + [1.0] * 5),
+    bad = [(200, None), (210, [0.0] * 6), (220, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (230, [float("nan")] + [1.0] * 5),
            (240, [float("inf")] * 6), (250, [1.0, 2.0]), (None, [1.0] * 6), (260, [])]
     rows = nearest.nearest(vectors_frame(spark, good + bad), F.col("vec_id") % 10 == 0, k=4, share=1.0).collect()
     got = {}
