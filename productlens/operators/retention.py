@@ -13,34 +13,22 @@ Sessions are reduced per user to the *set* of active weeks (or days) with
 so a heavy user contributes one small set per map task, and the set is
 bounded by the calendar (weeks or days in the data), not by its sessions.
 That is the only shuffle of sessions, and it is already on ``user_id``, so
-the joins with the one-row-per-user cohort, adoption and tier tables that
-follow are co-partitioned. The interval join of the SQL formulation
+the joins with the one-row-per-user adoption and tier tables that follow
+are co-partitioned. The interval join of the SQL formulation
 (session start in [week_start, week_end)) becomes a week index computed
 from the day, and the dense user x week spine is an
 ``explode(sequence(0, weeks))`` checked with ``array_contains`` (no cross
-join, no second join). Cohort sizes are one row per (signup_week,
-adopted_feature), bounded by the calendar, and are broadcast.
+join, no second join). Cohort sizes come from the same aggregation as the
+cells, and a window over the cells (calendar weeks only) hands them on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from productlens import config
 from productlens.functions.columns import MICROS_PER_DAY, engagement_tier, pct, week_start
-from productlens.functions.skew import SALT, salt_hot_keys
-
-
-def _week_index(later_date: str, earlier_date: str):
-    # Both sides are dates; days // 7 (non-negative after the filter that precedes it).
-    return F.floor(F.datediff(F.col(later_date), F.col(earlier_date)) / F.lit(7)).cast("int")
-
-
-def cohort_base(cohorts: DataFrame, adoption: DataFrame) -> DataFrame:
-    """R2: cohort users with their adoption flag."""
-    return cohorts.select("user_id", "signup_week").join(
-        adoption.select("user_id", "adopted_feature"), "user_id")
 
 
 def user_activity_weeks(sessions: DataFrame) -> DataFrame:
@@ -49,36 +37,37 @@ def user_activity_weeks(sessions: DataFrame) -> DataFrame:
         F.collect_set(week_start("session_start_at")).alias("activity_weeks"))
 
 
-def cohort_retention_weekly(sessions: DataFrame, cohorts: DataFrame, adoption: DataFrame) -> DataFrame:
-    """Composite R-50."""
-    base = cohort_base(cohorts, adoption)
-    act = (base.join(user_activity_weeks(sessions), "user_id")
-           .select("signup_week", "adopted_feature", F.explode("activity_weeks").alias("activity_week"))
-           .filter(F.col("activity_week") >= F.col("signup_week"))
-           .withColumn("week_number", _week_index("activity_week", "signup_week")))
-    # one row per (user, distinct activity week) and distinct weeks give distinct
-    # week numbers, so a plain count equals COUNT(DISTINCT user_id).
-    counts = act.groupBy("signup_week", "adopted_feature", "week_number").agg(
-        F.count(F.lit(1)).alias("active_users"))
-    sizes = base.groupBy("signup_week", "adopted_feature").agg(F.count(F.lit(1)).alias("cohort_size"))
-    return (counts.join(F.broadcast(sizes), ["signup_week", "adopted_feature"])
+def cohort_retention_weekly(sessions: DataFrame, adoption: DataFrame) -> DataFrame:
+    """Composite R-50, from the adoption mart, which holds each cohort user's signup week (R2).
+
+    A user becomes one row for each active week number and one for the cohort
+    (NULL week number), so one aggregation gives the active users and, in its
+    NULL rows, the cohort sizes, which a window over those few rows hands on.
+    Distinct weeks give distinct week numbers, so a count is COUNT(DISTINCT
+    user_id).
+    """
+    weeks = F.transform("activity_weeks", lambda d: F.floor(F.datediff(d, F.col("signup_week")) / F.lit(7)).cast("int"))
+    active = F.filter(F.coalesce(weeks, F.array().cast("array<int>")), lambda w: w >= 0)
+    rows = (adoption.select("user_id", "signup_week", "adopted_feature")
+            .join(user_activity_weeks(sessions), "user_id", "left")
+            .select("signup_week", "adopted_feature",
+                    F.explode(F.array_append(active, F.lit(None).cast("int"))).alias("week_number")))
+    cells = rows.groupBy("signup_week", "adopted_feature", "week_number").agg(F.count(F.lit(1)).alias("active_users"))
+    cohort = Window.partitionBy("signup_week", "adopted_feature")
+    size = F.max(F.when(F.col("week_number").isNull(), F.col("active_users"))).over(cohort)
+    return (cells.withColumn("cohort_size", size).where("week_number is not null")
             .select("signup_week", "adopted_feature", "week_number", "active_users", "cohort_size",
                     pct("active_users", "cohort_size").alias("retention_rate_pct")))
 
 
-def baseline_engagement(sessions: DataFrame, users: DataFrame, days: int = config.BASELINE_DAYS,
-                        hot_threshold: int = 1_000_000, salt_buckets: int = 32) -> DataFrame:
+def baseline_engagement(sessions: DataFrame, users: DataFrame, days: int = config.BASELINE_DAYS) -> DataFrame:
     """Sessions starting in [signup_at, signup_at + days) per user; all users, zero-filled.
 
-    The window depends on each user's exact signup time, so sessions cannot
-    be pre-reduced before meeting the users table. Users with more than
-    ``hot_threshold`` sessions are salted over ``salt_buckets`` join keys
-    (``functions.skew``), so one heavy user never lands in a single task.
+    A user's sessions start more than the gap apart, so a user has at most
+    about 48 a day: the join needs no salt.
     """
     base = users.select("user_id", "signup_at")
-    big, small = salt_hot_keys(sessions.select("user_id", "session_start_at"), base, "user_id",
-                               F.col("session_start_at"), hot_threshold, salt_buckets)
-    s = big.join(small, ["user_id", SALT]).drop(SALT)
+    s = sessions.select("user_id", "session_start_at").join(base, "user_id")
     start_us, signup_us = F.unix_micros("session_start_at"), F.unix_micros("signup_at")
     s = s.filter((start_us >= signup_us) & (start_us < signup_us + F.lit(int(days) * MICROS_PER_DAY)))
     counts = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -92,7 +81,7 @@ def engagement_tiers(baseline: DataFrame, tiers=config.ENGAGEMENT_TIERS) -> Data
                            engagement_tier("sessions_first_7d", tiers).alias("engagement_tier"))
 
 
-def user_week_retention(cohorts: DataFrame, adoption: DataFrame, tiers: DataFrame, sessions: DataFrame,
+def user_week_retention(adoption: DataFrame, tiers: DataFrame, sessions: DataFrame,
                         weeks: int = config.RETENTION_WEEKS) -> DataFrame:
     """Composite R-65: one row per (user, week_number in 0..weeks) with retained 0/1.
 
@@ -101,8 +90,7 @@ def user_week_retention(cohorts: DataFrame, adoption: DataFrame, tiers: DataFram
     division: days before the signup week give negative weeks, never week 0).
     """
     days = sessions.groupBy("user_id").agg(F.collect_set(F.to_date("session_start_at")).alias("_days"))
-    base = (cohorts.select("user_id", "signup_week")
-            .join(adoption.select("user_id", "adopted_feature"), "user_id")
+    base = (adoption.select("user_id", "signup_week", "adopted_feature")
             .join(tiers.select("user_id", "engagement_tier"), "user_id")
             .join(days, "user_id", "left"))
     week_of = F.transform("_days", lambda d: F.floor(F.datediff(d, F.col("signup_week")) / F.lit(7)).cast("int"))

@@ -2,21 +2,21 @@
 
 A new session starts at a user's first event and at every event whose gap to
 the previous event of the same user is strictly greater than the gap
-(default 30 minutes). Sessions are numbered 1, 2, ... per user.
+(default 30 minutes). Sessions are numbered 1, 2, ... per user. Events
+without a time come last: the first of them has an unknown gap and stays in
+the session before it; for each further one the previous time is unknown,
+which starts a session.
 
 Scale notes
 -----------
 The textbook form is ``lag`` + running ``sum`` over ``Window.partitionBy(user)``,
 which sorts *all* events of a user inside one task: one heavy user (a bot,
 an integration account) holding a third of the rows would run in a single
-task. ``sessionize`` instead windows over ``(user_id, time slice)`` (an hour by
-default), so a task holds at most one user-slice. The only cross-slice
-information needed is, per user-slice, the last timestamp of the user's
-previous slice and the number of session starts before it; both come from a
-window over the per-user-slice summary, which has at most one row per user
-per slice (bounded by the time span, not by event volume). The final rollup
-is a ``groupBy(user_id, session_number)`` with map-side partial aggregation.
-``sessionize_by_user`` keeps the textbook plan for cross-checks.
+task. ``sessionize`` windows over ``(user_id, time slice)`` (an hour by
+default) instead and reduces each slice to session pieces at once, without
+another shuffle. Only the pieces (a few per active user-hour, whatever the
+number of events) are shuffled by user and numbered by a window; the rollup
+needs no shuffle of its own. Two shuffles, one scan, no join.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from productlens import config
 from productlens.functions.columns import epoch_seconds_rounded
 
 # Default time slice: one hour. A heavy user-day (e.g. a daily incremental batch)
-# still splits over up to 24 tasks; the per-slice summary stays small and narrow.
+# still splits over up to 24 tasks.
 SLICE_US = 3_600_000_000
 
 
@@ -36,51 +36,6 @@ def _gap_us(gap_minutes: int) -> int:
     return int(gap_minutes) * 60 * 1_000_000
 
 
-def _prepare(events: DataFrame) -> DataFrame:
-    return events.select(
-        "user_id", "event_id", F.col("event_time_final").alias("ts"),
-        "event_name", "feature_name", "session_id",
-    ).withColumn("_us", F.unix_micros("ts"))
-
-
-def number_events(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
-                  slice_us: int = SLICE_US) -> DataFrame:
-    """Attach ``session_number`` to every event, skew-safe."""
-    gap = _gap_us(gap_minutes)
-    ev = _prepare(events).withColumn("_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("bigint"))
-    w = Window.partitionBy("user_id", "_slice").orderBy("_us", "event_id")
-    prev = F.lag("_us").over(w)
-    ev = ev.withColumn("_inner", F.when(prev.isNotNull() & (F.col("_us") - prev > gap), 1).otherwise(0))
-    ev = ev.withColumn("_inner_cum", F.sum("_inner").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    # One row per (user, slice): first/last event time and session starts after the first event.
-    per_slice = ev.groupBy("user_id", "_slice").agg(
-        F.min("_us").alias("_first"), F.max("_us").alias("_last"), F.sum("_inner").alias("_starts_inner"))
-    ws = Window.partitionBy("user_id").orderBy("_slice")
-    prev_last = F.lag("_last").over(ws)
-    per_slice = per_slice.withColumn(
-        "_first_new", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap), 1).otherwise(0))
-    per_slice = per_slice.withColumn(
-        "_offset",
-        F.coalesce(F.sum(F.col("_first_new") + F.col("_starts_inner"))
-                   .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ev = ev.join(per_slice.select("user_id", "_slice", "_first_new", "_offset"), ["user_id", "_slice"])
-    return ev.withColumn(
-        "session_number", (F.col("_offset") + F.col("_first_new") + F.col("_inner_cum")).cast("bigint")
-    ).drop("_slice", "_inner", "_inner_cum", "_first_new", "_offset")
-
-
-def number_events_by_user(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES) -> DataFrame:
-    """Textbook lag + running-sum numbering over the whole user (for cross-checks)."""
-    gap = _gap_us(gap_minutes)
-    ev = _prepare(events)
-    w = Window.partitionBy("user_id").orderBy("_us", "event_id")
-    prev = F.lag("_us").over(w)
-    ev = ev.withColumn("_new", F.when(prev.isNull() | (F.col("_us") - prev > gap), 1).otherwise(0))
-    return ev.withColumn(
-        "session_number", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint")
-    ).drop("_new")
-
-
 def _is(name: str, feature: str | None = None) -> Column:
     cond = F.col("event_name") == name
     if feature is not None:
@@ -88,18 +43,57 @@ def _is(name: str, feature: str | None = None) -> Column:
     return cond.cast("int")
 
 
-def rollup_sessions(numbered: DataFrame, feature: str = config.FEATURE) -> DataFrame:
-    """Per (user, session_number) rollup and derived columns."""
-    counts = [F.sum(_is(name)).alias(alias) for alias, name in config.SESSION_EVENT_COUNTS]
-    feats = [F.sum(_is(n, feature)).alias(f"{feature}_{suffix}")
-             for suffix, n in (("exposed", config.EXPOSED), ("viewed", config.VIEWED), ("used", config.USED))]
-    s = numbered.groupBy("user_id", "session_number").agg(
-        F.min("ts").alias("session_start_at"),
-        F.max("ts").alias("session_end_at"),
-        F.count(F.lit(1)).alias("event_count"),
-        *counts, *feats,
-        F.count_distinct("session_id").alias("raw_session_id_count"),
-    )
+def session_counts(feature: str = config.FEATURE) -> dict[str, Column]:
+    """W4 counts by output column; NULL names count as unknown, so a sum of none is NULL."""
+    feats = ((config.EXPOSED, "exposed"), (config.VIEWED, "viewed"), (config.USED, "used"))
+    return {**{alias: _is(name) for alias, name in config.SESSION_EVENT_COUNTS},
+            **{f"{feature}_{suffix}": _is(name, feature) for name, suffix in feats}}
+
+
+def session_pieces(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
+                   feature: str = config.FEATURE, slice_us: int = SLICE_US) -> DataFrame:
+    """Maximal runs of one session within one time slice (W1, W2 inside a slice), with the rollup's sums."""
+    ev = events.select("user_id", "event_id", F.col("event_time_final").alias("ts"), "event_name", "feature_name",
+                       "session_id", F.unix_micros("event_time_final").alias("_us")).withColumn(
+        "_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("bigint"))
+    w = Window.partitionBy("user_id", "_slice").orderBy("_us", "event_id")
+    prev = F.lag("_us").over(w)
+    later = F.row_number().over(w) > 1
+    starts = F.when(later & (prev.isNull() | (F.col("_us") - prev > _gap_us(gap_minutes))), 1).otherwise(0)
+    ev = ev.withColumn("_starts", starts).withColumn(
+        "_piece", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return ev.groupBy("user_id", "_slice", "_piece").agg(
+        F.min("ts").alias("first_at"), F.max("ts").alias("last_at"), F.count(F.lit(1)).alias("event_count"),
+        *[F.sum(c).alias(name) for name, c in session_counts(feature).items()],
+        F.collect_set("session_id").alias("_raw_ids"))  # of one session in one slice: part of one window's rows
+
+
+def number_pieces(pieces: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES) -> DataFrame:
+    """Attach ``session_number`` to every piece."""
+    w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("_slice"), "_piece")
+    prev = F.lag("last_at").over(w)
+    first = F.row_number().over(w) == 1
+    gap = F.unix_micros("first_at") - F.unix_micros(prev)
+    starts = F.when(first | (F.col("_piece") > 0) | (gap > _gap_us(gap_minutes)), 1).otherwise(0)
+    return pieces.withColumn("_starts", starts).withColumn(
+        "session_number", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint")
+    ).drop("_starts", "_slice", "_piece")
+
+
+def rollup_pieces(numbered: DataFrame, feature: str = config.FEATURE) -> DataFrame:
+    """Per (user, session_number) rollup and derived columns.
+
+    A piece becomes a row for each of its raw session ids, and only the first
+    of them carries the sums, so one aggregation counts the distinct ids too.
+    """
+    sums = ["event_count", *session_counts(feature)]
+    rows = numbered.select("user_id", "session_number", "first_at", "last_at", *sums,
+                           F.posexplode_outer("_raw_ids").alias("_pos", "_raw_id"))
+    one = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    s = rows.groupBy("user_id", "session_number").agg(
+        F.min("first_at").alias("session_start_at"), F.max("last_at").alias("session_end_at"),
+        *[F.sum(F.when(one, F.col(c))).alias(c) for c in sums],
+        F.count_distinct("_raw_id").alias("raw_session_id_count"))
     used = f"{feature}_used"
     return s.select(
         "user_id",
@@ -107,9 +101,7 @@ def rollup_sessions(numbered: DataFrame, feature: str = config.FEATURE) -> DataF
         .alias("session_key"),
         "session_number", "session_start_at", "session_end_at",
         epoch_seconds_rounded("session_end_at", "session_start_at").alias("session_duration_seconds"),
-        "event_count",
-        *[alias for alias, _ in config.SESSION_EVENT_COUNTS],
-        f"{feature}_exposed", f"{feature}_viewed", used,
+        *sums,
         (F.col(used) > 0).alias(f"used_{feature}_in_session"),
         "raw_session_id_count",
     )
@@ -118,22 +110,10 @@ def rollup_sessions(numbered: DataFrame, feature: str = config.FEATURE) -> DataF
 def sessionize(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
                feature: str = config.FEATURE, slice_us: int = SLICE_US) -> DataFrame:
     """Composite W: ``fct_events`` -> ``fct_sessions``."""
-    return rollup_sessions(number_events(events, gap_minutes, slice_us), feature)
+    pieces = session_pieces(events, gap_minutes, feature, slice_us)
+    return rollup_pieces(number_pieces(pieces, gap_minutes), feature)
 
 
-def sessionize_by_user(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
-                       feature: str = config.FEATURE) -> DataFrame:
-    return rollup_sessions(number_events_by_user(events, gap_minutes), feature)
-
-
-def sessions_via_session_window(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES) -> DataFrame:
-    """Independent cross-check with Spark's ``session_window``.
-
-    Its window end is last event + gap, so the last event time is taken as
-    ``max(ts)`` instead. A gap of exactly ``gap_minutes`` merges, as in W2.
-    """
-    ev = events.select("user_id", F.col("event_time_final").alias("ts"))
-    return (ev.groupBy("user_id", F.session_window("ts", f"{int(gap_minutes)} minutes").alias("w"))
-            .agg(F.min("ts").alias("session_start_at"), F.max("ts").alias("session_end_at"),
-                 F.count(F.lit(1)).alias("event_count"))
-            .drop("w"))
+def session_spans(sessions: DataFrame) -> DataFrame:
+    """Start, end and size of every session."""
+    return sessions.select("user_id", "session_start_at", "session_end_at", "event_count")

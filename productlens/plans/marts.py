@@ -98,7 +98,7 @@ class Marts:
 
     @cached_property
     def mart_cohort_retention_weekly(self) -> DataFrame:
-        df = R.cohort_retention_weekly(self.fct_sessions, self.dim_user_cohorts, self.fct_feature_adoption)
+        df = R.cohort_retention_weekly(self.fct_sessions, self.fct_feature_adoption)
         return self._keep("mart_cohort_retention_weekly", df)
 
     @cached_property
@@ -112,8 +112,8 @@ class Marts:
 
     @cached_property
     def mart_user_week_retention(self) -> DataFrame:
-        df = R.user_week_retention(self.dim_user_cohorts, self.fct_feature_adoption,
-                                   self.mart_user_engagement_tiers, self.fct_sessions, self.weeks)
+        df = R.user_week_retention(self.fct_feature_adoption, self.mart_user_engagement_tiers,
+                                   self.fct_sessions, self.weeks)
         return self._keep("mart_user_week_retention", df)
 
     @cached_property

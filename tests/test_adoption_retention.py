@@ -141,8 +141,8 @@ def _retention_inputs(spark, make_users):
     # signup Wednesday 2024-01-10 -> signup_week Monday 2024-01-08
     users = make_users([user_row("a", "2024-01-10 12:00:00"), user_row("b", "2024-01-10 12:00:00"),
                         user_row("c", "2024-01-10 12:00:00")])
-    cohorts = K.user_cohorts(users)
-    adoption = spark.createDataFrame([("a", True), ("b", False), ("c", False)], "user_id string, adopted_feature boolean")
+    adopted = spark.createDataFrame([("a", True), ("b", False), ("c", False)], "user_id string, adopted_feature boolean")
+    adoption = K.user_cohorts(users).select("user_id", "signup_week").join(adopted, "user_id")
     s = _sessions(spark, [
         ("a", "2024-01-05 10:00:00"),   # before the signup week: dropped
         ("a", "2024-01-08 00:00:00"),   # week 0 (before signup, same calendar week)
@@ -152,13 +152,13 @@ def _retention_inputs(spark, make_users):
         ("b", "2024-01-29 08:00:00"),   # week 3 only (gap weeks)
         ("b", "2024-01-29 09:00:00"),
     ])
-    return cohorts, adoption, s
+    return adoption, s
 
 
 def test_cohort_retention_weekly(spark, make_users):
-    cohorts, adoption, s = _retention_inputs(spark, make_users)
+    adoption, s = _retention_inputs(spark, make_users)
     r = {(x["adopted_feature"], x["week_number"]): x for x in
-         R.cohort_retention_weekly(s, cohorts, adoption).collect()}
+         R.cohort_retention_weekly(s, adoption).collect()}
     assert sorted(r) == [(False, 3), (True, 0), (True, 1), (True, 2), (True, 9)]
     assert r[(False, 3)]["active_users"] == 1 and r[(False, 3)]["cohort_size"] == 2
     assert r[(False, 3)]["retention_rate_pct"] == Decimal("50.00")
@@ -166,12 +166,39 @@ def test_cohort_retention_weekly(spark, make_users):
 
 
 def test_user_week_retention_dense(spark, make_users):
-    cohorts, adoption, s = _retention_inputs(spark, make_users)
+    adoption, s = _retention_inputs(spark, make_users)
     tiers = spark.createDataFrame([("a", "0-1 sessions"), ("b", "0-1 sessions"), ("c", "2-3 sessions")],
                                   "user_id string, engagement_tier string")
-    rows = R.user_week_retention(cohorts, adoption, tiers, s).collect()
+    rows = R.user_week_retention(adoption, tiers, s).collect()
     assert len(rows) == 3 * 9
     got = {(x["user_id"], x["week_number"]): x["retained"] for x in rows}
     assert [got[("a", w)] for w in range(9)] == [1, 1, 1, 0, 0, 0, 0, 0, 0]
     assert [got[("b", w)] for w in range(9)] == [0, 0, 0, 1, 0, 0, 0, 0, 0]
     assert sum(got[("c", w)] for w in range(9)) == 0
+
+
+def test_heatmap_grid_keeps_every_week(spark, make_users):
+    from productlens.operators import reports as N
+    adoption, s = _retention_inputs(spark, make_users)
+    grid = {r["week_number"]: r["retention_rate_pct"] for r in
+            N.retention_heatmap_grid(R.cohort_retention_weekly(s, adoption)).collect()}
+    assert grid == {w: Decimal("100.00") for w in (0, 1, 2, 9)}
+
+
+def test_cohort_without_sessions_counts_only_in_sizes(spark, make_users):
+    adoption, s = _retention_inputs(spark, make_users)
+    assert R.cohort_retention_weekly(s.limit(0), adoption).count() == 0
+
+
+def test_unknown_rollout_start_leaves_all_users_ineligible(spark, make_raw, make_users):
+    from productlens import schemas
+    from productlens.operators import clean as C
+    from tests.conftest import raw_row
+    users = make_users([user_row("a"), user_row("b")])
+    events = C.clean_events(make_raw([raw_row("1", "a", "feature_used", feature_name="team_collab")]), users)
+    features = spark.createDataFrame([("team_collab", None, None, None, None)], schemas.DIM_FEATURES)
+    rows = by_key(A.feature_adoption(K.user_cohorts(users), features, events).collect(), "user_id")
+    assert {u: (r["feature_rollout_eligible"], r["adopted_feature"]) for u, r in rows.items()} == {
+        "a": (False, True), "b": (False, False)}
+    assert rows["a"]["first_activity_after_launch"] is None and rows["a"]["total_feature_use_events"] == 1
+    assert A.feature_adoption(K.user_cohorts(users), features.limit(0), events).count() == 0

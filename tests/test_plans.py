@@ -10,11 +10,11 @@ from tests.conftest import SF_SMALL
 
 # table -> most full shuffles (hash/single-partition exchanges) its own job may plan
 MAX_SHUFFLES = {
-    "fct_sessions": 6,
+    "fct_sessions": 2,
     "fct_feature_adoption": 2,
-    "mart_cohort_retention_weekly": 7,
-    "mart_user_week_retention": 4,
-    "mart_user_baseline_engagement": 5,
+    "mart_cohort_retention_weekly": 4,
+    "mart_user_week_retention": 3,
+    "mart_user_baseline_engagement": 3,
     "mart_feature_impact_summary": 1,
 }
 INPUTS = ("fct_events", "fct_sessions", "dim_user_cohorts", "fct_feature_adoption", "monthly_revenue",

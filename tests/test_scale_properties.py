@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from productlens.operators import clean as C
 from productlens.operators import sessions as W
+from tests import session_forms
 from tests.conftest import raw_row, user_row
 
 EVENTS = T.StructType([
@@ -33,7 +34,7 @@ def test_slice_sessionisation_equals_whole_user_window(spark, steps):
     events = spark.createDataFrame(rows, EVENTS)
     cols = ["user_id", "session_number", "session_start_at", "session_end_at", "event_count",
             "raw_session_id_count"]
-    want = sorted(map(tuple, W.sessionize_by_user(events).select(cols).collect()))
+    want = sorted(map(tuple, session_forms.sessions_by_user(events).select(cols).collect()))
     for slice_us in (86_400_000_000, 3_600_000_000):
         assert sorted(map(tuple, W.sessionize(events, slice_us=slice_us).select(cols).collect())) == want
 
@@ -57,10 +58,11 @@ def test_hot_user_is_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     hot_rows = F.count_if(F.col("user_id") == "hot").alias("count")  # no filter: nothing pushed below the window
+    hot_events = F.sum(F.when(F.col("user_id") == "hot", F.col("event_count"))).alias("count")
     try:
-        per_task = [r for r in W.number_events(events).withColumn("p", F.spark_partition_id())
-                    .groupBy("p").agg(hot_rows, F.max("session_number")).collect() if r["count"]]
-        by_user = [r for r in W.number_events_by_user(events).withColumn("p", F.spark_partition_id())
+        per_task = [r for r in W.session_pieces(events).withColumn("p", F.spark_partition_id())
+                    .groupBy("p").agg(hot_events).collect() if r["count"]]
+        by_user = [r for r in session_forms.number_events_by_user(events).withColumn("p", F.spark_partition_id())
                    .groupBy("p").agg(hot_rows, F.max("session_number")).collect() if r["count"]]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -70,7 +72,7 @@ def test_hot_user_is_spread_over_partitions(spark):
     assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 30_000 / 2
     # and the numbering is the same
     a = W.sessionize(events).agg(F.sum("event_count"), F.max("session_number")).collect()[0]
-    b = W.sessionize_by_user(events).agg(F.sum("event_count"), F.max("session_number")).collect()[0]
+    b = session_forms.sessions_by_user(events).agg(F.sum("event_count"), F.max("session_number")).collect()[0]
     assert tuple(a) == tuple(b)
 
 
@@ -84,22 +86,14 @@ def test_hot_event_id_is_combined_before_the_shuffle(spark, make_raw, make_users
     assert rows["hot"]["session_id"] == "s00000" and rows["hot"]["dq_duplicate_event_id"]
 
 
-def test_baseline_salts_a_hot_user(spark, make_users):
-    from productlens.functions.skew import salt_hot_keys
+def test_baseline_counts_a_hot_user(spark, make_users):
     from productlens.operators import retention as R
     base_us = 1_704_067_200_000_000  # 2024-01-01
     sessions = spark.range(6000).select(
         F.when(F.col("id") < 3000, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 50).cast("string")))
         .alias("user_id"),
         F.timestamp_micros(F.lit(base_us) + F.col("id") * F.lit(60_000_000)).alias("session_start_at"))
-    users = make_users([user_row("hot", "2024-01-01 00:00:00")] + [user_row(f"u{i}", "2024-01-03 00:00:00")
-                                                                   for i in range(50)])
-    exact = {r["user_id"]: r["sessions_first_7d"] for r in R.baseline_engagement(sessions, users).collect()}
-    salted = {r["user_id"]: r["sessions_first_7d"]
-              for r in R.baseline_engagement(sessions, users, hot_threshold=1000, salt_buckets=8).collect()}
-    assert salted == exact and exact["hot"] == 3000
-    big, small = salt_hot_keys(sessions, users.select("user_id", "signup_at"), "user_id",
-                               F.col("session_start_at"), threshold=1000, buckets=8)
-    salts = {r["_salt"] for r in big.filter("user_id = 'hot'").select("_salt").distinct().collect()}
-    assert len(salts) == 8  # the hot user is split over eight join keys
-    assert small.filter("user_id = 'hot'").count() == 8 and small.filter("user_id = 'u1'").count() == 1
+    users = make_users([user_row("hot", "2024-01-01 00:00:00"), user_row("none", "2024-01-01 00:00:00")]
+                       + [user_row(f"u{i}", "2024-01-03 00:00:00") for i in range(50)])
+    got = {r["user_id"]: r["sessions_first_7d"] for r in R.baseline_engagement(sessions, users).collect()}
+    assert got["hot"] == 3000 and got["none"] == 0 and got["u1"] == 60

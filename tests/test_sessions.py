@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from productlens.functions.columns import MICROS_PER_DAY
 from productlens.operators import sessions as W
+from tests import session_forms
 
 EVENTS = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -93,7 +94,7 @@ def test_slice_method_equals_whole_user_window(spark):
             "raw_session_id_count", "team_collab_used"]
     for slice_us in (MICROS_PER_DAY, 3_600_000_000, 600_000_000):
         a = sorted(map(tuple, W.sessionize(events, slice_us=slice_us).select(cols).collect()))
-        b = sorted(map(tuple, W.sessionize_by_user(events).select(cols).collect()))
+        b = sorted(map(tuple, session_forms.sessions_by_user(events).select(cols).collect()))
         assert a == b
 
 
@@ -101,7 +102,7 @@ def test_session_window_cross_check(spark):
     events = _random_events(spark, seed=11)
     cols = ["user_id", "session_start_at", "session_end_at", "event_count"]
     a = sorted(map(tuple, W.sessionize(events).select(cols).collect()))
-    b = sorted(map(tuple, W.sessions_via_session_window(events).select(cols).collect()))
+    b = sorted(map(tuple, session_forms.sessions_via_session_window(events).select(cols).collect()))
     assert a == b
 
 
@@ -119,3 +120,24 @@ def test_counts_over_null_event_names_stay_null(spark):
     assert s[("a", 1)]["login_events"] is None and s[("a", 1)]["event_count"] == 2
     assert s[("b", 1)]["login_events"] == 1 and s[("b", 1)]["page_views"] == 0
     assert s[("a", 1)]["used_team_collab_in_session"] is None
+
+
+def test_events_without_time_come_last(spark):
+    # the first has an unknown gap and stays; for the others the previous time is unknown
+    rows = [row(1, "a", T0), row(2, "a", T0 + timedelta(minutes=5)), row(3, "a", None, sid="x"),
+            row(4, "b", None), row(5, "b", None, sid=None), row(6, "b", None),
+            row(7, "c", T0), row(8, "c", T0 + timedelta(hours=9)), row(9, "c", None), row(10, "c", None)]
+    for slice_us in (W.SLICE_US, MICROS_PER_DAY):
+        s = sessions_by_user(W.sessionize(ev(spark, rows), slice_us=slice_us))
+        assert {k: r["event_count"] for k, r in s.items()} == {
+            ("a", 1): 3, ("b", 1): 1, ("b", 2): 1, ("b", 3): 1, ("c", 1): 1, ("c", 2): 2, ("c", 3): 1}
+        assert s[("a", 1)]["raw_session_id_count"] == 2 and s[("b", 2)]["raw_session_id_count"] == 0
+        assert s[("b", 1)]["session_start_at"] is None and s[("c", 2)]["session_duration_seconds"] == 0
+
+
+def test_slice_method_equals_whole_user_window_with_missing_times(spark):
+    events = _random_events(spark, seed=5).withColumn(
+        "event_time_final", F.when(F.crc32("event_id") % 50 != 0, F.col("event_time_final")))
+    cols = ["user_id", "session_number", "event_count", "raw_session_id_count"]
+    a = sorted(map(tuple, W.sessionize(events).select(cols).collect()))
+    assert a == sorted(map(tuple, session_forms.sessions_by_user(events).select(cols).collect()))
