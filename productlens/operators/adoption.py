@@ -90,15 +90,16 @@ def feature_adoption(cohorts: DataFrame, features: DataFrame, events: DataFrame,
                      resolution: int = config.BUCKET_RESOLUTION) -> DataFrame:
     """Composite A: one row per non-internal user (empty when the feature has no row)."""
     # The feature row is unique (primary key): its rollout bounds are scalar
-    # subqueries, evaluated once and inlined as constants (no join). Without a
-    # feature row they are NULL and the mart is empty.
+    # subqueries, evaluated once and inlined as constants (no join). With a NULL
+    # rollout start nobody is eligible; without a feature row the mart is empty.
     window = feature_window(features, feature, rollout_days)
     start = window.select("rollout_start_at").scalar()
     end = window.select("rollout_end_at").scalar()
+    known = window.select(F.lit(True).alias("known")).scalar()
     activity = user_feature_activity(events, start, feature)
     base = (cohorts.select("user_id", "signup_at", "signup_week", "signup_month", *SEGMENTS,
-                           start.alias("rollout_start_at"), end.alias("rollout_end_at"))
-            .filter(F.col("rollout_start_at").isNotNull())
+                           start.alias("rollout_start_at"), end.alias("rollout_end_at"), known.alias("_known"))
+            .filter("_known")
             .withColumn("_bucket", rollout_bucket("user_id", resolution)))
     a = base.join(activity, "user_id", "left")
     used = F.col("first_used_at")

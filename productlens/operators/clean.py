@@ -49,14 +49,13 @@ def duplicate_ids(raw: DataFrame) -> DataFrame:
 
 def deduplicate(raw: DataFrame) -> DataFrame:
     """One row per non-NULL event_id plus ``dq_duplicate_event_id``."""
-    best = F.min(F.struct(*_nulls_last_key(DEDUP_ORDER),
-                          *[F.col(c).alias(c) for c in PAYLOAD])).alias("_best")
+    best = F.min(F.struct(*_nulls_last_key(DEDUP_ORDER))).alias("_best")  # the order holds every payload column
     agg = (raw.filter(F.col("event_id").isNotNull())
            .groupBy("event_id")
            .agg(F.count(F.lit(1)).alias("_copies"), best))
     return agg.select(
         "event_id",
-        *[F.col(f"_best.{c}").alias(c) for c in PAYLOAD],
+        *[F.col(f"_best._k{DEDUP_ORDER.index(c)}").alias(c) for c in PAYLOAD],
         (F.col("_copies") > 1).alias("dq_duplicate_event_id"),
     )
 
@@ -65,17 +64,18 @@ def repair_time(events: DataFrame, json_key: str = "client_event_time") -> DataF
     """event_time -> client time in the JSON payload -> ingested_at.
 
     An absent key, a JSON null and an unparsable value all count as "no
-    client time".
+    client time"; ``dq_bad_client_time`` tells the last apart.
     """
-    client = F.get_json_object("properties_json", f"$.{json_key}").try_cast("timestamp")
-    client = F.when(F.col("event_time").isNull(), client)
+    text = F.when(F.col("event_time").isNull(), F.get_json_object("properties_json", f"$.{json_key}"))
     return (events
-            .withColumn("_client", client)
+            .withColumn("_text", text)
+            .withColumn("_client", F.col("_text").try_cast("timestamp"))
+            .withColumn("dq_bad_client_time", F.col("_text").isNotNull() & F.col("_client").isNull())
             .withColumn("event_time_final", F.coalesce("event_time", "_client", "ingested_at"))
             .withColumn("dq_missing_event_time", F.col("event_time").isNull())
             .withColumn("dq_used_client_time", F.col("event_time").isNull() & F.col("_client").isNotNull())
             .withColumn("dq_used_ingested_time", F.col("event_time").isNull() & F.col("_client").isNull())
-            .drop("_client"))
+            .drop("_client", "_text"))
 
 
 def standardise_fields(events: DataFrame, devices=config.DEVICE_TYPES,
@@ -100,7 +100,7 @@ FCT_EVENTS_COLUMNS = (
     "event_id", "user_id", "event_name", "event_time_final", "feature_name", "session_id",
     "device_type", "country", "properties_json", "ingested_at",
     "dq_missing_event_time", "dq_used_client_time", "dq_used_ingested_time",
-    "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country",
+    "dq_bad_client_time", "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country",
 )
 
 
@@ -116,7 +116,7 @@ def clean_events(raw: DataFrame, users: DataFrame, devices=config.DEVICE_TYPES,
 
 def dq_flag_counts(fct_events: DataFrame) -> DataFrame:
     """One-row summary of the data-quality flags carried by ``fct_events``."""
-    flags = ("dq_missing_event_time", "dq_used_client_time", "dq_used_ingested_time",
+    flags = ("dq_missing_event_time", "dq_used_client_time", "dq_used_ingested_time", "dq_bad_client_time",
              "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country")
     aggs = [F.count(F.lit(1)).alias("n_events")]
     aggs += [F.count_if(F.col(f)).alias(f"n_{f[3:]}") for f in flags]

@@ -4,8 +4,8 @@
   from signup to adoption, evaluated on an equal-spaced grid over the data
   range and also scaled to histogram counts (density x n x bin width).
 * ``adoption_logit``: logistic curve P(adopted | sessions in first 7 days),
-  fitted with Spark ML (binomial GLM, IRLS) on the aggregated (x, y, count) cells.
-* ``adoption_logit_ci``: percentile bootstrap band of that curve.
+  fitted by Newton steps on the aggregated (x, y, count) cells.
+* ``adoption_logit_ci``: percentile bootstrap band of that curve, same estimator.
 
 Scale notes
 -----------
@@ -13,10 +13,9 @@ The raw observations are first reduced to distinct values with counts
 (map-side partial aggregation), so the work that follows grows with the
 number of distinct values, not with rows. The KDE expands each distinct
 value over the fixed evaluation grid (a linear ``explode``, no join) and sums
-per grid point. The bootstrap never resamples rows: a replicate of N rows
-over the cells is a multinomial draw of cell counts, so each replicate is
-one row holding the cell arrays; replicates are spread over tasks with
-``mapInPandas`` and fitted in parallel with a few Newton steps in numpy.
+per grid point. The bootstrap never resamples rows: a replicate reweights the
+cells, is one row holding the cell arrays, and replicates are spread over
+tasks with ``mapInPandas`` and fitted with a few Newton steps in numpy.
 """
 
 from __future__ import annotations
@@ -67,10 +66,7 @@ def _reduced(df: DataFrame) -> DataFrame:
     the checkpoint instead of re-running the pipeline, and a lost executor
     does not replay the lineage.
     """
-    try:
-        checkpoint_dir(df.sparkSession)
-    except RuntimeError:  # no shared folder configured: keep the (small) lineage instead
-        return df
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -83,32 +79,6 @@ def _cells(baseline: DataFrame, adoption: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("n")))
 
 
-def _grid(cells: DataFrame, points: int) -> DataFrame:
-    b = cells.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
-    g = b.select(F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("grid_index"))
-    return g.select("grid_index", (lo + F.col("grid_index") * (hi - lo) / F.lit(float(points - 1))).alias("x"))
-
-
-def adoption_logit(baseline: DataFrame, adoption: DataFrame, points: int = config.LOGIT_GRID) -> DataFrame:
-    """Binomial GLM (logit link) fitted by IRLS on the aggregated cells,
-    weighted by cell counts (the same estimator as a row-level logistic fit);
-    curve on a grid over the observed range."""
-    from pyspark.ml.feature import VectorAssembler  # driver-only: keeps Python workers' imports light
-    from pyspark.ml.regression import GeneralizedLinearRegression
-
-    cells = _cells(baseline, adoption)
-    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(cells)
-    model = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features",
-                                        labelCol="y", weightCol="n", regParam=0.0, maxIter=50,
-                                        tol=1e-8).fit(data)
-    a, b = float(model.intercept), float(model.coefficients[0])
-    grid = _grid(cells, points)
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("x"))))
-    return grid.select("grid_index", "x", p.alias("p_adopt"),
-                       F.lit(a).alias("intercept"), F.lit(b).alias("coefficient"))
-
-
 def _fit_logit(x: np.ndarray, y: np.ndarray, w: np.ndarray, iters: int = 50) -> tuple[float, float]:
     """Weighted logistic MLE by Newton-Raphson (2 parameters)."""
     X = np.column_stack([np.ones_like(x), x])
@@ -125,43 +95,60 @@ def _fit_logit(x: np.ndarray, y: np.ndarray, w: np.ndarray, iters: int = 50) ->
     return float(beta[0]), float(beta[1])
 
 
-def _bootstrap_batches(points: int, seed: int):
-    def run(batches):
+def _curves(weighted: DataFrame, points: int) -> DataFrame:
+    """The fitted curve of every replicate: (rep, x, y, w) -> (rep, grid_index, x, p, intercept, coefficient).
+
+    The grid spans the range of x over all cells. Cells are few (distinct
+    session counts x 2), so a replicate is one row of arrays and one small fit.
+    """
+    packed = weighted.groupBy("rep").agg(
+        F.sort_array(F.collect_list(F.struct("x", "y", "w"))).alias("c"),
+        F.min("x").alias("lo"), F.max("x").alias("hi")).select("rep", "c.x", "c.y", "c.w", "lo", "hi")
+
+    def fit(batches):
         for pdf in batches:
             out = []
-            for rep, xs, ys, ns, lo, hi in zip(pdf["rep"], pdf["xs"], pdf["ys"], pdf["ns"], pdf["lo"], pdf["hi"]):
-                xs, ys, ns = np.asarray(xs, float), np.asarray(ys, float), np.asarray(ns, float)
-                total = int(ns.sum())
-                rng = np.random.default_rng(seed + int(rep))
-                w = rng.multinomial(total, ns / ns.sum()).astype(float)
-                a, b = _fit_logit(xs, ys, w)
+            for rep, xs, ys, ws, lo, hi in pdf.itertuples(index=False):
+                a, b = _fit_logit(np.asarray(xs, float), np.asarray(ys, float), np.asarray(ws, float))
                 gx = lo + np.arange(points) * (hi - lo) / (points - 1)
                 p = 1.0 / (1.0 + np.exp(-np.clip(a + b * gx, -35, 35)))
-                out.append(pd.DataFrame({"rep": int(rep), "grid_index": np.arange(points), "x": gx, "p": p}))
+                out.append(pd.DataFrame({"rep": int(rep), "grid_index": np.arange(points), "x": gx, "p": p,
+                                         "intercept": a, "coefficient": b}))
             if out:
                 yield pd.concat(out, ignore_index=True)
-    return run
+
+    ship_package(weighted.sparkSession)
+    return packed.mapInPandas(
+        fit, "rep int, grid_index int, x double, p double, intercept double, coefficient double")
+
+
+def adoption_logit(baseline: DataFrame, adoption: DataFrame, points: int = config.LOGIT_GRID) -> DataFrame:
+    """Logistic curve fitted to the cells weighted by their counts (the estimator of a row-level fit), on a grid
+    over the observed range; no rows without cells."""
+    cells = _cells(baseline, adoption).select(F.lit(0).alias("rep"), "x", "y", F.col("n").alias("w"))
+    return _curves(cells, points).select("grid_index", "x", F.col("p").alias("p_adopt"), "intercept", "coefficient")
+
+
+def replicate_weights(cells: DataFrame, reps: int) -> DataFrame:
+    """Multiplier bootstrap: a cell of n users weighs n + sqrt(n) z (at least 0) in each replicate.
+
+    z has mean 0 and variance 1, as a resampled count has mean and variance n
+    about: the sum of twelve bytes of md5(replicate, x, y), centred and scaled.
+    So a replicate is the same on every engine and partitioning.
+    """
+    each = cells.select(F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"), "x", "y", "n")
+    digest = F.md5(F.concat_ws("|", F.col("rep").cast("string"), F.col("x").cast("bigint").cast("string"),
+                               F.col("y").cast("bigint").cast("string")).cast("binary"))
+    total = sum((F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int") for i in range(1, 12)),
+                F.conv(F.substring(digest, 1, 2), 16, 10).cast("int"))
+    z = (total - F.lit(1530)) / F.sqrt(F.lit(65535.0))
+    return each.select("rep", "x", "y", F.greatest(F.lit(0.0), F.col("n") + F.sqrt("n") * z).alias("w"))
 
 
 def adoption_logit_ci(baseline: DataFrame, adoption: DataFrame, points: int = config.LOGIT_GRID,
-                      reps: int = config.BOOTSTRAP_REPS, level: float = config.CI_LEVEL,
-                      seed: int = 0) -> DataFrame:
-    """Percentile bootstrap band of the logistic curve (``reps`` resamples)."""
-    cells = _cells(baseline, adoption)
-    packed = cells.agg(
-        F.sort_array(F.collect_list(F.struct("x", "y", "n"))).alias("c"),
-        F.min("x").alias("lo"), F.max("x").alias("hi"))
-    per_rep = packed.select(
-        F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"),
-        F.col("c.x").alias("xs"), F.col("c.y").alias("ys"), F.col("c.n").alias("ns"), "lo", "hi")
-    try:
-        slots = per_rep.sparkSession.sparkContext.defaultParallelism
-    except Exception:
-        slots = 8
-    parts = max(1, min(reps, slots))
-    ship_package(per_rep.sparkSession)
-    curves = per_rep.repartition(parts, "rep").mapInPandas(
-        _bootstrap_batches(points, seed), "rep int, grid_index int, x double, p double")
+                      reps: int = config.BOOTSTRAP_REPS, level: float = config.CI_LEVEL) -> DataFrame:
+    """Percentile bootstrap band of the logistic curve (``reps`` replicates); no rows without cells."""
+    curves = _curves(replicate_weights(_cells(baseline, adoption), reps), points)
     q_lo, q_hi = (100.0 - level) / 200.0, 1.0 - (100.0 - level) / 200.0
     return curves.groupBy("grid_index").agg(
         F.first("x").alias("x"),

@@ -97,6 +97,8 @@ DERIVED_GRAINS = {
     "fct_feature_adoption": ("user_id",),
     "mart_cohort_retention_weekly": ("signup_week", "adopted_feature", "week_number"),
     "mart_user_revenue_monthly": ("user_id", "revenue_month"),
+    "mart_feature_impact_summary": ("revenue_month", "adopted_feature", "feature_rollout_eligible", "industry",
+                                    "company_size", "acquisition_channel"),
     "mart_revenue_relative_to_adoption": ("user_id", "revenue_month"),
     "mart_user_baseline_engagement": ("user_id",),
     "mart_user_engagement_tiers": ("user_id",),
@@ -107,19 +109,17 @@ DERIVED_GRAINS = {
 def grain_violations(tables: dict[str, DataFrame], grains=DERIVED_GRAINS) -> DataFrame:
     """Q1 for derived tables: rows, distinct grain keys and keys occurring more than once.
 
-    A composite key is compared as one JSON-encoded value, so every table
-    fits one union and one partial-aggregated ``groupBy``. A NULL key part
-    is a value of the grain here (a never-invoiced user has one NULL month).
+    Each table is grouped by its own typed key columns (partially aggregated)
+    and summed to one row; the rows are unioned. A NULL key part is a value
+    of the grain here (a never-invoiced user has one NULL month).
     """
-    parts = [tables[t].select(F.lit(t).alias("table_name"),
-                              F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in keys]),
-                                        {"ignoreNullFields": "false"}).alias("_k"))
-             for t, keys in grains.items()]
-    per_key = reduce(DataFrame.unionByName, parts).groupBy("table_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
-    summary = per_key.groupBy("table_name").agg(
-        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
-        F.count_if(F.col("_n") > 1).alias("duplicate_keys"))
-    names = _names(tables, [(t, ",".join(k)) for t, k in grains.items()], "table_name string, grain string")
     zero = F.lit(0).cast("bigint")
-    counts = [F.coalesce(F.col(c), zero).alias(c) for c in ("rows", "distinct_keys", "duplicate_keys")]
-    return names.join(F.broadcast(summary), "table_name", "left").select("table_name", "grain", *counts)
+    parts = []
+    for t, keys in grains.items():
+        per_key = tables[t].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(per_key.agg(
+            F.coalesce(F.sum("_n"), zero).alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+            F.count_if(F.col("_n") > 1).alias("duplicate_keys"))
+            .select(F.lit(t).alias("table_name"), F.lit(",".join(keys)).alias("grain"), "rows", "distinct_keys",
+                    "duplicate_keys"))
+    return reduce(DataFrame.unionByName, parts)

@@ -63,21 +63,30 @@ def time_to_adoption_hist(adoption: DataFrame, bins: int = config.HIST_BINS) ->
                     F.coalesce(F.col("users"), F.lit(0)).alias("users")))
 
 
-def retention_curve(cohort_retention: DataFrame, first_week: int = 1,
+def retention_means(cohort_retention: DataFrame, first_week: int = 1,
                     last_week: int = config.RETENTION_WEEKS) -> DataFrame:
-    """Unweighted mean of cohort retention rates by (week, adopted)."""
+    """Unweighted mean of cohort retention rates by (week, adopted)."""
     return (cohort_retention.filter(F.col("week_number").between(first_week, last_week))
             .groupBy("week_number", "adopted_feature")
-            .agg(F.avg("retention_rate_pct").alias("retention"))
-            .orderBy("week_number", "adopted_feature"))
+            .agg(F.avg("retention_rate_pct").alias("retention")))
 
 
-def retention_by_tier(user_weeks: DataFrame, first_week: int = 1, last_week: int = 4) -> DataFrame:
-    """Retention % by engagement tier, adoption and week (bias control)."""
+def retention_curve(cohort_retention: DataFrame, first_week: int = 1,
+                    last_week: int = config.RETENTION_WEEKS) -> DataFrame:
+    """The means in the report's order."""
+    return retention_means(cohort_retention, first_week, last_week).orderBy("week_number", "adopted_feature")
+
+
+def tier_means(user_weeks: DataFrame, first_week: int = 1, last_week: int = 4) -> DataFrame:
+    """Retention % by engagement tier, adoption and week."""
     return (user_weeks.filter(F.col("week_number").between(first_week, last_week))
             .groupBy("engagement_tier", "adopted_feature", "week_number")
-            .agg(F.round(F.avg(F.col("retained").cast("decimal(10,0)")) * 100, 2).alias("retention_rate_pct"))
-            .orderBy("engagement_tier", "adopted_feature", "week_number"))
+            .agg(F.round(F.avg(F.col("retained").cast("decimal(10,0)")) * 100, 2).alias("retention_rate_pct")))
+
+
+def retention_by_tier(user_weeks: DataFrame, first_week: int = 1, last_week: int = 4) -> DataFrame:
+    """The tier means in the report's order (bias control)."""
+    return tier_means(user_weeks, first_week, last_week).orderBy("engagement_tier", "adopted_feature", "week_number")
 
 
 def revenue_around_adoption(rel: DataFrame, before: int = 3, after: int = 3) -> DataFrame:
@@ -113,6 +122,16 @@ def retention_heatmap(cohort_retention: DataFrame, weeks=None) -> DataFrame:
     return p.select("signup_week", *[F.col(str(w)).alias(f"w{w}") for w in weeks])
 
 
+def retention_heatmap_grid(cohort_retention: DataFrame) -> DataFrame:
+    """N9 with every week of the data, one row for each cell; cells without data are NULL."""
+    wide = retention_heatmap(cohort_retention)
+    weeks = wide.columns[1:]
+    if not weeks:
+        return retention_heatmap_long(cohort_retention)
+    return wide.unpivot("signup_week", weeks, "week", "retention_rate_pct").select(
+        "signup_week", F.substring("week", 2, 10).cast("int").alias("week_number"), "retention_rate_pct")
+
+
 def activity_curve(user_weeks: DataFrame) -> DataFrame:
     """Share of users active per (week, adopted) over the dense user-week rows."""
     return (user_weeks.groupBy("week_number", "adopted_feature").agg(F.avg("retained").alias("retention"))
@@ -142,8 +161,8 @@ def adoption_rate(adoption: DataFrame) -> DataFrame:
 
 
 def retention_lift(curve: DataFrame) -> DataFrame:
-    """Adopters minus non-adopters, in percentage points, by week (from N5)."""
-    p = curve.groupBy("week_number").pivot("adopted_feature", [True, False]).agg(F.first("retention"))
+    """Adopters minus non-adopters, in percentage points, by week (from the means of N5)."""
+    p = curve.groupBy("week_number").pivot("adopted_feature", [True, False]).agg(F.max("retention"))
     p = p.select("week_number", F.col("true").alias("retention_adopters"),
                  F.col("false").alias("retention_non_adopters"))
     return p.withColumn("lift_pp", F.col("retention_adopters") - F.col("retention_non_adopters"))
@@ -152,7 +171,7 @@ def retention_lift(curve: DataFrame) -> DataFrame:
 def retention_lift_by_tier(by_tier: DataFrame) -> DataFrame:
     """N15 by engagement tier (from N6)."""
     p = (by_tier.groupBy("engagement_tier", "week_number")
-         .pivot("adopted_feature", [True, False]).agg(F.first("retention_rate_pct")))
+         .pivot("adopted_feature", [True, False]).agg(F.max("retention_rate_pct")))
     p = p.select("engagement_tier", "week_number", F.col("true").alias("retention_adopters"),
                  F.col("false").alias("retention_non_adopters"))
     return p.withColumn("lift_pp", F.col("retention_adopters") - F.col("retention_non_adopters"))

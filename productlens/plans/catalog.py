@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import re
 import threading
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,18 +22,14 @@ from productlens.operators import models as M
 from productlens.operators import quality as Q
 from productlens.operators import reports as N
 from productlens.operators import sessions as W
-from productlens.plans.checks import for_check
+from productlens.plans.checks import for_check, rounded
 from productlens.plans.marts import Marts
-from productlens.session import checkpoint_dir, ensure_utc
-from productlens.sources.driver import DriverSource
+from productlens.session import ensure_utc, input_version, scratch_folder
+from productlens.sources.csv import read_table, write_table
+from productlens.sources.driver import OTHER_FEATURE, DriverSource
 from productlens.sources.warehouse import Warehouse
 
-# One folder per process under the shared checkpoint folder, so a run never
-# reads tables another run wrote.
-RUN_ID = uuid.uuid4().hex[:12]
-
-
-_MARTS: dict[tuple[int, str], tuple[SparkSession, Marts]] = {}
+_MARTS: dict[tuple[int, str, str], tuple[SparkSession, Marts]] = {}
 _LOCK = threading.Lock()
 
 
@@ -45,11 +40,12 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     over the whole input the first time a query needs it, written to the
     session's shared checkpoint folder (``spark.checkpoint.dir``) and read
     back by every later consumer; reports then run over the written marts.
+    Changed input files start a new set; the folders go when the driver ends.
     ``PRODUCTLENS_MATERIALIZE=0`` keeps every table a lazy plan instead, so
     each query recomputes its branch from the parquet files.
     """
     ensure_utc(spark)
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (id(spark), sf_dir.rstrip("/"), input_version(spark, sf_dir, ("customer", "events", "orders")))
     with _LOCK:
         hit = _MARTS.get(key)
         if hit is not None and hit[0] is spark:
@@ -62,10 +58,7 @@ def _new_marts(spark: SparkSession, sf_dir: str, key) -> Marts:
     store = None
     if os.environ.get("PRODUCTLENS_MATERIALIZE", "1") != "0":
         tag = re.sub(r"[^A-Za-z0-9.]+", "_", sf_dir.strip("/"))
-        try:
-            store = Warehouse(spark, f"{checkpoint_dir(spark)}/productlens-marts/{RUN_ID}/{tag}")
-        except RuntimeError:
-            store = None  # no shared folder: plan every table lazily
+        store = Warehouse(spark, scratch_folder(spark, f"productlens-marts-{tag}"))
     # one-step projections of cheap inputs are recomputed rather than written
     light = frozenset({"dim_user_cohorts", "mart_user_engagement_tiers"})
     m = Marts(src.tables(), rollout_days=src.rollout_days, store=store, store_skip=light)
@@ -80,6 +73,17 @@ def _q(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _csv(table: str, omit: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
+    """A base table exported as CSV without the ``omit`` columns, loaded from the files into the raw layer, read back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        root = scratch_folder(spark, "productlens-csv")
+        write_table(DriverSource(spark, sf_dir).tables()[table].drop(*omit), f"{root}/{table}")
+        loaded = Warehouse(spark, f"{root}/warehouse").write(read_table(spark, f"{root}/{table}", table), "raw", table)
+        return for_check(loaded)
+    return run
+
+
 def _retention_curve(m: Marts) -> DataFrame:
     return N.retention_curve(m.mart_cohort_retention_weekly, 1, m.weeks)
 
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_events": _q(lambda m: m.raw_events),
     "dim_users": _q(lambda m: m.dim_users),
     "billing_invoices": _q(lambda m: m.invoices),
+    "subscriptions": _q(lambda m: m.base["fct_subscriptions"]),
     "pk_violations": _q(lambda m: Q.pk_violations(m.base)),
     "null_violations": _q(lambda m: Q.null_violations(m.base)),
     "orphan_keys": _q(lambda m: Q.orphan_keys(m.base)),
@@ -102,11 +107,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_flag_counts": _q(lambda m: C.dq_flag_counts(m.fct_events)),
     # sessions
     "sessions": _q(lambda m: m.fct_sessions),
-    "sessions_session_window": _q(lambda m: W.sessions_via_session_window(m.fct_events, m.gap_minutes)),
+    "sessions_session_window": _q(lambda m: W.session_spans(m.fct_sessions)),
     # cohorts, adoption
     "user_cohorts": _q(lambda m: m.dim_user_cohorts),
     "rollout_bucket": _q(lambda m: A.rollout_buckets(m.dim_users)),
     "feature_adoption": _q(lambda m: m.fct_feature_adoption),
+    "feature_adoption_no_rollout": _q(lambda m: A.feature_adoption(
+        m.dim_user_cohorts, m.dim_features, m.fct_events, OTHER_FEATURE, m.rollout_days, m.initial_share)),
     # retention
     "cohort_retention_weekly": _q(lambda m: m.mart_cohort_retention_weekly),
     "baseline_engagement": _q(lambda m: m.mart_user_baseline_engagement),
@@ -126,17 +133,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention_by_tier": _q(_retention_by_tier),
     "revenue_around_adoption": _q(lambda m: N.revenue_around_adoption(m.mart_revenue_relative_to_adoption)),
     "adoption_rate_by_size": _q(lambda m: N.adoption_rate_by_size(m.fct_feature_adoption)),
-    "retention_heatmap": _q(lambda m: N.retention_heatmap(m.mart_cohort_retention_weekly, range(0, m.weeks + 1))),
+    "retention_heatmap": _q(lambda m: N.retention_heatmap_grid(m.mart_cohort_retention_weekly)),
     "retention_heatmap_cells": _q(lambda m: N.retention_heatmap_long(m.mart_cohort_retention_weekly)),
     "activity_curve": _q(lambda m: N.activity_curve(m.mart_user_week_retention)),
     "adoption_share_by_size": _q(lambda m: N.adoption_share_by_size(m.fct_feature_adoption)),
     "adoption_rate": _q(lambda m: N.adoption_rate(m.fct_feature_adoption)),
-    "retention_lift": _q(lambda m: N.retention_lift(_retention_curve(m))),
-    "retention_lift_by_tier": _q(lambda m: N.retention_lift_by_tier(_retention_by_tier(m))),
+    "retention_lift": _q(lambda m: N.retention_lift(N.retention_means(m.mart_cohort_retention_weekly, 1, m.weeks))),
+    "retention_lift_by_tier": _q(lambda m: N.retention_lift_by_tier(N.tier_means(m.mart_user_week_retention, 1, 4))),
     "adoption_by_tier": _q(lambda m: N.adoption_by_tier(m.mart_user_engagement_tiers, m.fct_feature_adoption)),
-    # statistical models (no SQL oracle)
-    "time_to_adoption_kde": _q(lambda m: M.time_to_adoption_kde(m.fct_feature_adoption)),
-    "adoption_logit": _q(lambda m: M.adoption_logit(m.mart_user_baseline_engagement, m.fct_feature_adoption)),
-    "adoption_logit_ci": _q(lambda m: M.adoption_logit_ci(m.mart_user_baseline_engagement,
-                                                          m.fct_feature_adoption)),
+    # statistical models: iterated floating point, compared to some digits
+    "time_to_adoption_kde": _q(lambda m: rounded(M.time_to_adoption_kde(m.fct_feature_adoption), 9)),
+    "adoption_logit": _q(lambda m: rounded(
+        M.adoption_logit(m.mart_user_baseline_engagement, m.fct_feature_adoption), 6)),
+    "adoption_logit_ci": _q(lambda m: rounded(
+        M.adoption_logit_ci(m.mart_user_baseline_engagement, m.fct_feature_adoption), 6)),
+    # base tables through CSV files and the raw layer
+    "csv_raw_events": _csv("raw_events"),
+    "csv_dim_users": _csv("dim_users"),
+    "csv_subscriptions": _csv("fct_subscriptions"),
+    "csv_billing_invoices": _csv("fct_billing_invoices"),
+    "csv_dim_users_defaults": _csv("dim_users", omit=("is_internal",)),
 }

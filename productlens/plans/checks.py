@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    """Floating-point columns to ``digits`` decimals."""
+    return df.select(*[F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def for_check(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:

@@ -56,8 +56,8 @@ def marts_from_warehouse(spark: SparkSession, root: str, catalog: bool = False,
     return Marts({}, derived=derived, **params)
 
 
-def to_pandas_checked(df: DataFrame, max_rows: int = 1_000_000):
-    """``toPandas`` for small results only: fails instead of pulling an unbounded result."""
+def to_pandas_checked(df: DataFrame, max_rows: int):
+    """``toPandas`` of a result that the caller knows to have at most ``max_rows`` rows; fails if it has more."""
     head = df.limit(max_rows + 1).toPandas()
     if len(head) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; write it out instead of collecting it")

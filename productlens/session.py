@@ -6,8 +6,10 @@ with ``spark.sql.session.timeZone=UTC``.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,18 +65,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="productlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    delete_at_exit(spark, f"file://{path}")
     sc.setCheckpointDir(path)
     return path
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete the folder when the driver's JVM ends."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared checkpoint folder, deleted when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return path
+
+
+def input_version(spark: SparkSession, sf_dir: str, tables) -> str:
+    """Names, sizes and times of the tables' files, as one digest."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for t in tables:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            for s in fs.listStatus(path):
+                seen.append(f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``productlens`` importable in Python workers (``--py-files`` at runtime).
 
-    Needed before the Pandas-UDF paths (bootstrap refits, streaming dedup
-    state), whose functions live in this package. Zips the package once per
+    Needed before the paths that run Python in tasks, whose functions live in
+    this package. Zips the package once per
     application and registers it with ``addPyFile``, which copies it to every
     executor.
     """
@@ -93,4 +122,5 @@ def ship_package(spark: SparkSession) -> None:
     out = tempfile.mkdtemp(prefix="productlens-pkg-", dir=os.environ.get("TMPDIR", "/tmp"))
     archive = shutil.make_archive(os.path.join(out, "productlens"), "zip", root_dir=pkg.parent, base_dir=pkg.name)
     sc.addPyFile(archive)
+    delete_at_exit(spark, f"file://{os.path.abspath(out)}")
     _SHIPPED.add(app)

@@ -1,7 +1,8 @@
 """CSV source and sink for the base tables.
 
 ``read_table`` maps columns **by header name** (not position) onto the
-declared schema, casts from text with ``try_cast`` (a malformed value
+declared schema (all files of a folder must have the same header; a file
+with another one fails the load), casts from text with ``try_cast`` (a malformed value
 becomes NULL instead of failing the load; ``count_cast_failures`` reports
 them), and fills columns absent from the file with their load defaults.
 JSON cells written by pandas double their quotes, so ``escape='"'`` is
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from productlens import schemas
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "false"}
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "true"}  # quoted cells may hold line breaks, so a file is one task: write many files
 # Written timestamps keep microseconds and an explicit offset (Spark's default keeps milliseconds).
 WRITE_OPTIONS = {**CSV_OPTIONS, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -41,10 +42,16 @@ def apply_load_defaults(df: DataFrame, table: str, load_ts: datetime | None = No
     return df
 
 
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every column as string, named by the header; a file whose header differs fails when it is read."""
+    named = spark.read.options(**CSV_OPTIONS).csv(path).schema
+    return spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").schema(named).csv(path)
+
+
 def read_table(spark: SparkSession, path: str, table: str, load_ts: datetime | None = None) -> DataFrame:
     """Read one base table from CSV files with a header row."""
     schema = schemas.BASE_TABLES[table]
-    text = spark.read.options(**CSV_OPTIONS).csv(path)  # every column as string, named by the header
+    text = read_text(spark, path)
     present = set(text.columns)
     cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields if f.name in present]
     df = apply_load_defaults(text.select(*cols), table, load_ts)
@@ -57,7 +64,7 @@ def read_table(spark: SparkSession, path: str, table: str, load_ts: datetime | N
 def count_cast_failures(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Per column, non-empty text values that did not parse into the declared type."""
     schema = schemas.BASE_TABLES[table]
-    text = spark.read.options(**CSV_OPTIONS).csv(path)
+    text = read_text(spark, path)
     aggs = [F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
             .alias(f.name) for f in schema.fields if f.name in text.columns
             and not isinstance(f.dataType, T.StringType)]

@@ -36,6 +36,7 @@ INVOICE_BASE_MONTH = date(2023, 8, 1)
 ORDER_STATUS = (("F", "paid"), ("O", "open"), ("P", "void"))
 INVALID_DEVICE = "unkn0wn"
 INVALID_COUNTRY = "XX"
+OTHER_FEATURE = "quick_search"        # a second feature, without a rollout
 # --- end of fixed values ---
 
 HOUR_US = 3_600_000_000
@@ -61,10 +62,6 @@ def _user_country(idx9: Column) -> Column:
     return _pick(idx9, config.COUNTRY_CODES)
 
 
-def load_driver_tables(spark: SparkSession, sf_dir: str, names=("events", "customer", "orders")):
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
-
-
 def dim_users(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     signup_us = F.lit(BASE_US) + (k % SIGNUP_SPREAD_DAYS) * F.lit(MICROS_PER_DAY)
@@ -88,14 +85,18 @@ def raw_events(events: DataFrame, feature: str = config.FEATURE) -> DataFrame:
         eid.alias("eid"), uid.alias("uid"), F.col("event_type"), us.alias("us"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
-    day_us = F.col("us") - F.pmod(F.col("us"), F.lit(MICROS_PER_DAY))
-    e = e.withColumn("day_us", day_us).withColumn(
+    e = e.withColumn("day_us", F.col("us") - F.pmod(F.col("us"), F.lit(MICROS_PER_DAY))).withColumn(
         "di", _idiv(F.col("day_us"), MICROS_PER_DAY) - F.lit(BASE_DAY))
     # Every driver event is kept. Each driver user's days are spread over ten
     # customers (the driver has ten customers per event user), so activity is
     # intermittent per user and retention is not trivially complete.
     u, di = F.col("uid"), F.col("di")
     e = e.withColumn("uid", u * 10 + (u * 31 + di * 17) % 10)
+    # The customers with last digit 3 come back over three times as long a span,
+    # so some cohorts are seen for more than nine weeks.
+    later_us = F.when(F.col("uid") % 10 == 3, di * F.lit(2 * MICROS_PER_DAY)).otherwise(F.lit(0))
+    e = e.withColumn("later_us", later_us).withColumn("day_us", F.col("day_us") + F.col("later_us")).withColumn(
+        "us", F.col("us") + F.col("later_us"))
     # Time compression: a day's events are squeezed into its first three hours.
     t8 = F.col("day_us") + _idiv(F.col("us") - F.col("day_us"), 8)
     e = e.withColumn("t8", t8)
@@ -141,20 +142,23 @@ def raw_events(events: DataFrame, feature: str = config.FEATURE) -> DataFrame:
         .otherwise(F.concat(F.lit("u_"), u.cast("string"))).alias("user_id"),
         F.col("name").alias("event_name"),
         F.when(F.col("eid") % 83 == 0, F.lit(None).cast("timestamp")).otherwise(t8_ts).alias("event_time"),
-        F.when(F.col("name").isin(config.EXPOSED, config.VIEWED, config.USED), F.lit(feature))
+        F.when(F.col("name").isin(config.EXPOSED, config.VIEWED, config.USED),
+               F.when(F.col("eid") % 11 == 5, F.lit(OTHER_FEATURE)).otherwise(F.lit(feature)))
         .alias("feature_name"),
         session.alias("session_id"),
         device.alias("device_type"),
         F.when(k % 50 == 0, F.lit(INVALID_COUNTRY)).otherwise(_user_country(u % 9)).alias("country"),
         props.alias("properties_json"),
-        F.timestamp_micros(ingested_us).alias("ingested_at"),
+        # some events have no time at all: neither event, client nor ingestion time
+        F.when(F.col("eid") % 498 != 0, F.timestamp_micros(ingested_us)).alias("ingested_at"),
     )
 
 
 def dim_features(spark: SparkSession, feature: str = config.FEATURE,
                  rollout_start: datetime = FEATURE_ROLLOUT_START) -> DataFrame:
     start = rollout_start.strftime("%Y-%m-%d %H:%M:%S")
-    rows = [(feature, start, start, "20.00", "Rolled out gradually over the rollout window")]
+    rows = [(feature, start, start, "20.00", "Rolled out gradually over the rollout window"),
+            (OTHER_FEATURE, start, None, None, "Launched without a rollout")]
     return literal_frame(spark, rows, schemas.DIM_FEATURES)
 
 

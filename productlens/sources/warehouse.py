@@ -32,11 +32,17 @@ class Warehouse:
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Full-refresh write, then return the table read back (lineage cut at the write)."""
+        bucketed = self.catalog and self.buckets and "user_id" in df.columns and not partition_by
+        if partition_by:
+            # rows of a partition value meet in few tasks (a large value is split), so files follow the data
+            df = df.hint("rebalance", *partition_by)
+        elif bucketed:
+            df = df.repartition(self.buckets, "user_id")  # one file for each bucket
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         if self.catalog:
-            if self.buckets and "user_id" in df.columns and not partition_by:
+            if bucketed:
                 w = w.bucketBy(self.buckets, "user_id").sortBy("user_id")
             w.format("parquet").saveAsTable(f"{layer}.{table}")
         else:
@@ -47,11 +53,3 @@ class Warehouse:
         if self.catalog:
             return self.spark.table(f"{layer}.{table}")
         return self.spark.read.parquet(self.path(layer, table))
-
-    def exists(self, layer: str, table: str) -> bool:
-        if self.catalog:
-            return self.spark.catalog.tableExists(f"{layer}.{table}")
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(p)

@@ -89,3 +89,22 @@ def test_dq_flag_counts(make_raw, make_users):
     assert row["n_events"] == 2
     assert row["n_duplicate_event_id"] == 1
     assert row["n_bad_device_null"] == 1
+
+
+def test_dedup_buffer_holds_each_column_once(spark, make_raw):
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = C.deduplicate(make_raw([raw_row("1", "u1")]))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    struct = plan[plan.index("min(struct"):].split(" AS _best")[0]
+    assert all(struct.count(f"{c}#") == 2 for c in C.DEDUP_ORDER), struct  # its NULL flag and its value
+
+
+def test_bad_client_times_are_counted(spark, make_raw, make_users):
+    raw = make_raw([raw_row("1", "u1", event_time=None, properties_json='{"client_event_time":"n/a"}'),
+                    raw_row("2", "u1", event_time=None, properties_json='{"client_event_time":null}'),
+                    raw_row("3", "u1", event_time=None, properties_json='{"client_event_time":"2024-01-01T00:00:00"}'),
+                    raw_row("4", "u1", properties_json='{"client_event_time":"n/a"}')])
+    counts = C.dq_flag_counts(C.clean_events(raw, make_users([user_row("u1")]))).collect()[0]
+    assert (counts["n_bad_client_time"], counts["n_used_client_time"], counts["n_used_ingested_time"]) == (1, 1, 2)

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-NO_ORACLE = {"time_to_adoption_kde", "adoption_logit", "adoption_logit_ci"}
+NO_ORACLE = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}  # tested in tests/llm
 
 
 def _norm(v):
@@ -54,12 +54,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert srows == drows
 
 
-@pytest.mark.parametrize("name", sorted(NO_ORACLE))
-def test_model_queries_run(spark, name):
-    rows = entry.queries()[name](spark, SF_SMALL).collect()
-    assert len(rows) > 0
-
-
 def test_queries_from_threads_share_one_materialisation(spark):
     from concurrent.futures import ThreadPoolExecutor
     fresh = SF_SMALL + "/."  # same data, a new (session, folder) key: nothing materialised yet

@@ -87,9 +87,21 @@ def test_bootstrap_band_brackets_fit(spark):
         assert r["p_high"] - r["p_low"] < 0.5
 
 
-def test_bootstrap_is_seeded(spark):
+def test_bootstrap_is_repeatable(spark):
     base, adopt, _, _ = _baseline_adoption(spark, n=500)
     a = sorted(map(tuple, M.adoption_logit_ci(base, adopt, reps=50).select("grid_index", "p_low").collect()))
     b = sorted(map(tuple, M.adoption_logit_ci(base, adopt, reps=50).select("grid_index", "p_low").collect()))
     assert a == b
-    assert F is not None
+
+
+def test_replicate_weights_have_the_counts_as_mean_and_variance(spark):
+    cells = spark.createDataFrame([(float(x), float(y), 400.0) for x in range(10) for y in (0, 1)], "x double, y double, n double")
+    w = M.replicate_weights(cells, 300).agg(F.avg("w"), F.var_samp("w")).collect()[0]
+    assert abs(w[0] - 400) < 2 and abs(w[1] - 400) < 40
+
+
+def test_models_without_rows_are_empty(spark):
+    base, adopt, _, _ = _baseline_adoption(spark, n=5)
+    none = base.limit(0)
+    assert M.adoption_logit(none, adopt).count() == M.adoption_logit_ci(none, adopt, reps=5).count() == 0
+    assert M.time_to_adoption_kde(_adoption_days(spark, [1.0]).limit(0)).count() == 0

@@ -1,5 +1,6 @@
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from productlens.plans import pipeline
@@ -7,6 +8,7 @@ from productlens.plans.catalog import marts_for
 from productlens.plans.marts import TABLE_LAYERS, Marts
 from productlens.sources import csv as csv_source
 from productlens.sources.driver import DriverSource
+from productlens.sources.warehouse import Warehouse
 from tests.conftest import SF_SMALL, raw_row
 
 
@@ -152,3 +154,26 @@ def test_pipeline_cli_from_csv_exports(spark, tmp_path):
         cols = want.columns
         assert got.select(cols).exceptAll(want).count() == 0, name
         assert want.exceptAll(got.select(cols)).count() == 0, name
+
+
+def test_csv_files_with_another_header_fail(spark, tmp_path):
+    folder = tmp_path / "plans"
+    folder.mkdir()
+    (folder / "a.csv").write_text("plan_id,plan_name\npro,Pro\n")
+    (folder / "b.csv").write_text("plan_name,plan_id\nFree,free\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_source.read_table(spark, str(folder), "dim_plans").collect()
+
+
+def test_csv_cells_keep_line_breaks(spark, tmp_path):
+    folder = tmp_path / "features"
+    folder.mkdir()
+    (folder / "a.csv").write_text('feature_name,notes\nteam_collab,"line one\nline ""two"""\nother,x\n')
+    rows = {r["feature_name"]: r["notes"] for r in csv_source.read_table(spark, str(folder), "dim_features").collect()}
+    assert rows == {"team_collab": 'line one\nline "two"', "other": "x"}
+
+
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    days = spark.range(0, 4000, numPartitions=16).withColumn("event_date", (F.col("id") % 10).cast("string"))
+    Warehouse(spark, str(tmp_path)).write(days.repartition(16, "id"), "core", "t", partition_by=("event_date",))
+    assert len(list((tmp_path / "core" / "t").rglob("*.parquet"))) <= 20
