@@ -31,6 +31,7 @@ SEED = 42
 #: Rows of a tile; fingerprint pairs that a task compares at once.
 TILE, PAIRS = 4096, 1 << 22
 QUARTERS, CELL_BITS = 4, 5
+SALTS = 64
 
 
 def shingle_hashes(text: str, width: int) -> list[int]:
@@ -179,11 +180,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, id_col: st
     edges, edges_path = written(links(distinct.select("fp"), radius), "simhash-links")
     roots = components(edges).select(F.col("node").alias("fp"), "root")
     drop_folder(spark, edges_path)
-    linked = distinct.join(roots, "fp")
-    smallest = linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    classes = (distinct.join(roots, "fp", "left").join(smallest, "root", "left")
-               .select("fp", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id"))
-                       .alias("component_id")))
+    # a component may hold many fingerprints: its smallest id comes back to them by a salted join
+    salt = F.pmod(F.xxhash64(F.xxhash64("fp")), F.lit(SALTS)).cast("int")
+    linked = distinct.join(roots, "fp").withColumn("salt", salt)
+    smallest = linked.groupBy("root").agg(F.min("id").alias("component_id")).withColumn(
+        "salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    classes = (linked.join(smallest, ["root", "salt"]).select("fp", "component_id")
+               .unionByName(distinct.join(roots, "fp", "left_anti").select("fp", F.col("id").alias("component_id"))))
     return (rows.join(classes, "fp", "left")
             .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
