@@ -3,7 +3,8 @@
 A page is a sequence of tags and pieces of text. Words score +1, tags score at most 0; the region is the contiguous
 run with the highest sum, found by one linear scan. A visible tag's cost is learned from labelled pages, those whose main
 region is marked by a closed ``article`` or ``main`` element: the larger the part of its occurrences outside of that
-region (or at its border), the more it costs. Words of links outside of paragraphs cost like their tags.
+region (or at its border), the more it costs. Words of links outside of
+paragraphs and headings score -1.
 
 Elements that are never main text (scripts, styles, menus, forms, adverts and the like, by name or by class, id or
 role) are taken out with all they hold and cost nothing, also within the region. Tag counts are summed by a partial aggregation over a
@@ -40,6 +41,9 @@ MARKS = set("""ad ads adv advert advertisement adverts advertising banner breadc
     consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices
     pagination popup promo related respond reply replies share sharing sidebar social sponsor sponsored subscribe
     toolbar widget alert""".split())
+# The same as a part of a longer word.
+MARK_PARTS = re.compile("advert|breadcrumb|comment(?!ary)|cookie|disqus|navbar|newsletter|pagination|sidebar|sponsor")
+HEADINGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 REGION = ("article", "main")
 NAMES = sorted(INLINE | BLOCK)
 
@@ -58,12 +62,13 @@ OUTSIDE, LEAST, PRIOR = 30.0, 0.001, 0.2
 def is_marked(attrs: str) -> bool:
     """Some class, id or role names a part that is not main text."""
     return any(not MARKS.isdisjoint(PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()))
-               for v in MARKED.findall(attrs))
+               or MARK_PARTS.search(v.lower()) for v in MARKED.findall(attrs))
 
 
 def events(page: str):
     """(kind, value, hidden, linked): kind is ``tag`` (value: name, with / if it ends) or ``text`` (value: decoded
-    text); hidden inside an element that is never main text, linked inside of ``a`` and outside of ``p``."""
+    text); hidden inside an element that is never main text, linked inside of ``a`` and outside
+    of paragraphs and headings."""
     stack: list[tuple[str, bool]] = []  # open elements and whether each hides
     hidden = links = paragraphs = 0
 
@@ -72,7 +77,7 @@ def events(page: str):
         for name, hides in stack[upto:]:
             hidden -= hides
             links -= name == "a"
-            paragraphs -= name == "p"
+            paragraphs -= name in HEADINGS
         del stack[upto:]
 
     for m in TOKEN.finditer(page):
@@ -101,7 +106,7 @@ def events(page: str):
             stack.append((name, hides))
             hidden += hides
             links += name == "a"
-            paragraphs += name == "p"
+            paragraphs += name in HEADINGS
 
 
 def tag_counts(page: str) -> Counter:

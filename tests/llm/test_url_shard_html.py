@@ -130,6 +130,15 @@ def test_page_text():
     assert html_text.main_text("<article><p>cut off <a href=\"x", {}) == "cut off"
 
 
+def test_marks_and_links():
+    for mark in ('class="commentlist"', "id=respond", "class='x topBanner'", 'role="navigation"', 'id="userComments"'):
+        assert html_text.main_text(f"<p>one two three</p><div {mark}><p>four five</p></div>", {}) == "one two three", mark
+    for free in ('class="commentary"', 'class="badge header-less"'[:13], 'data-x="1"', 'class="adapt"'):
+        assert html_text.main_text(f"<p>one two three</p><div {free}><p>four five</p></div>", {}).endswith("five"), free
+    assert html_text.main_text("<h1><a href=x>A title</a></h1><p>one two</p><ul><li><a href=y>more links here</a></li></ul>", {}) \
+        == "A title one two"
+
+
 def test_region_is_the_best_run():
     costs = {"hr": 5.0}
     assert html_text.main_text("<p>a b<hr><p>" + "w " * 9 + "<p>x y<hr><p>z", costs) == ("w " * 9 + "x y")
