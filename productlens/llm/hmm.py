@@ -7,8 +7,8 @@ So the model stays as small as classes by states, while the word counts are exac
 
 Steps, each over all documents:
 1. Texts become chunks: token codes, the chunk's distinct words, their training counts. Written to the shared folder.
-2. Word counts are summed by word; the counts of a chunk's words come back by a join on the word and meet the chunk's
-   tokens by its number. What moves is a row for each distinct word of a chunk, never one for each token.
+2. Word counts are summed by a window over each word's rows; they come back to the chunk's tokens by its number. What
+   moves is a row for each distinct word of a chunk, never one for each token.
 3. The states start from clusters of the classes: each class's mean position among random directions of the pieces of
    text it is in. Then ``ROUNDS`` of Baum-Welch: tasks run scaled forward-backward over pieces of ``PIECE`` tokens and
    send expected counts, at most one row for each class; they are summed across partitions, and the sums (classes by
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from productlens.llm.nearest import k_means, squared
@@ -36,7 +36,7 @@ from productlens.llm.tasks import held_out, list_array, prepare, slices, written
 STATES, CLASSES, ROUNDS, PIECE, DIRECTIONS = 8, 1 << 14, 4, 256, 8
 END = CLASSES
 #: a chunk ends when it has so many tokens or distinct words; tokens that forward-backward works on at once
-CHUNK_TOKENS, CHUNK_WORDS, BLOCK_TOKENS = 2_000_000, 400_000, 400_000
+CHUNK_TOKENS, CHUNK_WORDS, BLOCK_TOKENS = 2_000_000, 400_000, 100_000
 #: prior weight of uniform starts and moves
 MOVE_PRIOR = 1.0
 #: stands for the end of a text: no word has a space
@@ -162,30 +162,37 @@ def by_step(classes: np.ndarray, lengths: np.ndarray):
 
 
 def expected_counts(model: Model, classes: np.ndarray, lengths: np.ndarray):
-    """Expected starts, moves and emissions of scaled forward-backward over sequences that lie behind each other."""
+    """Expected starts, moves and emissions of scaled forward-backward over sequences that lie behind each other.
+
+    With the forward scales in the backward recursion, alpha times beta is the state distribution without a further
+    division.
+    """
     _, steps = by_step(classes, lengths)
     seen = [model.emit[s] for s in steps]
-    alpha = []
+    alpha, scale = [], []
     for t, b in enumerate(seen):
-        a = b * (model.start if t == 0 else alpha[-1][: len(b)] @ model.move)
-        alpha.append(a / a.sum(axis=1, keepdims=True))
+        a = b * model.start if t == 0 else alpha[-1][: len(b)] @ model.move
+        if t:
+            a *= b
+        scale.append(a.sum(axis=1, keepdims=True))
+        a /= scale[-1]
+        alpha.append(a)
     moves = np.zeros((STATES, STATES))
-    beta = np.ones((0, STATES))
+    beta = np.ones((len(seen[-1]), STATES))
     gamma = [None] * len(seen)
-    for t in range(len(seen) - 1, -1, -1):
-        n = len(seen[t])
-        if t + 1 < len(seen):
-            later = seen[t + 1] * beta
-            later /= (alpha[t][: len(later)] @ model.move * later).sum(axis=1, keepdims=True)
-            moves += model.move * (alpha[t][: len(later)].T @ later)
-            beta = np.concatenate([later @ model.move.T, np.ones((n - len(later), STATES))])
-        else:
-            beta = np.ones((n, STATES))
-        g = alpha[t] * beta
-        gamma[t] = g / g.sum(axis=1, keepdims=True)
-    at, all_gamma = np.concatenate(steps), np.concatenate(gamma)
-    emit = np.stack([np.bincount(at, weights=all_gamma[:, k], minlength=CLASSES + 1) for k in range(STATES)], axis=1)
-    return gamma[0].sum(axis=0), moves, emit
+    gamma[-1] = alpha[-1]
+    for t in range(len(seen) - 2, -1, -1):
+        later = seen[t + 1]
+        later *= beta
+        later /= scale[t + 1]
+        n = len(later)
+        moves += alpha[t][:n].T @ later
+        beta = np.ones((len(seen[t]), STATES))
+        np.matmul(later, model.move.T, out=beta[:n])
+        gamma[t] = alpha[t] * beta
+    at, all_gamma = np.concatenate(steps), np.concatenate(gamma).T.copy()
+    emit = np.stack([np.bincount(at, weights=g, minlength=CLASSES + 1) for g in all_gamma], axis=1)
+    return gamma[0].sum(axis=0), moves * model.move, emit
 
 
 def log10_likelihood(model: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -282,11 +289,14 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
     coded, _ = written(chunks(docs, folds, id_col, text_col), "hmm-chunks")
     each = coded.select("chunk", F.posexplode(F.arrays_zip("words", "classes", "trained")).alias("at", "w")).select(
         "chunk", "at", F.col("w.words").alias("word"), F.col("w.classes").alias("class"), F.col("w.trained").alias("n"))
-    counts, _ = written(each.where("n > 0").groupBy("word").agg(F.first("class").alias("class"), F.sum("n").alias("c")),
-                        "hmm-counts")
+    # a word has a row for each chunk at most, so no word is a hot key
+    same = Window.partitionBy("word").orderBy("chunk")
+    total = F.sum("n").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    known, _ = written(each.select(F.col("chunk").alias("of_chunk"), "at", "class", total.alias("c"),
+                                   (F.row_number().over(same) == 1).alias("first")), "hmm-counts")
     tokens, kinds = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    for r in counts.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():  # by class
-        tokens[r["class"]], kinds[r["class"]] = r.c, r.v
+    for r in known.where("first and c > 0").groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
+        tokens[r["class"]], kinds[r["class"]] = r.c, r.v  # a row for each class at most
     all_tokens, all_kinds = int(tokens.sum()), int(kinds.sum())
     shares = (tokens + ADD) / (tokens + ADD).sum()
     model = baum_welch(coded, shares, rounds)
@@ -310,10 +320,8 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
             "base_score": pa.array(words - lengths * whole),
             "score": pa.array(inner + log10_likelihood(model, classes[code], lengths.astype(np.int64)))})
 
-    known = each.select("chunk", "at", "word").join(counts.select("word", "c"), "word").select(
-        F.col("chunk").alias("of_chunk"), "at", "c")
     out = (coded.select("chunk", "ids", "held", "lengths", "tokens", "classes").groupBy("chunk")
-           .cogroup(known.groupBy("of_chunk"))
+           .cogroup(known.select("of_chunk", "at", "c").groupBy("of_chunk"))
            .applyInArrow(finish, f"id {dict(docs.dtypes)[id_col]}, held_out boolean, n_tokens long, n_known long,"
                                  " train_tokens long, base_score double, score double"))
     return out.withColumnRenamed("id", id_col)

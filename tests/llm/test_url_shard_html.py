@@ -4,7 +4,6 @@ import re
 import zlib
 
 import numpy as np
-import pytest
 
 from productlens.llm import html_text, queries, sharding, url_filters
 from tests.conftest import SF_SMALL
