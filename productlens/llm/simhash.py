@@ -20,7 +20,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from productlens.llm.components import components, label_components
@@ -59,17 +59,20 @@ def fingerprints_of(texts: list[str], width: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of each row's whole text as a long."""
+def fingerprints(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text",
+                 **also: Column) -> DataFrame:
+    """(id, fp): the fingerprint of each row's whole text as a long; the columns ``also`` come before fp."""
     prepare(docs.sparkSession)
+    kept = ["id", *also]
 
     def run(batches):
         for b in slices(batches, "text", 1 << 20):
             fp = fingerprints_of(texts_of(b, "text"), width)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(fp.view(np.int64))], [*kept, "fp"])
 
-    return (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-            .mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, fp long"))
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *(c.alias(k) for k, c in also.items()))
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in kept) + ", fp long")
 
 
 def offsets(radius: int) -> list[int]:
@@ -170,16 +173,21 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
+def roots_of(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, root) of every distinct fingerprint ``fp`` that is linked; those of one component share their root."""
+    edges, edges_path = written(links(fps, radius), "simhash-links")
+    roots = components(edges).select(F.col("node").alias("fp"), "root")
+    drop_folder(fps.sparkSession, edges_path)
+    return roots
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id) of every row: fingerprint as 16 hex digits, component_id the smallest id that
     links within ``radius`` bits reach."""
-    spark = docs.sparkSession
     rows, _ = written(fingerprints(docs, width, id_col, text_col), "simhash-rows")
     distinct, _ = written(rows.groupBy("fp").agg(F.min("id").alias("id")), "simhash-distinct")
-    edges, edges_path = written(links(distinct.select("fp"), radius), "simhash-links")
-    roots = components(edges).select(F.col("node").alias("fp"), "root")
-    drop_folder(spark, edges_path)
+    roots = roots_of(distinct.select("fp"), radius)
     # a component may hold many fingerprints: its smallest id comes back to them by a salted join
     salt = F.pmod(F.xxhash64(F.xxhash64("fp")), F.lit(SALTS)).cast("int")
     linked = distinct.join(roots, "fp").withColumn("salt", salt)
@@ -193,11 +201,23 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, id_col: st
 
 def representatives(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """One row of each group of near-duplicates, all columns as they are: that of the smallest id, once.
+    """One row of each group of near-duplicates, all columns as they are: the first by (id, fingerprint, content).
 
-    Rows without id cannot be named and all stay.
+    A row is known by its number in a written copy of ``docs``, not by its id, so one id may be in several groups and
+    each keeps its own row. Rows without id are not compared with those that have one: a group keeps one row of each
+    kind that it holds. Rows that differ in nothing are told apart by their number alone.
     """
-    found = near_duplicates(docs, width, radius, id_col, text_col)
-    chosen = found.where(found[id_col] == F.col("component_id")).select(F.col(id_col).alias("chosen")).distinct()
-    kept = docs.join(chosen, docs[id_col] == F.col("chosen"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(docs[id_col].isNull()))
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    numbered, _ = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-numbered")
+    # NULLs count for nothing in a hash: where they are is hashed as well
+    content = F.xxhash64(*(numbered[c].isNull() for c in docs.columns), *(numbered[c] for c in docs.columns))
+    rows = fingerprints(numbered, width, id_col, text_col, content=content, row=numbered[row])
+    unsigned = F.col("fp").bitwiseXOR(F.lit(-1 << 63)).alias("fp")
+    distinct, _ = written(rows.groupBy("fp", F.col("id").isNull().alias("unnamed"))
+                          .agg(F.min(F.struct("id", unsigned, "content", "row")).alias("first")), "simhash-distinct")
+    roots = roots_of(distinct.select("fp").distinct(), radius)
+    chosen = (distinct.join(roots, "fp").groupBy("root", "unnamed").agg(F.min("first").alias("first")).select("first.row")
+              .unionByName(distinct.join(roots, "fp", "left_anti").select("first.row")))
+    return numbered.join(chosen.withColumnRenamed("row", row), row, "left_semi").select(*docs.columns)

@@ -256,3 +256,16 @@ def test_stages_keep_the_columns(spark, odd_docs):
         assert stage(spark, odd_docs, SF_SMALL).columns == odd_docs.columns
     left = simhash.representatives(odd_docs).collect()
     assert Counter(r.doc_id for r in left) == {1: 1, 4: 1, 5: 1, 6: 1, 7: 1, None: 1}
+
+
+def test_each_group_keeps_one_row_whatever_its_ids(make_docs):
+    a, b, c = ("alpha beta gamma delta " * 3, "stone light quick brown " * 4, "river wood deep animals " * 5)
+    docs = [(7, a), (7, b), (3, b), (7, a), (9, a),  # one id over two texts, one of them with a smaller id's copy
+            (8, c), (8, c.upper()), (None, "x y z w"), (None, "x y z w"), (None, "x y z w"), (None, "another one here")]
+    for order in (docs, docs[::-1]):
+        left = Counter((r.doc_id, r.text) for r in simhash.representatives(make_docs(order)).collect())
+        assert {t for i, t in left if i == 8} < {c, c.upper()} and sum(n for (i, _), n in left.items() if i == 8) == 1
+        assert {k: n for k, n in left.items() if k[0] != 8} == {
+            (7, a): 1, (3, b): 1, (None, "x y z w"): 1, (None, "another one here"): 1}
+    assert len({frozenset((r.doc_id, r.text) for r in simhash.representatives(make_docs(o).repartition(n)).collect())
+                for o, n in ((docs, 1), (docs[::-1], 3))}) == 1
