@@ -7,7 +7,11 @@ region (or at its border), the more it costs. Words of links outside of
 paragraphs and headings score -1.
 
 Elements that are never main text (scripts, styles, menus, forms, adverts and the like, by name or by class, id or
-role) are taken out with all they hold and cost nothing, also within the region. Tag counts are summed by a partial aggregation over a
+role) are taken out with all they hold and cost nothing, also within the region. A class, id or role does not take out a
+layout wrapper, whose tags cost what others of their name do: an element that holds an ``article`` or ``main`` or, if
+none lies apart from it, over half of the words (of the ``article`` or ``main`` around it, else of the page). An
+``article`` or ``main`` that is itself marked, as comments may be, counts for this only as the first of its page.
+Tag counts are summed by a partial aggregation over a
 fixed set of tag names; extraction needs no shuffle.
 
 NULL and empty pages have an empty text; broken markup is read as far as it goes; long pages are read whole; repeated
@@ -18,7 +22,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,24 +71,50 @@ def is_marked(attrs: str) -> bool:
                or MARK_PARTS.search(v.lower()) for v in MARKED.findall(attrs))
 
 
-def events(page: str):
+def hiding(found: list, marked: list[list[int]], regions: list[list[int]]) -> list[tuple[int, int]]:
+    """Of the ``marked`` spans of events those that hide: all but layout wrappers."""
+    words, starts = None, [a for a, _ in regions]
+    out = []
+    for a, b in marked:
+        if out and a < out[-1][1]:
+            continue  # hidden with the element around it
+        if bisect_left(starts, a) < bisect_left(starts, b):
+            continue
+        scope = max(((c, d) for c, d in regions if c < a and b <= d), default=(-1, len(found)))
+        if not any(scope[0] < c and d <= scope[1] for c, d in regions):
+            if words is None:
+                words = [0, *accumulate(len(v.split()) if k == "text" and not hid and not linked else 0
+                                        for k, v, hid, linked in found)]
+            if 2 * (words[b] - words[a]) > words[scope[1]] - words[max(0, scope[0])]:
+                continue
+        out.append((a, b))
+    return out
+
+
+def events(page: str) -> list[tuple[str, str, bool, bool]]:
     """(kind, value, hidden, linked): kind is ``tag`` (value: name, with / if it ends) or ``text`` (value: decoded
     text); hidden inside an element that is never main text, linked inside of ``a`` and outside
     of paragraphs and headings."""
-    stack: list[tuple[str, bool]] = []  # open elements and whether each hides
+    found: list[tuple[str, str, bool, bool]] = []
+    # open elements, whether each hides by its name, and its span of events if that is of use
+    stack: list[tuple[str, bool, list[int] | None]] = []
+    marked: list[list[int]] = []
+    regions: list[list[int]] = []
     hidden = links = paragraphs = 0
 
-    def close(upto: int) -> None:
+    def close(upto: int, end: int) -> None:
         nonlocal hidden, links, paragraphs
-        for name, hides in stack[upto:]:
+        for name, hides, span in stack[upto:]:
             hidden -= hides
             links -= name == "a"
             paragraphs -= name in HEADINGS
+            if span:
+                span[1] = end
         del stack[upto:]
 
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
-            yield "text", html.unescape(text), hidden > 0, links > 0 and not paragraphs
+            found.append(("text", html.unescape(text), hidden > 0, links > 0 and not paragraphs))
             continue
         if m["name"] is None:
             continue
@@ -91,22 +123,32 @@ def events(page: str):
             was_hidden = hidden > 0
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             # an end tag of an inline element does not close blocks
-            if at is not None and not (name in INLINE and any(n not in INLINE for n, _ in stack[at + 1:])):
-                close(at)
-            yield "tag", "/" + name, was_hidden, False
+            if at is not None and not (name in INLINE and any(n not in INLINE for n, *_ in stack[at + 1:])):
+                close(at, len(found) + 1)
+            found.append(("tag", "/" + name, was_hidden, False))
             continue
-        if name in CLOSES_P and any(n == "p" for n, _ in stack):
-            at = max(i for i, (n, _) in enumerate(stack) if n == "p")
-            if all(n in INLINE for n, _ in stack[at + 1:]):
-                close(at)
-        inside = any(n in REGION for n, _ in stack)
-        hides = name in NEVER or name == "header" and not inside or name not in REGION + ("html", "body") and is_marked(m["attrs"])
-        yield "tag", name, hidden > 0 or hides, False
+        if name in CLOSES_P and any(n == "p" for n, *_ in stack):
+            at = max(i for i, (n, *_) in enumerate(stack) if n == "p")
+            if all(n in INLINE for n, *_ in stack[at + 1:]):
+                close(at, len(found))
+        inside = any(n in REGION for n, *_ in stack)
+        hides = name in NEVER or name == "header" and not inside
+        span = None
+        if not hides and not hidden and name not in ("html", "body"):
+            mark = is_marked(m["attrs"])
+            if mark if name not in REGION else not mark or not regions:
+                span = [len(found), len(found) + 1]
+                (regions if name in REGION else marked).append(span)
+        found.append(("tag", name, hidden > 0 or hides, False))
         if name not in VOID and not m["attrs"].rstrip().endswith("/"):
-            stack.append((name, hides))
+            stack.append((name, hides, span))
             hidden += hides
             links += name == "a"
             paragraphs += name in HEADINGS
+    close(0, len(found))
+    for a, b in hiding(found, marked, regions):
+        found[a:b] = [(kind, value, True, linked) for kind, value, _, linked in found[a:b]]
+    return found
 
 
 def tag_counts(page: str) -> Counter:

@@ -138,6 +138,22 @@ def test_marks_and_links():
         == "A title one two"
 
 
+def test_marked_wrappers_do_not_hide():
+    for mark in ('class="layout has-sidebar"', 'class="wrapper header-fixed"', 'id="no-comments"', 'role="alert"'):
+        article = f"<div {mark}><div class='sidebar'>side words</div><article><h1>Title</h1><p>one two three</p></article></div>"
+        assert html_text.main_text(article, {"article": 30.0}) == "Title one two three", mark
+        assert html_text.tag_counts(article)["h1", 1] == 2
+        body = f"<p>Lead here</p><div {mark}><p>{'w ' * 9}</p><div class=ad>buy it</div><p>end</p></div><aside>{'s ' * 40}</aside>"
+        assert html_text.main_text(body, {}) == "Lead here " + "w " * 9 + "end", mark
+        posts = "".join(f"<article><h2>T{i}</h2><div {mark}><p>{'v ' * 5}</p></div></article>" for i in range(2))
+        assert html_text.main_text(posts, {}) == " ".join(f"T{i} v v v v v" for i in range(2)), mark
+    # comments longer than the article, each an article of its own, stay out
+    comments = "<section id=comments>" + "<article class=comment><p>" + "c " * 30 + "</p></article>" * 3 + "</section>"
+    for page in ("<article><p>one two three</p></article>" + comments,
+                 "<main><article><p>one two three</p></article>" + comments + "</main>"):
+        assert html_text.main_text(page, {}) == "one two three"
+
+
 def test_region_is_the_best_run():
     costs = {"hr": 5.0}
     assert html_text.main_text("<p>a b<hr><p>" + "w " * 9 + "<p>x y<hr><p>z", costs) == ("w " * 9 + "x y")
