@@ -43,7 +43,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
-# The rules of the URL query, and the sites that its block list names.
+# The rules of the URL query, and the sites that its block list names (those that the given tables hold).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 LISTED_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
@@ -54,7 +54,7 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = [(f"{site}.{zone}", "/", "block", False) for site in LISTED_SITES for zone in LISTED_ZONES]
     listings = spark.createDataFrame([(*r, True) for r in URL_RULES] + listed,
                                      "host string, path string, verdict string, is_rule boolean")
-    return url_filters.judge_urls(table(spark, sf_dir, "pages"), listings)
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"), listings, canonical=True)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

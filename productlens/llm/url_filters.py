@@ -2,6 +2,9 @@
 
 A listing is a host (with all its subdomains) and the start of a path, written ``host/path``. A URL's candidates are
 its host suffixes, each with the starts of its path that have a listed length; the keys are built by SQL functions.
+With ``canonical``, listed URLs (not rules, which fit the host and path as written) are filtered by a canonical form of
+both sides: no user info, port or dots at the host's end, ``/`` for an empty path, escapes of A-Z a-z 0-9 - . _ ~ decoded once,
+others in upper case. Dot segments of a path stay. A host or path that is no part of a URL has no canonical form.
 The filter is one bit array of fixed size, made by partial aggregation and sent to all tasks. Candidates that pass it
 are joined with the listings on the key, which removes the false positives. The join's skew is split by a salt: every
 listing is there once for each of ``SALTS`` values.
@@ -25,6 +28,8 @@ from productlens.llm.tasks import lower_ascii, prepare
 #: 64-bit words in a block of the filter, bits set for a key, and bytes of the whole filter, whatever the list's size.
 BLOCK_WORDS, KEY_BITS, FILTER_BYTES = 8, 6, 1 << 20
 SALTS = 16
+#: First character of a key.
+RULE, LISTED = "r", "l"
 
 
 def host_of(url: Column) -> Column:
@@ -37,6 +42,26 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def normal_escapes(c: Column) -> Column:
+    """Percent escapes of unreserved characters decoded once, all others in upper case."""
+    def piece(p: Column) -> Column:
+        char = F.call_function("chr", F.conv(F.substring(p, 2, 2), 16, 10).cast("long"))
+        escape = F.when(char.rlike(r"^[A-Za-z0-9._~-]\z"), char).otherwise(F.upper(F.substring(p, 1, 3)))
+        return F.when(p.rlike("^%[0-9A-Fa-f]{2}"), F.concat(escape, p.substr(F.lit(4), F.length(p)))).otherwise(p)
+
+    return F.when(c.contains("%"), F.array_join(F.transform(F.split(c, "(?=%[0-9A-Fa-f]{2})"), piece), "")).otherwise(c)
+
+
+def canonical_host(host: Column) -> Column:
+    """Of a URL's part between ``://`` and path: without user info, port and dots at the end, escapes normal."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", "")
+    return F.regexp_replace(lower_ascii(normal_escapes(bare)), r"\.+\z", "")
+
+
+def canonical_path(path: Column) -> Column:
+    return F.when(path == "", "/").otherwise(normal_escapes(path))
+
+
 def key_bits(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each 64-bit hash the filter's block, and its words' bit masks within the block."""
     h = hashes.astype(np.int64).view(np.uint64)
@@ -69,21 +94,29 @@ def bloom_filter(keys: DataFrame, filter_bytes: int = FILTER_BYTES) -> np.ndarra
 
 
 def judge_urls(pages: DataFrame, listings: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               filter_bytes: int = FILTER_BYTES) -> DataFrame:
+               filter_bytes: int = FILTER_BYTES, canonical: bool = False) -> DataFrame:
     """(id, host, path, rule, listed, verdict) of every row of ``pages``.
 
     ``listings`` has host, path, verdict (allow or block) and is_rule; rule is the deciding listing if it is a rule,
-    listed the one if not.
+    listed the one if not. ``canonical`` compares listings that are no rules in their canonical form.
     """
     spark = pages.sparkSession
     prepare(spark)
-    listed = (listings.where("host is not null and path is not null")
-              .select(F.concat(lower_ascii(F.col("host")), "path").alias("key"), F.length("path").alias("n"),
+    def site(host: Column, path: Column) -> tuple[Column, Column]:
+        return (canonical_host(host), canonical_path(path)) if canonical else (host, path)
+
+    # a key begins with its kind, as rules and other listings may be compared in different forms
+    named = listings.where("host is not null and path is not null").withColumn("host", lower_ascii(F.col("host")))
+    shown = [F.when(F.col("is_rule"), c).otherwise(s) for c, s in zip((F.col("host"), F.col("path")),
+                                                                      site(F.col("host"), F.col("path")))]
+    listed = (named.select(F.when(F.col("is_rule"), RULE).otherwise(LISTED).alias("kind"), shown[0].alias("host"),
+                           shown[1].alias("path"), "verdict", "is_rule")
+              .select(F.concat("kind", "host", "path").alias("key"), "kind", F.length("path").alias("n"),
                       F.size(F.split("host", r"\.")).alias("labels"), "verdict", "is_rule")
-              .groupBy("key", "n", "labels").agg(F.min_by("verdict", F.struct(~F.col("is_rule"), "verdict")).alias("verdict"),
-                                       F.max("is_rule").alias("is_rule")))
+              .groupBy("key", "kind", "n", "labels").agg(F.min("verdict").alias("verdict"), F.first("is_rule").alias("is_rule")))
     # bounded by the lengths of a URL's parts
-    shapes = listed.agg(F.collect_set("n").alias("n"), F.collect_set("labels").alias("labels")).first()
+    shapes = {r.kind: r for r in listed.groupBy("kind").agg(F.collect_set("n").alias("n"),
+                                                            F.collect_set("labels").alias("labels")).collect()}
     bits = spark.sparkContext.broadcast(bloom_filter(listed, filter_bytes))
     blocks = filter_bytes // (8 * BLOCK_WORDS)
 
@@ -102,15 +135,22 @@ def judge_urls(pages: DataFrame, listings: DataFrame, id_col: str = "page_id", u
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("host"), b.column("path"), hits],
                                              ["id", "host", "path", "hits"])
 
-    none = F.array().cast("array<string>")
-    labels, host, path = F.split("host", r"\."), F.col("host"), F.col("path")
-    suffixes = F.filter(F.array(*(F.when((F.size(labels) >= k) & (host != ""), F.array_join(F.slice(labels, -k, k), "."))
-                                  for k in sorted(shapes.labels))), lambda x: x.isNotNull()) if shapes.labels else none
-    starts = F.filter(F.array(*(F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(shapes.n))),
-                      lambda x: x.isNotNull()) if shapes.n else none
+    def candidates(kind: str, host: Column, path: Column) -> Column:
+        if kind not in shapes:
+            return F.array().cast("array<string>")
+        labels = F.split(host, r"\.")
+        suffixes = F.filter(F.array(*(F.when((F.size(labels) >= k) & (host != ""), F.array_join(F.slice(labels, -k, k), "."))
+                                      for k in sorted(shapes[kind].labels))), lambda x: x.isNotNull())
+        starts = F.filter(F.array(*(F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(shapes[kind].n))),
+                          lambda x: x.isNotNull())
+        return F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(F.lit(kind), s, p))))
+
+    host, path = site(F.col("host"), F.col("path"))
     keys = (pages.select(pages[id_col].alias("id"), host_of(pages[url_col]).alias("host"),
                          path_of(pages[url_col]).alias("path"))
-            .withColumn("keys", F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(s, p)))))
+            .withColumns({"site": host, "place": path})
+            .withColumn("keys", F.concat(candidates(RULE, F.col("host"), F.col("path")),
+                                         candidates(LISTED, F.col("site"), F.col("place"))))
             .withColumn("hashes", F.transform("keys", lambda k: F.xxhash64(k)))
             .mapInArrow(possible, f"id {dict(pages.dtypes)[id_col]}, host string, path string, hits array<string>"))
     free = keys.where(F.size("hits") == 0).select("id", "host", "path", F.lit(None).cast(
@@ -126,7 +166,7 @@ def judge_urls(pages: DataFrame, listings: DataFrame, id_col: str = "page_id", u
     judged = (hits.join(exact, ["hit", "salt"], "left")
               .groupBy("n").agg(F.first("id").alias("id"), F.first("host").alias("host"), F.first("path").alias("path"),
                                 F.max(best).alias("best")).drop("n"))
+    hit = F.col("best.hit").substr(F.lit(2), F.length("best.hit"))
     return free.unionByName(judged).select(
-        F.col("id").alias(id_col), "host", "path", F.when(F.col("best.is_rule"), F.col("best.hit")).alias("rule"),
-        F.when(~F.col("best.is_rule"), F.col("best.hit")).alias("listed"),
+        F.col("id").alias(id_col), "host", "path", F.when(F.col("best.is_rule"), hit).alias("rule"), F.when(~F.col("best.is_rule"), hit).alias("listed"),
         F.when(F.coalesce("best.allowed", F.lit(True)), "allow").otherwise("block").alias("verdict"))

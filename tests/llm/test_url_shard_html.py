@@ -45,6 +45,32 @@ def test_urls_equal_brute_force(spark):
     assert judged(spark, urls, RULES, filter_bytes=64) == want
 
 
+def test_registered_url_query_blocks_every_spelling(spark, tmp_path):
+    site, key = "casino-win.example.com", "casino-win.example.com/"
+    spelled = [site, site + "?q=1", site + "#f", site + ":8080/x", site + ":", site + "./x", "u:p@q@" + site + "/x", "a.B." + site.upper(),
+               "casino%2dwin.example%2Ecom/x", "%63ASINO-win.example.com:80"]
+    free = ["xcasino-win.example.com/", site + ".de/", site + "@other.example.com/x", "casino%252dwin.example.com/x", "a:80/" + site]
+    urls = [(i, f"http://{u}") for i, u in enumerate(spelled + free)] + [(50, f"http://{site}:80/fr/"), (51, f"http://{site}/fr/"), (52, None)]
+    spark.createDataFrame(urls, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r for r in queries.op4_url_filters(spark, str(tmp_path)).collect()}
+    for i, u in enumerate(spelled):
+        assert (got[i].listed, got[i].verdict, got[i].rule) == (key, "block", None), u
+    for i, u in enumerate(free, len(spelled)):
+        assert (got[i].listed, got[i].verdict) == (None, "allow"), u
+    # host, path and rules as written: a port keeps the rule from fitting
+    assert (got[50].host, got[50].rule, got[50].listed) == (site + ":80", None, key)
+    assert (got[51].rule, got[51].verdict, got[52].verdict) == ("com/fr/", "allow", "allow")
+    assert (got[1].host, got[1].path, got[6].host) == (site, "", "u:p@q@" + site)
+
+
+def test_listings_meet_urls_in_canonical_form(spark):
+    listings = [("Site.example:80", "", "block", False), ("b%2Eexample.", "/%7ea/%c3%a9", "block", False), ("b.example", "/%7ea", "allow", True)]
+    got = judged(spark, list(enumerate(["x://site.example", "x://b.example/~a/%C3%A9/x%", "x://b.example/%7ea/%C3%A9", "x://b.example/~a/%c3", "x://b.example/~a/%C3%A9%4"])),
+                 listings, canonical=True)
+    assert [r[4:] for r in got] == [(None, "site.example/", "block"), (None, "b.example/~a/%C3%A9", "block"), ("b.example/%7ea", None, "allow"),
+                                    (None, None, "allow"), (None, "b.example/~a/%C3%A9", "block")]
+
+
 def test_urls_without_listings_or_rows(spark):
     assert {r[-1] for r in judged(spark, list(enumerate(URLS)), [])} == {"allow"}
     assert judged(spark, [], RULES) == []
