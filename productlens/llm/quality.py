@@ -5,7 +5,8 @@ are hashed into ``BUCKETS`` rows of an embedding table. A word that repeats one
 more feature, the same for all words, as repetition shows in no single word. A document is the mean of its features' vectors; a softmax layer
 gives the class. Table and layer are fitted by numpy stochastic gradient descent in one task, on at most ``SAMPLE``
 labelled rows with ``SAMPLE_CHARS`` characters in sum (those with the smallest hashes, whatever the order of the rows;
-a text that would pass the sum is left out). The fitted model is one small array per bucket, sent to all tasks; scoring needs no shuffle and reads whole texts.
+a text that would pass the sum is left out and counts for nothing; of repeated rows of an id the smallest text is
+read, once for each label). The fitted model is one small array per bucket, sent to all tasks; scoring needs no shuffle and reads whole texts.
 
 NULL and empty texts have the mean vector zero, so the score is that of the bias. A document without label, or with a
 NULL one, is not learned from; of repeated labels of an id all count. With labels of one class or none, the score is that
@@ -154,14 +155,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds:
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(~held_out(F.col("id"), folds))
     rank = F.xxhash64(F.col("id").cast("string"), F.lit(1))
     chosen = known.orderBy(rank, "id", "label").limit(sample)  # bounded: at most ``sample`` ids and labels
-    texts = rows.join(F.broadcast(chosen), "id").select(rank.alias("r"), "text", "label")
+    # one text an id, so that the task below gets at most ``sample`` rows
+    single = rows.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    texts = single.join(F.broadcast(chosen), "id").select(rank.alias("r"), "text", "label")
 
     def run(batches):
         size, kept = 0, []
         for b in slices(batches, "text"):
             for t, y in zip(texts_of(b, "text"), b.column("label").to_pylist()):
-                size += len(t)
-                if size <= sample_chars:
+                if size + len(t) <= sample_chars:
+                    size += len(t)
                     kept.append((t, y))
         model = fit([t for t, _ in kept], np.array([y for _, y in kept], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()]), pa.array([model.bias])], ["weight", "bias"])

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from productlens.llm import hmm, quality, queries
 from tests.conftest import SF_CHECK, SF_SMALL
@@ -183,3 +184,17 @@ def test_registered_scores(spark):
     check_counts(rows, docs)
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_sample_bounds_hold_for_long_texts_and_hot_ids(spark, make_docs):
+    ids = [i for i in range(60) if not out_of(i, 5)]
+    texts = {i: " ".join(["alpha beta" if i % 2 else "xx### yy###"] * (3 + i % 4)) for i in ids}
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(1))).collect()]
+    long, hot = order[0], order[1]
+    texts[long] = "long " * 5000  # passes the sum by itself and is left out; what follows it stays
+    docs = make_docs([*texts.items()] + [(hot, texts[hot] + " zz" * n) for n in range(1, 500)])
+    got = quality.train(docs, labels, sample=40, sample_chars=10_000)
+    kept = [i for i in order[:40] if i != long]
+    want = quality.fit([texts[i] for i in kept], np.array([i % 2 for i in kept], np.int64))
+    assert len(kept) == 39 and np.isclose(got.bias, want.bias) and np.allclose(got.weight, want.weight, atol=1e-9)
