@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from productlens.llm import (decontamination, hmm, html_text, nearest, quality, sentencepiece_codec, sharding,
-                             simhash, tasks, token_counts, url_filters)
+from productlens.llm import (collocations, decontamination, hmm, html_text, nearest, oracle, quality, sentencepiece_codec,
+                             sharding, simhash, tasks, token_counts, url_filters, vector_codes)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top(collocations.collocations(table(spark, sf_dir, "documents")), 2000)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -96,6 +105,11 @@ QUERIES = {
     "op8_hmm": op8_hmm,
     "op9_nearest": op9_nearest,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_vector_codes": oracle.VECTOR_CODES,
+    "op13_collocations": oracle.COLLOCATIONS,
+}
