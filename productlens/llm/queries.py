@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from productlens.llm import (collocations, decontamination, hmm, html_text, nearest, oracle, quality, sentencepiece_codec,
-                             sharding, simhash, tasks, token_counts, url_filters, vector_codes)
+                             sharding, simhash, tasks, token_counts, toxicity, url_filters, vector_codes)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,14 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, _ = toxicity.train(docs, table(spark, sf_dir, "labels"), folds=5)
+    return toxicity.score(docs, model).select(
+        "doc_id", tasks.held_out(F.col("doc_id"), 5).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.top(collocations.collocations(table(spark, sf_dir, "documents")), 2000)
 
@@ -106,6 +114,7 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_decontamination": op10_decontamination,
     "op11_vector_codes": op11_vector_codes,
+    "op12_toxicity": op12_toxicity,
     "op13_collocations": op13_collocations,
 }
 
