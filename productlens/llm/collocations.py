@@ -22,8 +22,6 @@ language is ``und``; repeated rows count each time; an empty table gives no rows
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,66 +31,78 @@ from pyspark.sql import functions as F
 from productlens.llm.tasks import drop_folder, prepare, shared_folder, slices, texts_of, written
 
 HOT = 10_000
-WORD = re.compile("[^ \t]+")
+#: text bytes that a task combines at once
+SLICE = 8 << 20
+#: A-Z lower-cased, a tab as a space, what ends a piece as a line break; in UTF-8 these bytes are characters of their own
+CLEAN = bytes.maketrans(bytes(range(65, 91)) + b"\t.,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b" " + b"\n" * 9)
 #: ends of pieces become a word of their own, which no word of a text can be
 END = "\n"
-CUT = {**{i: i + 32 for i in range(65, 91)}, **{ord(c): f" {END} " for c in ".,;:!?\n\x0b\x0c\r"}}
+
+
+def words_and_ends(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words, and the numbers of all words and piece ends in order."""
+    clean = "\n".join(texts).encode().translate(CLEAN).replace(b"\n", b" \n ") + b" \n"
+    one = pa.Array.from_buffers(pa.large_utf8(), 1, [None, pa.py_buffer(np.array([0, len(clean)])), pa.py_buffer(clean)])
+    coded = pc.split_pattern(one, " ").flatten().dictionary_encode()
+    code = coded.indices.to_numpy()
+    return coded.dictionary.cast(pa.string()), code[code != pc.index(coded.dictionary, "").as_py()].astype(np.int64)
 
 
 def longest_grams(texts: list[str], longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words, the distinct grams that start at their occurrences (word numbers, -1 beyond a piece), and counts."""
-    words = []
-    for t in texts:
-        words += WORD.findall(t.translate(CUT))
-        words.append(END)
-    coded = pa.array([*words, *[END] * longest], pa.string()).dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64)
-    names = coded.dictionary
+    names, code = words_and_ends(texts)
     end = code == pc.index(names, END).as_py()
     starts = np.flatnonzero(~end)
-    grams = np.full((len(starts), longest), -1, np.int64)
+    end, code = (np.append(x, np.full(longest, pad)) for x, pad in ((end, True), (code, 0)))
+    grams = np.full((longest, len(starts)), -1, np.int64)
     inside = np.ones(len(starts), bool)
     for k in range(longest):
         inside &= ~end[starts + k]
-        grams[inside, k] = code[starts[inside] + k]
+        grams[k] = np.where(inside, code[starts + k], -1)
+    size = len(names) + 1
+    if size ** longest < 1 << 62:
+        key = grams[0] + 1
+        for k in range(1, longest):
+            key = key * size + grams[k] + 1
+        key, counts = np.unique(key, return_counts=True)
+        for k in range(longest - 1, -1, -1):
+            key, word = np.divmod(key, size)
+            grams[k, : len(word)] = word - 1
+        return names, grams[:, : len(counts)], counts
     key = np.zeros(len(starts), np.int64)
-    size, room = len(names) + 1, 1
-    for k in range(longest):
-        if room * size >= 1 << 62:  # number the prefixes anew, so that the next word fits
-            _, key = np.unique(key, return_inverse=True)
-            room = int(key.max(initial=0)) + 1
-        key = key * size + grams[:, k] + 1
-        room *= size
+    for k in range(longest):  # number the prefixes anew, so that the next word fits
+        _, key = np.unique(key * size + grams[k] + 1, return_inverse=True)
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return names, grams[first], counts
+    return names, grams[:, first], counts
 
 
 def joined(names: pa.Array, grams: np.ndarray) -> pa.Array:
     """The words of each gram joined by spaces."""
-    columns = [names.take(pa.array(g, pa.int64(), mask=g < 0)) for g in grams.T]
+    columns = [names.take(pa.array(g, pa.int64(), mask=g < 0)) for g in grams]
     return pc.binary_join_element_wise(*columns, " ", null_handling="skip")
 
 
 def count_grams(docs: DataFrame, longest: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, gram, size, n): the longest gram of every word occurrence; fewer words than ``longest`` end a piece."""
+    """(lang, gram, n): the longest gram of every word occurrence; fewer words than ``longest`` end a piece."""
     prepare(docs.sparkSession)
     rows = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), docs[text_col].alias("text"))
 
     def run(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             langs = b.column("lang")
             for lang in pc.unique(langs).to_pylist():
-                own = b.filter(pc.equal(langs, lang))
-                names, grams, counts = longest_grams(texts_of(own, "text"), longest)
-                for at in range(0, len(grams), 1 << 16):
-                    part = grams[at: at + (1 << 16)]
+                names, grams, counts = longest_grams(texts_of(b.filter(pc.equal(langs, lang)), "text"), longest)
+                for at in range(0, len(counts), 1 << 16):
+                    part = grams[:, at: at + (1 << 16)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(lang, pa.string()), len(part)), joined(names, part),
-                         pa.array((part >= 0).sum(axis=1), pa.int32()), pa.array(counts[at: at + len(part)], pa.int64())],
-                        ["lang", "gram", "size", "n"])
+                        [pa.repeat(pa.scalar(lang, pa.string()), part.shape[1]), joined(names, part),
+                         pa.array(counts[at: at + part.shape[1]], pa.int64())], ["lang", "gram", "n"])
+
+    return rows.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
 
-    return (rows.mapInArrow(run, "lang string, gram string, size int, n long")
-            .groupBy("lang", "gram", "size").agg(F.sum("n").alias("n")))
+def word_count(gram: str) -> Column:
+    return F.length(gram) - F.length(F.translate(gram, " ", "")) + 1
 
 
 def first_words(gram: str, k: int) -> Column:
@@ -105,7 +115,7 @@ def last_words(gram: str, k: int) -> Column:
 
 def node_flow(grams: DataFrame, size: int, at_least: int) -> DataFrame:
     """(lang, gram, n) of the phrases of ``size`` words: what leaves them and the pieces that end in them."""
-    prefixes = grams.where(F.col("size") >= size).select("lang", first_words("gram", size).alias("gram"), "n")
+    prefixes = grams.where(word_count("gram") >= size).select("lang", first_words("gram", size).alias("gram"), "n")
     return prefixes.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least)
 
 
@@ -185,7 +195,7 @@ def collocations(docs: DataFrame, longest: int = 3, at_least: int = 10, covered:
     grams = spark.read.schema(counted.schema).parquet(folder)
     words, words_path = written(grams.groupBy("lang").agg(F.sum("n").alias("n")), "gram-totals")
     total = words.agg(F.sum("n")).first()[0] or 0
-    level = {longest: written(grams.where((F.col("size") == longest) & (F.col("n") >= at_least))
+    level = {longest: written(grams.where((F.col("n") >= at_least) & (word_count("gram") == longest))
                               .select("lang", "gram", "n"), "edges")[0]}
     for size in range(1, longest):
         level[size] = written(node_flow(grams, size, at_least), f"phrases-{size}")[0]

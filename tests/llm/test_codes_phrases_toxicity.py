@@ -181,7 +181,7 @@ def test_collocations_equal_plain_counting(spark, monkeypatch, longest, at_least
 def test_paths_run_between_branches(spark):
     docs = spark.createDataFrame([(t, lang) for lang, t in phrase_rows()], "text string, lang string")
     grams = collocations.count_grams(docs, 3)
-    edges = grams.where("size = 3 and n >= 10").select("lang", "gram", "n")
+    edges = grams.where("n >= 10").where(collocations.word_count("gram") == 3)
     nodes = collocations.best_neighbours(collocations.node_flow(grams, 2, 10), edges, 2)
     steps = {(r.lang, r.gram): (r.path, r.pos) for r in collocations.unary_paths(nodes).collect()}
     # 24 copies: the passage's edges are one path from its first edge on, broken by no branch but its ends
@@ -199,7 +199,7 @@ def test_collocations_on_odd_rows(odd_docs, make_docs):
 def test_many_words_outgrow_one_key():
     texts = [f"w{i} w{i + 1} w{i + 2} z" for i in range(0, 40)]
     names, grams, counts = collocations.longest_grams(texts, 13)
-    got = {tuple(names[int(g)].as_py() for g in row if g >= 0): int(n) for row, n in zip(grams, counts)}
+    got = {tuple(names[int(g)].as_py() for g in row if g >= 0): int(n) for row, n in zip(grams.T, counts)}
     want = Counter(tuple(t.split()[i:]) for t in texts for i in range(4))
     assert got == want
 
