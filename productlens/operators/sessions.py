@@ -10,26 +10,30 @@ which starts a session.
 Scale notes
 -----------
 The textbook form is ``lag`` + running ``sum`` over ``Window.partitionBy(user)``,
-which sorts *all* events of a user inside one task: one heavy user (a bot,
-an integration account) holding a third of the rows would run in a single
-task. ``sessionize`` windows over ``(user_id, time slice)`` (an hour by
-default) instead and reduces each slice to session pieces at once, without
-another shuffle. Only the pieces (a few per active user-hour, whatever the
-number of events) are shuffled by user and numbered by a window; the rollup
-needs no shuffle of its own. Two shuffles, one scan, no join.
+which sorts *all* events of a user inside one task. Here all events are put in
+one order (user, time, event id) and cut into ranges, so a heavy user, or a
+single user-hour, spreads over as many tasks as its rows need. A task reads its
+sorted range as a stream of Arrow batches and reduces it to session pieces; the
+pieces (a few rows a session) are written, as the ranges must not be drawn a
+second time. Sessions open at a border are stitched by a prefix pass over the
+first and last event of every range: one row a range, on the driver. The rollup
+then adds up pieces; only a session that crosses a border has several.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from productlens import config
 from productlens.functions.columns import epoch_seconds_rounded
-
-# Default time slice: one hour. A heavy user-day (e.g. a daily incremental batch)
-# still splits over up to 24 tasks.
-SLICE_US = 3_600_000_000
+from productlens.session import scratch_folder, ship_package
 
 
 def _gap_us(gap_minutes: int) -> int:
@@ -50,50 +54,119 @@ def session_counts(feature: str = config.FEATURE) -> dict[str, Column]:
             **{f"{feature}_{suffix}": _is(name, feature) for name, suffix in feats}}
 
 
+def _filled(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values with 0 for NULL, and which are NULL."""
+    return pc.fill_null(column, 0).to_numpy(zero_copy_only=False), pc.is_null(column).to_numpy(zero_copy_only=False)
+
+
+def range_pieces(batches: Iterator[pa.RecordBatch], part: int, gap_us: int, counts: list[str]) -> Iterator[pa.RecordBatch]:
+    """Session pieces of one sorted range: of each session and batch the counts, and a row for each raw session id.
+
+    ``seq`` numbers the sessions of a user within the range, whose first event counts as a start; ``at`` numbers the
+    rows of the range. Only the first row of a piece carries counts.
+    """
+    user, time, no_time, seq, at = None, 0, True, -1, 0  # of the last event before the batch
+    for b in batches:
+        if not b.num_rows:
+            continue
+        users, (us, unknown) = b.column("user_id"), _filled(b.column("_us"))
+        code = users.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        other = np.append(seq < 0 or users[0].as_py() != user, code[1:] != code[:-1])
+        before, none_before = np.append(time, us[:-1]), np.append(no_time, unknown[:-1])
+        starts = other | none_before | (~unknown & (us - before > gap_us))
+        begun = np.cumsum(starts)
+        base = np.maximum.accumulate(np.where(other, begun, -1))  # starts up to the user's first event
+        number = np.where(base < 0, seq + begun, begun - base)
+        head = np.flatnonzero(np.append(True, starts[1:]))
+        tail = np.append(head[1:], b.num_rows) - 1
+        piece = np.repeat(np.arange(len(head)), tail + 1 - head)
+        raw = b.column("session_id").dictionary_encode()
+        raw_code, no_raw = _filled(raw.indices)
+        ids = max(1, len(raw.dictionary))
+        pairs = np.unique(piece * (ids + 1) + np.where(no_raw, ids, raw_code))
+        of, own = pairs // (ids + 1), pairs % (ids + 1)
+        first = np.append(True, of[1:] != of[:-1])
+        keep = first | (own < ids)  # a piece's NULL id is its last pair, and needed only where it is the first
+        of, own, first = of[keep], own[keep], first[keep]
+
+        def ints(values, null=None):
+            return pa.array(values, pa.int64(), mask=null)
+
+        columns = {"part": pa.array(np.full(len(of), part, np.int32)), "at": ints(at + np.arange(len(of))),
+                   "user_id": users.take(pa.array(head[of])), "seq": ints(number[head][of]),
+                   "head_us": ints(us[head][of], unknown[head][of]), "tail_us": ints(us[tail][of], unknown[tail][of])}
+        latest = np.maximum.reduceat(np.where(unknown, np.iinfo(np.int64).min, us), head)
+        columns["first_us"] = columns["head_us"]  # events without time come last
+        columns["last_us"] = ints(latest[of], unknown[head][of])
+        columns["raw_id"] = raw.dictionary.take(pa.array(np.minimum(own, ids - 1), mask=own == ids))
+        columns["event_count"] = ints((tail + 1 - head)[of], ~first)
+        for name in counts:
+            value, null = _filled(b.column(name))
+            some = np.add.reduceat((~null).astype(np.int64), head)
+            columns[name] = ints(np.add.reduceat(value.astype(np.int64), head)[of], ~first | (some[of] == 0))
+        yield pa.RecordBatch.from_pydict(columns)
+        user, time, no_time, seq, at = users[-1].as_py(), us[-1], unknown[-1], int(number[-1]), at + len(of)
+
+
 def session_pieces(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
-                   feature: str = config.FEATURE, slice_us: int = SLICE_US) -> DataFrame:
-    """Maximal runs of one session within one time slice (W1, W2 inside a slice), with the rollup's sums."""
-    ev = events.select("user_id", "event_id", F.col("event_time_final").alias("ts"), "event_name", "feature_name",
-                       "session_id", F.unix_micros("event_time_final").alias("_us")).withColumn(
-        "_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("bigint"))
-    w = Window.partitionBy("user_id", "_slice").orderBy("_us", "event_id")
-    prev = F.lag("_us").over(w)
-    later = F.row_number().over(w) > 1
-    starts = F.when(later & (prev.isNull() | (F.col("_us") - prev > _gap_us(gap_minutes))), 1).otherwise(0)
-    ev = ev.withColumn("_starts", starts).withColumn(
-        "_piece", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return ev.groupBy("user_id", "_slice", "_piece").agg(
-        F.min("ts").alias("first_at"), F.max("ts").alias("last_at"), F.count(F.lit(1)).alias("event_count"),
-        *[F.sum(c).alias(name) for name, c in session_counts(feature).items()],
-        F.collect_set("session_id").alias("_raw_ids"))  # of one session in one slice: part of one window's rows
+                   feature: str = config.FEATURE) -> DataFrame:
+    """Session pieces of ranges of the events in the order (user, time, event id), written to the shared folder."""
+    spark = events.sparkSession
+    ship_package(spark)
+    counts = session_counts(feature)
+    order = ["user_id", F.col("_us").isNull(), "_us", "event_id"]
+    ev = events.select("user_id", "event_id", F.unix_micros("event_time_final").alias("_us"), "session_id",
+                       *[c.alias(name) for name, c in counts.items()])
+    gap_us, names = _gap_us(gap_minutes), list(counts)
+
+    def run(batches):
+        return range_pieces(batches, TaskContext.get().partitionId(), gap_us, names)
+
+    schema = ("part int, at long, user_id string, seq long, head_us long, tail_us long, first_us long, last_us long, "
+              "raw_id string, event_count long, " + ", ".join(f"{n} long" for n in names))
+    pieces = (ev.repartitionByRange(*order).sortWithinPartitions(*order)
+              .select("user_id", "_us", "session_id", *names).mapInArrow(run, schema))
+    path = scratch_folder(spark, "session-pieces")
+    pieces.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def stitch(ends: list, gap_us: int) -> list[tuple[int, str, int]]:
+    """(range, its first user, sessions of that user that began before it and don't reach into it), from the ranges' ends."""
+    out, user, tail, sessions = [], None, None, 0
+    for e in ends:
+        same = sessions > 0 and e.first.user_id == user
+        base = 0
+        if same:
+            new = tail is None or (e.first.head_us is not None and e.first.head_us - tail > gap_us)
+            base = sessions if new else sessions - 1
+            if base:
+                out.append((e.part, user, base))
+        sessions = e.last.seq + 1 + (base if e.first.user_id == e.last.user_id else 0)
+        user, tail = e.last.user_id, e.last.tail_us
+    return out
 
 
 def number_pieces(pieces: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES) -> DataFrame:
     """Attach ``session_number`` to every piece."""
-    w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("_slice"), "_piece")
-    prev = F.lag("last_at").over(w)
-    first = F.row_number().over(w) == 1
-    gap = F.unix_micros("first_at") - F.unix_micros(prev)
-    starts = F.when(first | (F.col("_piece") > 0) | (gap > _gap_us(gap_minutes)), 1).otherwise(0)
-    return pieces.withColumn("_starts", starts).withColumn(
-        "session_number", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint")
-    ).drop("_starts", "_slice", "_piece")
+    spark = pieces.sparkSession
+    edge = F.struct("user_id", "seq", "head_us", "tail_us")
+    ends = (pieces.groupBy("part").agg(F.min_by(edge, "at").alias("first"), F.max_by(edge, "at").alias("last"))
+            .orderBy("part").collect())  # one row a range
+    carried = spark.createDataFrame(stitch(ends, _gap_us(gap_minutes)), "_part int, _user string, _base long")
+    here = (F.col("part") == F.col("_part")) & F.col("user_id").eqNullSafe(F.col("_user"))
+    return pieces.join(F.broadcast(carried), here, "left").select(  # one row a range at most
+        "user_id", (F.coalesce("_base", F.lit(0)) + F.col("seq") + 1).alias("session_number"),
+        F.timestamp_micros("first_us").alias("first_at"), F.timestamp_micros("last_us").alias("last_at"),
+        *pieces.columns[pieces.columns.index("raw_id"):])
 
 
 def rollup_pieces(numbered: DataFrame, feature: str = config.FEATURE) -> DataFrame:
-    """Per (user, session_number) rollup and derived columns.
-
-    A piece becomes a row for each of its raw session ids, and only the first
-    of them carries the sums, so one aggregation counts the distinct ids too.
-    """
+    """Per (user, session_number) rollup and derived columns."""
     sums = ["event_count", *session_counts(feature)]
-    rows = numbered.select("user_id", "session_number", "first_at", "last_at", *sums,
-                           F.posexplode_outer("_raw_ids").alias("_pos", "_raw_id"))
-    one = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    s = rows.groupBy("user_id", "session_number").agg(
+    s = numbered.groupBy("user_id", "session_number").agg(
         F.min("first_at").alias("session_start_at"), F.max("last_at").alias("session_end_at"),
-        *[F.sum(F.when(one, F.col(c))).alias(c) for c in sums],
-        F.count_distinct("_raw_id").alias("raw_session_id_count"))
+        *[F.sum(c).alias(c) for c in sums], F.count_distinct("raw_id").alias("raw_session_id_count"))
     used = f"{feature}_used"
     return s.select(
         "user_id",
@@ -108,12 +181,17 @@ def rollup_pieces(numbered: DataFrame, feature: str = config.FEATURE) -> DataFra
 
 
 def sessionize(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES,
-               feature: str = config.FEATURE, slice_us: int = SLICE_US) -> DataFrame:
+               feature: str = config.FEATURE) -> DataFrame:
     """Composite W: ``fct_events`` -> ``fct_sessions``."""
-    pieces = session_pieces(events, gap_minutes, feature, slice_us)
-    return rollup_pieces(number_pieces(pieces, gap_minutes), feature)
+    return rollup_pieces(number_pieces(session_pieces(events, gap_minutes, feature), gap_minutes), feature)
+
 
+def session_windows(events: DataFrame, gap_minutes: int = config.SESSION_GAP_MINUTES) -> DataFrame:
+    """Start, end and size of the sessions of the events that have a time, by Spark's ``session_window``.
 
-def session_spans(sessions: DataFrame) -> DataFrame:
-    """Start, end and size of every session."""
-    return sessions.select("user_id", "session_start_at", "session_end_at", "event_count")
+    A second method beside ``sessionize``. A window ends at its last event plus the gap, so the end is the last event's time.
+    """
+    ev = events.select("user_id", F.col("event_time_final").alias("ts"))
+    return (ev.groupBy("user_id", F.session_window("ts", f"{int(gap_minutes)} minutes").alias("w"))
+            .agg(F.min("ts").alias("session_start_at"), F.max("ts").alias("session_end_at"),
+                 F.count(F.lit(1)).alias("event_count")).drop("w"))

@@ -107,7 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_flag_counts": _q(lambda m: C.dq_flag_counts(m.fct_events)),
     # sessions
     "sessions": _q(lambda m: m.fct_sessions),
-    "sessions_session_window": _q(lambda m: W.session_spans(m.fct_sessions)),
+    "sessions_session_window": _q(lambda m: W.session_windows(m.fct_events)),
     # cohorts, adoption
     "user_cohorts": _q(lambda m: m.dim_user_cohorts),
     "rollout_bucket": _q(lambda m: A.rollout_buckets(m.dim_users)),

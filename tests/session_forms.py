@@ -1,4 +1,4 @@
-"""Other forms of the sessionisation, for cross-checks: whole-user window and Spark's session_window."""
+"""Another form of the sessionisation, for cross-checks: whole-user window."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -23,12 +23,3 @@ def sessions_by_user(events):
         F.count(F.lit(1)).alias("event_count"), F.count_distinct("session_id").alias("raw_session_id_count"),
         F.sum(((F.col("event_name") == "feature_used") & (F.col("feature_name") == "team_collab")).cast("int"))
         .alias("team_collab_used"))
-
-
-def sessions_via_session_window(events, gap_minutes=config.SESSION_GAP_MINUTES):
-    """A window ends at its last event + gap, so the last event time is ``max(ts)`` instead."""
-    ev = events.select("user_id", F.col("event_time_final").alias("ts"))
-    return (ev.groupBy("user_id", F.session_window("ts", f"{int(gap_minutes)} minutes").alias("w"))
-            .agg(F.min("ts").alias("session_start_at"), F.max("ts").alias("session_end_at"),
-                 F.count(F.lit(1)).alias("event_count"))
-            .drop("w"))

@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from productlens.operators import clean as C
@@ -108,3 +109,43 @@ def test_bad_client_times_are_counted(spark, make_raw, make_users):
                     raw_row("4", "u1", properties_json='{"client_event_time":"n/a"}')])
     counts = C.dq_flag_counts(C.clean_events(raw, make_users([user_row("u1")]))).collect()[0]
     assert (counts["n_bad_client_time"], counts["n_used_client_time"], counts["n_used_ingested_time"]) == (1, 1, 2)
+
+
+def test_only_possible_duplicates_are_shuffled(spark):
+    from productlens import schemas
+    rows = [raw_row(f"e{i}", "u1", session_id=f"s{i % 3}") for i in range(20_000)] + [raw_row(None, "u1")] * 50
+    rows += [raw_row(f"e{i}", "u1", session_id="copy") for i in range(0, 20_000, 100)] + [raw_row("hot", "u1")] * 3000
+    raw = spark.createDataFrame(rows, schemas.RAW_EVENTS)
+    possible, single = C.possible_duplicates(raw)
+    assert possible.count() + single.count() == 23_200
+    assert single.count() == single.select("event_id").distinct().count()
+    assert single.join(possible, "event_id").count() == 0
+    # without the copies of the ids that do occur again, far below a tenth of the rows goes to the exact aggregation
+    assert possible.select("event_id").distinct().count() < 0.05 * len(rows)
+    slots, _ = C.repeated_slots(raw)
+    packed = raw.where("event_id is not null").select(C.slot_of("event_id", len(rows)).alias("slot")).mapInArrow(
+        C._packed, "block long, seen binary, again binary")
+    assert packed.count() < 0.1 * len(rows) and slots.count() <= possible.select("event_id").distinct().count()
+    assert {r["event_id"]: r["n_copies"] for r in C.duplicate_ids(raw).collect()} == {
+        "hot": 3000, **{f"e{i}": 2 for i in range(0, 20_000, 100)}}
+
+
+def test_dedup_is_the_same_whatever_the_map(spark, make_raw, monkeypatch):
+    rows = [raw_row(f"e{i % 400}", "u1", session_id=f"s{i % 7}", ingested_at=None if i % 5 == 0 else "2024-01-03 00:00:00")
+            for i in range(700)] + [raw_row(None, "u1")]
+    want = sorted(map(str, C.deduplicate(make_raw(rows)).collect()))
+    assert len(want) == 400
+    monkeypatch.setattr(C, "MOST_SLOTS", 10)   # too many slots: everything through the exact aggregation
+    assert C.possible_duplicates(make_raw(rows))[1] is None
+    assert sorted(map(str, C.deduplicate(make_raw(rows)).collect())) == want
+    monkeypatch.undo()
+    blocks = [[(b, s) for b, s in ((7, 1), (7, 2), (7, 1), (8, 1))], [(7, 2), (8, 3)]]
+    packed = [list(C._packed(iter([pa.RecordBatch.from_pydict({"slot": [(b << C.BLOCK_BITS) + s for b, s in own]})])))[0]
+              for own in blocks]
+    by_block = pa.Table.from_batches(packed).sort_by("block").to_batches()
+    got = [x.as_py() for b in C._again(iter(by_block)) for x in b.column("slot")]
+    assert got == [(7 << C.BLOCK_BITS) + 1, (7 << C.BLOCK_BITS) + 2]
+
+
+def test_dedup_of_no_rows(make_raw):
+    assert C.deduplicate(make_raw([])).count() == 0 and C.duplicate_ids(make_raw([raw_row(None, "u1")])).count() == 0

@@ -26,7 +26,7 @@ GAPS = st.sampled_from([0, 1, 29 * 60, 30 * 60, 30 * 60 + 1, 45 * 60, 5 * 3600,
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), GAPS), min_size=1, max_size=60))
-def test_slice_sessionisation_equals_whole_user_window(spark, steps):
+def test_range_sessionisation_equals_whole_user_window(spark, steps):
     clock, rows = {}, []
     for i, (user, gap) in enumerate(steps):
         clock[user] = clock.get(user, T0) + timedelta(seconds=gap)
@@ -35,44 +35,36 @@ def test_slice_sessionisation_equals_whole_user_window(spark, steps):
     cols = ["user_id", "session_number", "session_start_at", "session_end_at", "event_count",
             "raw_session_id_count"]
     want = sorted(map(tuple, session_forms.sessions_by_user(events).select(cols).collect()))
-    for slice_us in (86_400_000_000, 3_600_000_000):
-        assert sorted(map(tuple, W.sessionize(events, slice_us=slice_us).select(cols).collect())) == want
+    assert sorted(map(tuple, W.sessionize(events).select(cols).collect())) == want
 
 
-def test_hot_user_is_spread_over_partitions(spark):
-    # one user holds a third of all events, spread over 30 days
+def test_one_user_hour_is_spread_over_ranges(spark):
+    # one user's single hour holds half of all events; it is one session
     hot = spark.range(30_000).select(
         F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"), F.lit("hot").alias("user_id"),
         F.lit("page_view").alias("event_name"),
-        F.timestamp_micros(F.lit(1_709_251_200_000_000) + F.col("id") * F.lit(86_400_000_000 // 1000))
+        F.timestamp_micros(F.lit(1_709_251_200_000_000) + F.col("id") * F.lit(3_600_000_000 // 30_000))
         .alias("event_time_final"),
-        F.lit(None).cast("string").alias("feature_name"), F.lit("s").alias("session_id"))
-    rest = spark.range(60_000).select(
+        F.lit(None).cast("string").alias("feature_name"), F.concat(F.lit("s"), F.col("id") % 7).alias("session_id"))
+    rest = spark.range(30_000).select(
         F.concat(F.lit("r"), F.col("id").cast("string")).alias("event_id"),
         F.concat(F.lit("u"), (F.col("id") % 600).cast("string")).alias("user_id"),
         F.lit("page_view").alias("event_name"),
         F.timestamp_micros(F.lit(1_709_251_200_000_000) + F.col("id") * F.lit(43_200_000)).alias("event_time_final"),
         F.lit(None).cast("string").alias("feature_name"), F.lit("s").alias("session_id"))
     events = hot.unionByName(rest)
-    # static plan, no broadcasts: the shape a large cluster runs
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    hot_rows = F.count_if(F.col("user_id") == "hot").alias("count")  # no filter: nothing pushed below the window
-    hot_events = F.sum(F.when(F.col("user_id") == "hot", F.col("event_count"))).alias("count")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these few rows would be one task
     try:
-        per_task = [r for r in W.session_pieces(events).withColumn("p", F.spark_partition_id())
-                    .groupBy("p").agg(hot_events).collect() if r["count"]]
-        by_user = [r for r in session_forms.number_events_by_user(events).withColumn("p", F.spark_partition_id())
-                   .groupBy("p").agg(hot_rows, F.max("session_number")).collect() if r["count"]]
+        per_range = [r["n"] for r in W.session_pieces(events).where("user_id = 'hot'").groupBy("part")
+                     .agg(F.sum("event_count").alias("n")).collect()]
+        got = W.sessionize(events)
+        hot_row = got.where("user_id = 'hot'").collect()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # whole-user windowing puts the hot user in one task; day slices spread it out
-    assert len(by_user) == 1
-    assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 30_000 / 2
-    # and the numbering is the same
-    a = W.sessionize(events).agg(F.sum("event_count"), F.max("session_number")).collect()[0]
-    b = session_forms.sessions_by_user(events).agg(F.sum("event_count"), F.max("session_number")).collect()[0]
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_range) >= 4 and sum(per_range) == 30_000 and max(per_range) < 30_000 / 3
+    assert [(r["session_number"], r["event_count"], r["raw_session_id_count"]) for r in hot_row] == [(1, 30_000, 7)]
+    a = got.agg(F.sum("event_count"), F.max("session_number"), F.count("*")).collect()[0]
+    b = session_forms.sessions_by_user(events).agg(F.sum("event_count"), F.max("session_number"), F.count("*")).collect()[0]
     assert tuple(a) == tuple(b)
 
 

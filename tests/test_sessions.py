@@ -1,10 +1,11 @@
 import random
 from datetime import datetime, timedelta, timezone
 
+import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from productlens.functions.columns import MICROS_PER_DAY
 from productlens.operators import sessions as W
 from tests import session_forms
 
@@ -56,17 +57,44 @@ def test_gap_boundaries_durations_and_counts(spark):
     assert len(s) == 5
 
 
-def test_session_spanning_slices(spark):
-    # 23:30 -> 01:10 crosses hour boundaries (default slices) and midnight with 20-minute gaps.
+def small_ranges(spark):
+    """Sorted ranges of a few events each: no coalescing, many partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+
+
+@pytest.fixture(params=["few", "many"])
+def ranges(spark, request):
+    """With AQE's few ranges, and with many that cut through sessions; Arrow batches of a few rows."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    if request.param == "many":
+        small_ranges(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    yield request.param
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+
+
+def test_session_spanning_hours_and_ranges(spark, ranges):
     base = datetime(2024, 1, 1, 23, 30, tzinfo=timezone.utc)
-    rows = [row(i, "a", base + timedelta(minutes=20 * i)) for i in range(6)]
-    rows.append(row(99, "a", base + timedelta(hours=5)))
+    rows = [row(i, "a", base + timedelta(minutes=20 * i)) for i in range(60)]
+    rows.append(row(99, "a", base + timedelta(hours=50)))
     s = sessions_by_user(W.sessionize(ev(spark, rows)))
-    assert s[("a", 1)]["event_count"] == 6
+    assert s[("a", 1)]["event_count"] == 60
     assert s[("a", 2)]["event_count"] == 1
-    # day slices give the same result
-    s2 = sessions_by_user(W.sessionize(ev(spark, rows), slice_us=MICROS_PER_DAY))
-    assert {k: v["event_count"] for k, v in s2.items()} == {k: v["event_count"] for k, v in s.items()}
+    assert len(s) == 2
+
+
+def test_borders_are_stitched():
+    end = lambda user, seq, head, tail: Row(user_id=user, seq=seq, head_us=head, tail_us=tail)
+    ends = [Row(part=0, first=end("a", 0, 1, 5), last=end("b", 2, 10, 20)),
+            Row(part=1, first=end("b", 0, 50, 60), last=end("b", 1, 200, 200)),   # goes on with b's third session
+            Row(part=3, first=end("b", 0, 400, 400), last=end("b", 0, 400, None)),  # a new one: 1-3, 4, then 5
+            Row(part=4, first=end("b", 0, None, None), last=end("c", 0, 1, 2)),   # time before is unknown: a new one
+            Row(part=5, first=end("d", 0, 3, 3), last=end("d", 0, 3, 3)),
+            Row(part=6, first=end("d", 0, None, None), last=end("d", 3, None, None))]  # unknown gap: stays
+    assert W.stitch(ends, 100) == [(1, "b", 2), (3, "b", 4), (4, "b", 5)]
 
 
 def test_equal_timestamps_are_one_session_and_deterministic(spark):
@@ -88,21 +116,20 @@ def _random_events(spark, n_users=12, n_events=1500, seed=7):
     return ev(spark, rows)
 
 
-def test_slice_method_equals_whole_user_window(spark):
+def test_ranges_equal_whole_user_window(spark, ranges):
     events = _random_events(spark)
     cols = ["user_id", "session_number", "session_start_at", "session_end_at", "event_count",
             "raw_session_id_count", "team_collab_used"]
-    for slice_us in (MICROS_PER_DAY, 3_600_000_000, 600_000_000):
-        a = sorted(map(tuple, W.sessionize(events, slice_us=slice_us).select(cols).collect()))
-        b = sorted(map(tuple, session_forms.sessions_by_user(events).select(cols).collect()))
-        assert a == b
+    a = sorted(map(tuple, W.sessionize(events).select(cols).collect()))
+    b = sorted(map(tuple, session_forms.sessions_by_user(events).select(cols).collect()))
+    assert a == b
 
 
 def test_session_window_cross_check(spark):
     events = _random_events(spark, seed=11)
     cols = ["user_id", "session_start_at", "session_end_at", "event_count"]
     a = sorted(map(tuple, W.sessionize(events).select(cols).collect()))
-    b = sorted(map(tuple, session_forms.sessions_via_session_window(events).select(cols).collect()))
+    b = sorted(map(tuple, W.session_windows(events).select(cols).collect()))
     assert a == b
 
 
@@ -122,20 +149,23 @@ def test_counts_over_null_event_names_stay_null(spark):
     assert s[("a", 1)]["used_team_collab_in_session"] is None
 
 
-def test_events_without_time_come_last(spark):
+def test_events_without_time_come_last(spark, ranges):
     # the first has an unknown gap and stays; for the others the previous time is unknown
     rows = [row(1, "a", T0), row(2, "a", T0 + timedelta(minutes=5)), row(3, "a", None, sid="x"),
             row(4, "b", None), row(5, "b", None, sid=None), row(6, "b", None),
             row(7, "c", T0), row(8, "c", T0 + timedelta(hours=9)), row(9, "c", None), row(10, "c", None)]
-    for slice_us in (W.SLICE_US, MICROS_PER_DAY):
-        s = sessions_by_user(W.sessionize(ev(spark, rows), slice_us=slice_us))
-        assert {k: r["event_count"] for k, r in s.items()} == {
-            ("a", 1): 3, ("b", 1): 1, ("b", 2): 1, ("b", 3): 1, ("c", 1): 1, ("c", 2): 2, ("c", 3): 1}
-        assert s[("a", 1)]["raw_session_id_count"] == 2 and s[("b", 2)]["raw_session_id_count"] == 0
-        assert s[("b", 1)]["session_start_at"] is None and s[("c", 2)]["session_duration_seconds"] == 0
+    s = sessions_by_user(W.sessionize(ev(spark, rows)))
+    assert {k: r["event_count"] for k, r in s.items()} == {
+        ("a", 1): 3, ("b", 1): 1, ("b", 2): 1, ("b", 3): 1, ("c", 1): 1, ("c", 2): 2, ("c", 3): 1}
+    assert s[("a", 1)]["raw_session_id_count"] == 2 and s[("b", 2)]["raw_session_id_count"] == 0
+    assert s[("b", 1)]["session_start_at"] is None and s[("c", 2)]["session_duration_seconds"] == 0
+
+
+def test_no_events(spark):
+    assert W.sessionize(ev(spark, [])).count() == 0
 
 
-def test_slice_method_equals_whole_user_window_with_missing_times(spark):
+def test_ranges_equal_whole_user_window_with_missing_times(spark, ranges):
     events = _random_events(spark, seed=5).withColumn(
         "event_time_final", F.when(F.crc32("event_id") % 50 != 0, F.col("event_time_final")))
     cols = ["user_id", "session_number", "event_count", "raw_session_id_count"]
