@@ -3,7 +3,8 @@
 Tables are written in dependency order (core before marts) and each one is
 read back before its consumers are built, so a later stage never replays the
 lineage of an earlier one and an executor lost in stage N only reruns stage
-N's tasks. Base tables come either from the driver tables or from CSV
+N's tasks. All tables of a run become visible to readers together at its end;
+a run that fails leaves the tables of the run before. Base tables come either from the driver tables or from CSV
 exports (``--csv-dir`` with one folder per base table).
 
     python -m productlens.plans.pipeline --sf-dir /root/testdata/sf0.1 --out /shared/warehouse
@@ -30,7 +31,8 @@ PARTITIONS = {"fct_events": ("event_date",)}
 
 def load_base(wh: Warehouse, base: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """S3: full-refresh load of the base tables into raw/core."""
-    return {name: wh.write(df, BASE_LAYERS.get(name, "core"), name) for name, df in base.items()}
+    with wh.publishing():
+        return {name: wh.write(df, BASE_LAYERS.get(name, "core"), name) for name, df in base.items()}
 
 
 def run(spark: SparkSession, base: dict[str, DataFrame], out: str, *, catalog: bool = False,
@@ -41,23 +43,24 @@ def run(spark: SparkSession, base: dict[str, DataFrame], out: str, *, catalog: b
     ensure_utc(spark)
     wh = Warehouse(spark, out, catalog=catalog, buckets=buckets)
     timings: dict[str, float] = {}
-    t0 = time.perf_counter()
-    loaded = load_base(wh, dict(base))
-    timings["base_tables"] = round(time.perf_counter() - t0, 3)
-    marts = Marts(loaded, **params)
-    for name, layer in TABLE_LAYERS:
-        if tables and name not in tables:
-            continue
+    with wh.publishing():
         t0 = time.perf_counter()
-        df = getattr(marts, name)
-        parts = PARTITIONS.get(name, ())
-        if "event_date" in parts:
-            df = df.withColumn("event_date", F.to_date("event_time_final"))
-        written = wh.write(df, layer, name, partition_by=parts)
-        if "event_date" in parts:
-            written = written.drop("event_date")
-        marts.__dict__[name] = written  # downstream jobs read the materialised copy
-        timings[name] = round(time.perf_counter() - t0, 3)
+        loaded = load_base(wh, dict(base))
+        timings["base_tables"] = round(time.perf_counter() - t0, 3)
+        marts = Marts(loaded, **params)
+        for name, layer in TABLE_LAYERS:
+            if tables and name not in tables:
+                continue
+            t0 = time.perf_counter()
+            df = getattr(marts, name)
+            parts = PARTITIONS.get(name, ())
+            if "event_date" in parts:
+                df = df.withColumn("event_date", F.to_date("event_time_final"))
+            written = wh.write(df, layer, name, partition_by=parts)
+            if "event_date" in parts:
+                written = written.drop("event_date")
+            marts.__dict__[name] = written  # downstream jobs read the materialised copy
+            timings[name] = round(time.perf_counter() - t0, 3)
     return timings
 
 
