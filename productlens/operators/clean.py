@@ -159,19 +159,25 @@ def deduplicate(raw: DataFrame) -> DataFrame:
 def repair_time(events: DataFrame, json_key: str = "client_event_time") -> DataFrame:
     """event_time -> client time in the JSON payload -> ingested_at.
 
-    An absent key, a JSON null and an unparsable value all count as "no
-    client time"; ``dq_bad_client_time`` tells the last apart.
+    The payload is parsed once, to a VARIANT. An absent key, a JSON null, an
+    unparsable value and a payload that is no JSON all count as "no client
+    time"; ``dq_null_client_time``, ``dq_bad_client_time`` and
+    ``dq_malformed_payload`` (for events with a time as well) tell them apart.
     """
-    text = F.when(F.col("event_time").isNull(), F.get_json_object("properties_json", f"$.{json_key}"))
+    missing = F.col("event_time").isNull()
+    value = F.variant_get("_payload", f"$.{json_key}", "variant")
     return (events
-            .withColumn("_text", text)
+            .withColumn("_payload", F.try_parse_json("properties_json"))
+            .withColumn("dq_malformed_payload", F.col("properties_json").isNotNull() & F.col("_payload").isNull())
+            .withColumn("_text", F.when(missing, F.try_variant_get("_payload", f"$.{json_key}", "string")))
+            .withColumn("dq_null_client_time", missing & F.coalesce(F.is_variant_null(value), F.lit(False)))
             .withColumn("_client", F.col("_text").try_cast("timestamp"))
             .withColumn("dq_bad_client_time", F.col("_text").isNotNull() & F.col("_client").isNull())
             .withColumn("event_time_final", F.coalesce("event_time", "_client", "ingested_at"))
             .withColumn("dq_missing_event_time", F.col("event_time").isNull())
             .withColumn("dq_used_client_time", F.col("event_time").isNull() & F.col("_client").isNotNull())
             .withColumn("dq_used_ingested_time", F.col("event_time").isNull() & F.col("_client").isNull())
-            .drop("_client", "_text"))
+            .drop("_client", "_text", "_payload"))
 
 
 def standardise_fields(events: DataFrame, devices=config.DEVICE_TYPES,
@@ -196,7 +202,7 @@ FCT_EVENTS_COLUMNS = (
     "event_id", "user_id", "event_name", "event_time_final", "feature_name", "session_id",
     "device_type", "country", "properties_json", "ingested_at",
     "dq_missing_event_time", "dq_used_client_time", "dq_used_ingested_time",
-    "dq_bad_client_time", "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country",
+    "dq_bad_client_time", "dq_null_client_time", "dq_malformed_payload", "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country",
 )
 
 
@@ -213,7 +219,7 @@ def clean_events(raw: DataFrame, users: DataFrame, devices=config.DEVICE_TYPES,
 def dq_flag_counts(fct_events: DataFrame) -> DataFrame:
     """One-row summary of the data-quality flags carried by ``fct_events``."""
     flags = ("dq_missing_event_time", "dq_used_client_time", "dq_used_ingested_time", "dq_bad_client_time",
-             "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country")
+             "dq_null_client_time", "dq_malformed_payload", "dq_duplicate_event_id", "dq_bad_device", "dq_bad_country")
     aggs = [F.count(F.lit(1)).alias("n_events")]
     aggs += [F.count_if(F.col(f)).alias(f"n_{f[3:]}") for f in flags]
     aggs += [F.count_if(F.col(f).isNull()).alias(f"n_{f[3:]}_null") for f in ("dq_bad_device", "dq_bad_country")]

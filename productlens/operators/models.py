@@ -129,20 +129,35 @@ def adoption_logit(baseline: DataFrame, adoption: DataFrame, points: int = confi
     return _curves(cells, points).select("grid_index", "x", F.col("p").alias("p_adopt"), "intercept", "coefficient")
 
 
+def poisson_quantile(n: float, u: np.ndarray) -> np.ndarray:
+    """Smallest k whose Poisson(n) distribution function reaches u, summed from 12 standard deviations below the mean."""
+    low = max(0, math.floor(n - 12 * math.sqrt(n) - 20))
+    k = np.arange(low, math.ceil(n + 12 * math.sqrt(n) + 41), dtype=float)
+    log_factorial = np.fromiter((math.lgamma(x + 1) for x in k), float, len(k))
+    reached = np.cumsum(np.exp(k * math.log(n) - n - log_factorial))
+    return low + np.minimum(np.searchsorted(reached, u), len(k) - 1).astype(float)
+
+
 def replicate_weights(cells: DataFrame, reps: int) -> DataFrame:
-    """Multiplier bootstrap: a cell of n users weighs n + sqrt(n) z (at least 0) in each replicate.
+    """Poisson bootstrap: a cell of n users weighs a Poisson(n) number in each replicate, as n resampled users would.
 
-    z has mean 0 and variance 1, as a resampled count has mean and variance n
-    about: the sum of twelve bytes of md5(replicate, x, y), centred and scaled.
-    So a replicate is the same on every engine and partitioning.
+    The number is the quantile of 52 bits of md5(replicate, x, y), so a replicate is the same on every engine and partitioning.
     """
     each = cells.select(F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"), "x", "y", "n")
     digest = F.md5(F.concat_ws("|", F.col("rep").cast("string"), F.col("x").cast("bigint").cast("string"),
                                F.col("y").cast("bigint").cast("string")).cast("binary"))
-    total = sum((F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int") for i in range(1, 12)),
-                F.conv(F.substring(digest, 1, 2), 16, 10).cast("int"))
-    z = (total - F.lit(1530)) / F.sqrt(F.lit(65535.0))
-    return each.select("rep", "x", "y", F.greatest(F.lit(0.0), F.col("n") + F.sqrt("n") * z).alias("w"))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+
+    def draw(batches):
+        for pdf in batches:
+            w = np.zeros(len(pdf))
+            for n in np.unique(pdf["n"]):
+                own = (pdf["n"] == n).to_numpy()
+                w[own] = poisson_quantile(n, pdf["u"].to_numpy()[own])
+            yield pd.DataFrame({"rep": pdf["rep"], "x": pdf["x"], "y": pdf["y"], "w": w})
+
+    ship_package(cells.sparkSession)
+    return each.withColumn("u", u).mapInPandas(draw, "rep int, x double, y double, w double")
 
 
 def adoption_logit_ci(baseline: DataFrame, adoption: DataFrame, points: int = config.LOGIT_GRID,

@@ -9,7 +9,7 @@ pandas (unpivot, pivot, cross-tab normalisation) runs in Spark here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from productlens import config
@@ -124,12 +124,17 @@ def retention_heatmap(cohort_retention: DataFrame, weeks=None) -> DataFrame:
 
 def retention_heatmap_grid(cohort_retention: DataFrame) -> DataFrame:
     """N9 with every week of the data, one row for each cell; cells without data are NULL."""
-    wide = retention_heatmap(cohort_retention)
-    weeks = wide.columns[1:]
-    if not weeks:
-        return retention_heatmap_long(cohort_retention)
-    return wide.unpivot("signup_week", weeks, "week", "retention_rate_pct").select(
-        "signup_week", F.substring("week", 2, 10).cast("int").alias("week_number"), "retention_rate_pct")
+    cells = retention_heatmap_long(cohort_retention)
+    weeks = cells.agg(F.array_sort(F.collect_set("week_number"))).scalar()  # the calendar's weeks
+    grid = cells.select("signup_week").distinct().select("signup_week", F.explode(weeks).alias("week_number"))
+    found = cells.withColumnRenamed("signup_week", "_cohort").withColumnRenamed("week_number", "_week")
+    here = F.col("signup_week").eqNullSafe(F.col("_cohort")) & (F.col("week_number") == F.col("_week"))
+    return grid.join(found, here, "left").select("signup_week", "week_number", "retention_rate_pct")
+
+
+def in_report_order(df: DataFrame, *order: str) -> DataFrame:
+    """A report of calendar size with the place of each row in its presentation order."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(*order)))
 
 
 def activity_curve(user_weeks: DataFrame) -> DataFrame:

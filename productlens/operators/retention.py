@@ -8,10 +8,11 @@
 
 Scale notes
 -----------
-Sessions are reduced per user to the *set* of active weeks (or days) with
-``groupBy(user_id).agg(collect_set(...))``: partially aggregated map-side,
-so a heavy user contributes one small set per map task, and the set is
-bounded by the calendar (weeks or days in the data), not by its sessions.
+Sessions are reduced per user to a bitmap of active weeks (or days): longs of
+64 calendar bits each, merged by ``bit_or`` in a hash aggregate with fixed
+buffers, so a heavy user contributes one small row per map task and no set of
+values is ever built. The number of longs follows from the first and last day
+of the data, not from its rows (beyond ``MOST_WORDS``, sets do).
 That is the only shuffle of sessions, and it is already on ``user_id``, so
 the joins with the one-row-per-user adoption and tier tables that follow
 are co-partitioned. The interval join of the SQL formulation
@@ -24,17 +25,45 @@ cells, and a window over the cells (calendar weeks only) hands them on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from productlens import config
 from productlens.functions.columns import MICROS_PER_DAY, engagement_tier, pct, week_start
+from productlens.operators.intervals import range_join
+
+
+#: longs of a bitmap: 11 years of days, 78 of weeks
+MOST_WORDS = 64
+
+
+def active_dates(sessions: DataFrame, day: Column, days: int, name: str) -> DataFrame:
+    """(user_id, ``name``): the distinct values of ``day`` of each user's sessions, which lie ``days`` apart, as an array."""
+    lo, hi = sessions.agg(F.min(day), F.max(day)).first()
+    lo = lo or date(1970, 1, 1)
+    count = (hi - lo).days // days + 1 if hi else 1
+    place = F.floor(F.datediff(day, F.lit(lo)) / F.lit(days)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
+    words = [f"_word{i}" for i in range(-(-count // 64))]
+    if len(words) > MOST_WORDS:  # some time far off: the same dates by sets, as a buffer of all the days would be too wide
+        return sessions.groupBy("user_id").agg(F.array_sort(F.collect_set(day)).alias(name))
+    merged = sessions.groupBy("user_id").agg(
+        *[F.bit_or(F.when(F.floor(place / F.lit(64)) == i, bit)).alias(w) for i, w in enumerate(words)])
+    longs = F.array(*[F.coalesce(w, F.lit(0).cast("long")) for w in words])
+
+    def is_set(i: Column) -> Column:
+        word = F.element_at(longs, F.floor(i / F.lit(64)).cast("int") + 1)
+        return F.call_function("shiftright", word, i % 64).bitwiseAND(F.lit(1)) == 1
+
+    places = F.filter(F.sequence(F.lit(0), F.lit(count - 1)), is_set)
+    return merged.select("user_id", F.transform(places, lambda i: F.date_add(F.lit(lo), i * days)).alias(name))
 
 
 def user_activity_weeks(sessions: DataFrame) -> DataFrame:
-    """Per user, the set of distinct activity weeks (Mondays)."""
-    return sessions.groupBy("user_id").agg(
-        F.collect_set(week_start("session_start_at")).alias("activity_weeks"))
+    """Per user, the distinct activity weeks (Mondays)."""
+    return active_dates(sessions, week_start("session_start_at"), 7, "activity_weeks")
 
 
 def cohort_retention_weekly(sessions: DataFrame, adoption: DataFrame) -> DataFrame:
@@ -75,6 +104,20 @@ def baseline_engagement(sessions: DataFrame, users: DataFrame, days: int = confi
         "user_id", F.coalesce(F.col("_n"), F.lit(0)).alias("sessions_first_7d"))
 
 
+def sessions_by_account_week(sessions: DataFrame, users: DataFrame, weeks: int = config.RETENTION_WEEKS,
+                             shift_us: int = 0) -> DataFrame:
+    """Sessions and active seconds of each user in 7-day windows from ``shift_us`` after the signup, which no calendar
+    week aligns with; windows without a session are left out."""
+    week_us = 7 * MICROS_PER_DAY
+    opens = F.unix_micros("signup_at") + F.lit(shift_us) + F.col("account_week") * F.lit(week_us)
+    windows = users.select("user_id", "signup_at", F.explode(F.sequence(F.lit(0), F.lit(int(weeks)))).alias("account_week"))
+    windows = windows.select("user_id", "account_week", opens.alias("_from"), (opens + F.lit(week_us)).alias("_to"))
+    points = sessions.select("user_id", F.unix_micros("session_start_at").alias("_at"), "session_duration_seconds")
+    return (range_join(points, windows, "_at", "_from", "_to", keys=("user_id",))
+            .groupBy("user_id", "account_week")
+            .agg(F.count(F.lit(1)).alias("sessions"), F.sum("session_duration_seconds").alias("active_seconds")))
+
+
 def engagement_tiers(baseline: DataFrame, tiers=config.ENGAGEMENT_TIERS) -> DataFrame:
     """R9."""
     return baseline.select("user_id", "sessions_first_7d",
@@ -89,7 +132,7 @@ def user_week_retention(adoption: DataFrame, tiers: DataFrame, sessions: DataFra
     signup_week + 7(n+1))" is "(start date - signup_week) // 7 == n" (floor
     division: days before the signup week give negative weeks, never week 0).
     """
-    days = sessions.groupBy("user_id").agg(F.collect_set(F.to_date("session_start_at")).alias("_days"))
+    days = active_dates(sessions, F.to_date("session_start_at"), 1, "_days")
     base = (adoption.select("user_id", "signup_week", "adopted_feature")
             .join(tiers.select("user_id", "engagement_tier"), "user_id")
             .join(days, "user_id", "left"))

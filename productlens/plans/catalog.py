@@ -21,6 +21,7 @@ from productlens.operators import clean as C
 from productlens.operators import models as M
 from productlens.operators import quality as Q
 from productlens.operators import reports as N
+from productlens.operators import retention as R
 from productlens.operators import sessions as W
 from productlens.plans.checks import for_check, rounded
 from productlens.plans.marts import Marts
@@ -84,6 +85,10 @@ def _csv(table: str, omit: tuple[str, ...] = ()) -> Callable[[SparkSession, str]
     return run
 
 
+#: account weeks begin a day and a half after the signup, in the middle of a day
+ACCOUNT_WEEK_SHIFT_US = 36 * 3_600_000_000
+
+
 def _retention_curve(m: Marts) -> DataFrame:
     return N.retention_curve(m.mart_cohort_retention_weekly, 1, m.weeks)
 
@@ -116,6 +121,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         m.dim_user_cohorts, m.dim_features, m.fct_events, OTHER_FEATURE, m.rollout_days, m.initial_share)),
     # retention
     "cohort_retention_weekly": _q(lambda m: m.mart_cohort_retention_weekly),
+    "cohort_retention_ordered": _q(lambda m: N.in_report_order(
+        m.mart_cohort_retention_weekly, "signup_week", "adopted_feature", "week_number")),
+    "sessions_by_account_week": _q(lambda m: R.sessions_by_account_week(
+        m.fct_sessions, m.dim_users, m.weeks, ACCOUNT_WEEK_SHIFT_US)),
     "baseline_engagement": _q(lambda m: m.mart_user_baseline_engagement),
     "engagement_tiers": _q(lambda m: m.mart_user_engagement_tiers),
     "user_week_retention": _q(lambda m: m.mart_user_week_retention),

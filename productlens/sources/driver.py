@@ -3,7 +3,7 @@
 The driver tables (``events``, ``customer``, ``orders``) carry no signup
 dates, features, sessions or invoices, so they are relabelled by fixed,
 deterministic rules (no row of the driver tables is dropped) that also inject the data-quality faults the cleaning
-jobs exist for (missing event times, malformed client times, duplicate and
+jobs exist for (missing event times, malformed client times and payloads, duplicate and
 NULL event ids, unknown users, invalid devices/countries, internal users,
 NULL invoice periods). Every rule is plain column arithmetic, so the
 relabelling is a narrow, shuffle-free projection that scales with the input.
@@ -119,7 +119,8 @@ def raw_events(events: DataFrame, feature: str = config.FEATURE) -> DataFrame:
     base_json = F.concat(F.lit('{"k":'), k.cast("string"), F.lit(',"screen":"app"'))
     client = F.date_format(t8_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     props = (
-        F.when(F.col("eid") % 166 == 0, F.concat(base_json, F.lit("}")))
+        F.when((F.col("eid") % 581 == 0) | (F.col("eid") % 601 == 0), base_json)  # cut off: no JSON
+        .when(F.col("eid") % 166 == 0, F.concat(base_json, F.lit("}")))
         .when(F.col("eid") % 249 == 0, F.concat(base_json, F.lit(',"client_event_time":"n/a"}')))
         .when(F.col("eid") % 415 == 0, F.concat(base_json, F.lit(',"client_event_time":null}')))
         .otherwise(F.concat(base_json, F.lit(',"client_event_time":"'), client, F.lit('"}')))

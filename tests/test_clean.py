@@ -149,3 +149,22 @@ def test_dedup_is_the_same_whatever_the_map(spark, make_raw, monkeypatch):
 
 def test_dedup_of_no_rows(make_raw):
     assert C.deduplicate(make_raw([])).count() == 0 and C.duplicate_ids(make_raw([raw_row(None, "u1")])).count() == 0
+
+
+def test_payload_states_are_told_apart(make_raw, make_users):
+    raw = make_raw([
+        raw_row("absent", "u1", event_time=None, properties_json='{"screen":"app"}'),
+        raw_row("null", "u1", event_time=None, properties_json='{"client_event_time":null}'),
+        raw_row("bad", "u1", event_time=None, properties_json='{"client_event_time":"soon"}'),
+        raw_row("cut", "u1", event_time=None, properties_json='{"client_event_time":"2024-01-01T00:00:00"'),
+        raw_row("cut2", "u1", properties_json="{"), raw_row("none", "u1", event_time=None, properties_json=None),
+        raw_row("timed", "u1", properties_json='{"client_event_time":null}'),
+        raw_row("number", "u1", event_time=None, properties_json='{"client_event_time":{"a":1}}'),
+    ])
+    cleaned = C.clean_events(raw, make_users(USERS))
+    flags = {r["event_id"]: (r["dq_null_client_time"], r["dq_bad_client_time"], r["dq_malformed_payload"]) for r in cleaned.collect()}
+    assert flags == {"absent": (False, False, False), "null": (True, False, False), "bad": (False, True, False),
+                     "cut": (False, False, True), "cut2": (False, False, True), "none": (False, False, False),
+                     "timed": (False, False, False), "number": (False, True, False)}
+    counts = C.dq_flag_counts(cleaned).collect()[0]
+    assert (counts["n_null_client_time"], counts["n_bad_client_time"], counts["n_malformed_payload"]) == (1, 2, 2)

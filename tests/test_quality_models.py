@@ -95,9 +95,22 @@ def test_bootstrap_is_repeatable(spark):
 
 
 def test_replicate_weights_have_the_counts_as_mean_and_variance(spark):
-    cells = spark.createDataFrame([(float(x), float(y), 400.0) for x in range(10) for y in (0, 1)], "x double, y double, n double")
-    w = M.replicate_weights(cells, 300).agg(F.avg("w"), F.var_samp("w")).collect()[0]
-    assert abs(w[0] - 400) < 2 and abs(w[1] - 400) < 40
+    for n in (1.0, 2.0, 5.0, 400.0):
+        cells = spark.createDataFrame([(float(x), float(y), n) for x in range(10) for y in (0, 1)], "x double, y double, n double")
+        w = M.replicate_weights(cells, 1000).agg(F.avg("w"), F.var_samp("w"), F.min("w")).collect()[0]
+        # 20,000 draws: five standard errors of the mean and of the variance
+        assert abs(w[0] - n) < 5 * (n / 20_000) ** 0.5 and abs(w[1] - n) < 5 * ((n + 2 * n * n) / 20_000) ** 0.5 and w[2] >= 0
+
+
+def test_poisson_quantile_inverts_the_distribution_function():
+    import math
+
+    import numpy as np
+    for n in (1.0, 3.0, 50.0):
+        below = np.cumsum([math.exp(-n) * n ** k / math.factorial(k) for k in range(120)])
+        u = np.array([1e-12, 0.01, 0.3, 0.5, 0.77, 0.99])
+        assert M.poisson_quantile(n, u).tolist() == [float((below < x).sum()) for x in u]
+    assert abs(M.poisson_quantile(1e9, np.array([0.5]))[0] - 1e9) <= 1
 
 
 def test_models_without_rows_are_empty(spark):
