@@ -6,8 +6,9 @@ diagonals of each other. So shared q-grams are counted in overlapping bands of 2
 are verified by a banded alignment of the whole item, which may begin and end anywhere in the document.
 
 The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters (a longer item is a block of its own); each block
-is sent to all tasks and all documents pass it once, without a shuffle. Items shorter than q hold no q-gram and are
-ignored, as they would match everywhere; for items too short for the lemma e is the most that keeps the bound positive.
+is sent to all tasks and all documents pass it once, without a shuffle. Where an item is too short for its budget, q falls
+for it to the longest gram that keeps the bound positive, so items of any length are found; items shorter than q, which
+allow no edit, count where they stand as whole words. Empty items are in no document.
 
 NULL and empty texts hold nothing; long texts are searched whole; repeated rows and repeated items give rows of their
 own; an empty table gives no rows. Other input columns are not read.
@@ -21,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from productlens.llm.tasks import filtered, prepare, ranges, slices, texts_of
 
@@ -56,20 +58,18 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
             scale, width = scale * scale, width * 2
 
 
-class Items:
-    """A block of items: their q-grams with postings, lengths, edit budgets and bounds."""
+class Grams:
+    """The items of a block that share a gram length: their q-grams with postings, edit budgets and bounds."""
 
-    def __init__(self, texts: list[str], q: int, rate: float):
-        self.q = q
-        self.codes = [code_points(normal(t)) for t in texts]
-        self.length = np.array([len(c) for c in self.codes], np.int64)
-        self.edits = np.maximum(0, np.minimum((self.length * rate).astype(np.int64), (self.length - q) // q))
-        self.bound = np.where(self.length >= q, self.length - q + 1 - q * self.edits, np.iinfo(np.int64).max)
-        self.band = 2 * np.maximum(self.edits, 1)
-        grams = [gram_hashes(c, q) for c in self.codes]
+    def __init__(self, codes: list[np.ndarray], edits: np.ndarray, q: int):
+        self.q, self.codes, self.edits = q, codes, edits
+        self.length = np.array([len(c) for c in codes], np.int64)
+        self.bound = self.length - q + 1 - q * edits
+        self.band = 2 * np.maximum(edits, 1)
+        grams = [gram_hashes(c, q) for c in codes]
         counts = [len(g) for g in grams]
         flat = np.concatenate([*grams, np.empty(0, np.uint64)])
-        item, place = np.repeat(np.arange(len(texts)), counts), ranges(np.zeros(len(texts), np.int64), np.array(counts, np.int64))
+        item, place = np.repeat(np.arange(len(codes)), counts), ranges(np.zeros(len(codes), np.int64), np.array(counts, np.int64))
         order = np.argsort(flat, kind="stable")
         self.keys, self.first, self.many = np.unique(flat[order], return_index=True, return_counts=True)
         self.item, self.place = item[order], place[order]
@@ -130,23 +130,49 @@ class Items:
                 best[ends], end[ends] = cost[ends].min(axis=1), start[ends] + i + 1 + k
         return best, end
 
-    def search(self, texts: list[str], group: int = 64) -> list[tuple[int, int, int, int]]:
-        """(text, item, edits, end) of each item found, ``end`` in characters of the normal form: its best occurrence."""
-        gap = "\0" * self.q
-        plain = [normal(t) for t in texts]
-        sizes = np.array([len(t) + self.q for t in plain], np.int64)
-        begin = np.cumsum(sizes) - sizes
-        codes = code_points(gap.join(plain) + gap)
+    def found(self, codes: np.ndarray, group: int = 64):
+        """(item, edits, end in ``codes``) of every band that holds its item within the budget."""
         item, low = self.candidates(codes)
         order = np.argsort(self.length[item], kind="stable")
-        best: dict[tuple[int, int], tuple[int, int]] = {}
         for k in range(0, len(order), group):
             part = order[k: k + group]
             edits, end = self.align(codes, item[part], low[part])
-            for i, d, z in zip(item[part].tolist(), edits.tolist(), end.tolist()):
-                if d <= self.edits[i]:
-                    text = int(np.searchsorted(begin, z - 1, "right")) - 1
-                    best[text, i] = min(best.get((text, i), (d, z)), (d, z))
+            good = edits <= self.edits[item[part]]
+            yield from zip(item[part][good].tolist(), edits[good].tolist(), end[good].tolist())
+
+
+class Items:
+    """A block of items. The gram length is q, or less where an item and its edit budget need it: the longest that keeps
+    the bound positive. Items shorter than q have no edits and are searched with a space on both sides, as whole words."""
+
+    def __init__(self, texts: list[str], q: int, rate: float):
+        self.q = q
+        plain = [normal(t) for t in texts]
+        self.edits = np.array([int(len(t) * rate) for t in plain], np.int64)
+        self.short = np.array([len(t) < q for t in plain], bool)
+        codes = [code_points(f" {t} " if s else t) for t, s in zip(plain, self.short)]
+        grams = np.array([min(q, len(c) // (e + 1)) if t else 0 for c, e, t in zip(codes, self.edits.tolist(), plain)], np.int64)
+        self.parts = []
+        for n, s in sorted(set(zip(grams.tolist(), self.short.tolist()))):
+            own = np.flatnonzero((grams == n) & (self.short == s))
+            if n:
+                self.parts.append((own, s, Grams([codes[i] for i in own], self.edits[own], n)))
+
+    def search(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
+        """(text, item, edits, end) of each item found, ``end`` in characters of the normal form: its best occurrence."""
+        gap = "\0" * (self.q + 2)
+        plain = [normal(t) for t in texts]
+        sizes = np.array([len(t) + len(gap) for t in plain], np.int64)
+        begin = np.cumsum(sizes) - sizes + 1
+        codes = code_points("\0" + gap.join(plain) + gap)
+        spaced = codes.copy()  # a space before and after each text
+        spaced[begin - 1] = spaced[begin + sizes - len(gap)] = ord(" ")
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for own, short, grams in self.parts:
+            for k, d, z in grams.found(spaced if short else codes):
+                i, z = int(own[k]), z - short
+                text = int(np.searchsorted(begin, z - 1, "right")) - 1
+                best[text, i] = min(best.get((text, i), (d, z)), (d, z))
         return [(t, i, d, int(z - begin[t])) for (t, i), (d, z) in sorted(best.items())]
 
 
@@ -194,7 +220,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float
 
         return rows.mapInArrow(run, f"id {kind}, item {item_kind}, edits int, end long")
 
-    item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     out = None
     for block in blocks_of(benchmark, item_col, item_text_col, block_chars):
         part = search(block)

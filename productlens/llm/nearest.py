@@ -3,7 +3,8 @@
 Each half of a vector is quantised by k-means of its own (``CENTROIDS`` per half), so a vector lies in the cell of two
 centroids. The centroids are fitted on at most ``SAMPLE`` distinct vectors (smallest id hashes); every vector is indexed.
 A query takes centroid pairs from a heap by the sum of its squared distances to both halves' centroids, until the cells
-hold ``SHARE`` of all vectors, at least ``LEAST``; the entries of those cells are reranked by their exact distance in double precision.
+hold ``SHARE`` of all vectors (k + 1 at least); the entries of those cells are reranked by their exact distance in double
+precision. Ids are read as longs: rows whose id is no number have none.
 
 A cell of more than ``BLOCK`` entries is split by a hash of the row; a task keeps one block and streams the queries that visit it,
 and sends on at most k rows for each. So no task holds a whole cell, and copies of one vector spread over blocks; they
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from productlens.llm.tasks import prepare, written
 
-CENTROIDS, SAMPLE, ROUNDS = 16, 20_000, 10
-SHARE, LEAST = 0.65, 1000
+CENTROIDS, SAMPLE, ROUNDS = 64, 20_000, 10
+SHARE = 0.55
 BLOCK = 8192
 #: numbers that a task's distance table holds at once
 TABLE = 1 << 22
@@ -82,7 +83,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     spark = vectors.sparkSession
     prepare(spark)
     out_schema = "query_id long, vec_id long, score double"
-    named = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].alias("v"), is_query.alias("asks"),
+    named = vectors.select(vectors[id_col].try_cast("long").alias("id"), vectors[vector_col].alias("v"), is_query.alias("asks"),
                             F.monotonically_increasing_id().alias("n"))
     sizes = named.where("id is not null and size(v) > 0").groupBy(F.size("v").alias("n")).count()
     common = sizes.orderBy(F.desc("count"), "n").first()
@@ -110,7 +111,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     counts = np.zeros(len(first) * len(second), np.int64)
     for r in entries.groupBy("cell").count().collect():  # one row per cell
         counts[r["cell"]] = r["count"]
-    want = max(LEAST, k + 1, int(np.ceil(share * counts.sum())))
+    want = max(k + 1, int(np.ceil(share * counts.sum())))
     blocks = np.maximum(1, -(-counts // BLOCK))
 
     def visits(batches):
@@ -128,9 +129,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                      b.column("id").take(pa.array(row[part])), b.column("v").take(pa.array(row[part]))],
                     ["cell", "block", "visitor", "id", "v"])
 
-    per_cell = F.element_at(F.array(*map(F.lit, blocks.tolist())), F.col("cell") + 1)
-    homes = entries.select("cell", F.pmod(F.xxhash64("n"), per_cell.cast("long")).cast("int").alias("block"),
-                           F.lit(0).alias("visitor"), "id", "v")
+    split = spark.createDataFrame([(c, int(n)) for c, n in enumerate(blocks) if n > 1], "cell int, blocks int")  # cells at most
+    block = F.pmod(F.xxhash64("n"), F.coalesce("blocks", F.lit(1)).cast("long")).cast("int")
+    homes = entries.join(F.broadcast(split), "cell", "left").select(
+        "cell", block.alias("block"), F.lit(0).alias("visitor"), "id", "v")
     queries = entries.where("asks").groupBy("id").agg(F.min("v").alias("v"))
     asked = queries.mapInArrow(visits, f"cell int, block int, visitor int, id long, v {kind}")
 

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from datetime import date
 
 import numpy as np
 import pytest
@@ -141,7 +142,37 @@ def test_search_equals_plain_alignment():
         for i in range(4):
             best = fewest_edits(decontamination.normal(items[i]), decontamination.normal(text))
             assert found.get((t, i)) == (best if best <= block.edits[i] else None)
-    assert not any(i > 4 for _, i in found)
+    assert not any(i >= 4 for _, i in found)  # short items are whole words: none here
+
+
+def test_items_of_any_length_are_found_within_their_budget():
+    rng = np.random.default_rng(8)
+    items = ["to be or", "x", "be", "a stitch in time", "to be or not to be", "the rain in spain stays mainly here", "ü-ß"]
+    items += [" ".join(rng.choice(["ab", "cde", "f", "ghij", "kl"], 5)) for _ in range(6)]
+    block = decontamination.Items(items, decontamination.Q, decontamination.RATE)
+    plain = [decontamination.normal(i) for i in items]
+    assert block.edits.tolist() == [int(len(i) * decontamination.RATE) for i in plain]
+    texts = ["so to be or not", "to bee or", "X marks", "maybe", "x", "", "Ü ß!", "tobeornot", "a stich in time", "ghij" * 9]
+    texts += [f"{changed(rng, i, int(rng.integers(0, 4)))} {j}" for i in items for j in ("and so on", "tail")]
+    found = {(t, i): (d, z) for t, i, d, z in block.search(texts)}
+    for t, text in enumerate(texts):
+        low = decontamination.normal(text)
+        for i, item in enumerate(plain):
+            if len(item) < decontamination.Q:
+                want = 0 if f" {item} " in f" {low} " else None
+            else:
+                best = fewest_edits(item, low)
+                want = best if best <= block.edits[i] else None
+            assert (found[t, i][0] if (t, i) in found else None) == want, (text, item)
+    end = found[0, 0][1]
+    assert decontamination.normal(texts[0])[:end].endswith("to be or")
+
+
+def test_item_ids_of_any_type(spark, make_docs):
+    docs = make_docs([(1, "before " + ITEM)])
+    for kind, value in (("string", "a"), ("double", 0.5), ("short", 3), ("date", date(2024, 1, 1))):
+        bench = spark.createDataFrame([(value, ITEM)], f"item_id {kind}, text string")
+        assert [r.item_id for r in decontamination.contaminated(docs, bench).collect()] == [value]
 
 
 def test_gram_hashes_depend_on_the_gram_alone():
@@ -228,6 +259,30 @@ def test_visited_cells_come_in_order():
     assert sums == sorted(sums) and sorted(cells) == np.flatnonzero(counts).tolist()
 
 
+@pytest.mark.parametrize("sf", [SF_CHECK, "/root/testdata/sf0.1"])
+def test_search_skips_cells_and_finds_neighbours(spark, sf):
+    vectors = [(r.vec_id, r.embedding) for r in queries.table(spark, sf, "embeddings").collect()]
+    x = np.array([v for _, v in vectors], float)
+    halves = [nearest.k_means(x[:, p], nearest.CENTROIDS) for p in (slice(0, 32), slice(32, None))]
+    one, two = nearest.squared(x[:, :32], halves[0]), nearest.squared(x[:, 32:], halves[1])
+    cell = one.argmin(1) * len(halves[1]) + two.argmin(1)
+    counts = np.bincount(cell, minlength=len(halves[0]) * len(halves[1]))
+    want = int(np.ceil(nearest.SHARE * len(x)))
+    for i in range(0, len(x), 100):  # well over 30 % of the vectors are not looked at
+        assert counts[nearest.visited(one[i], two[i], counts, want)].sum() < 0.65 * len(x)
+    got = {}
+    for r in queries.op9_nearest(spark, sf).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    best = exact_neighbours(vectors, [i for i, _ in vectors if i % 100 == 0], 10)
+    assert sum(len(got[q] & {v for v, _ in n}) for q, n in best.items()) >= 0.9 * 10 * len(best)
+
+
+def test_nearest_of_ids_that_are_no_numbers(spark):
+    rows = spark.createDataFrame([("1", [1.0]), ("x", [1.0]), ("2", [4.0])], "vec_id string, embedding array<float>")
+    out = nearest.nearest(rows, F.col("vec_id") == "1").collect()
+    assert [(r.query_id, r.vec_id) for r in out] == [(1, 2)]
+
+
 def test_registered_search_recall(spark):
     vectors = [(r.vec_id, r.embedding) for r in queries.table(spark, SF_CHECK, "embeddings").collect()]
     got = {}
