@@ -3,8 +3,8 @@
 A page is a sequence of tags and pieces of text. Words score +1, tags score at most 0; the region is the contiguous
 run with the highest sum, found by one linear scan. A visible tag's cost is learned from labelled pages, those whose main
 region is marked by a closed ``article`` or ``main`` element: the larger the part of its occurrences outside of that
-region (or at its border), the more it costs. Words of links outside of
-paragraphs and headings score -1.
+region (or at its border), the more it costs. Words of links outside of the article and of
+paragraphs and headings score -1, such links inside of the article 0.
 
 Elements that are never main text (scripts, styles, menus, forms, adverts and the like, by name or by class, id or
 role) are taken out with all they hold and cost nothing, also within the region. A class, id or role does not take out a
@@ -34,9 +34,11 @@ from productlens.llm.tasks import prepare, slices, texts_of
 
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template iframe textarea title svg math object".split()
+RAW = "script style noscript template iframe textarea title svg object annotation annotation-xml".split()
 INLINE = set("""a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp
-    small span strike strong sub sup time tt u var wbr""".split())
+    small span strike strong sub sup time tt u var wbr math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover
+    mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover
+    semantics""".split())
 BLOCK = set("""address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html input legend li link main menu meta nav
     ol option p pre section select summary table tbody td tfoot th thead tr ul""".split())
@@ -49,26 +51,39 @@ MARKS = set("""ad ads adv advert advertisement adverts advertising banner breadc
     toolbar widget alert""".split())
 # The same as a part of a longer word.
 MARK_PARTS = re.compile("advert|breadcrumb|comment(?!ary)|cookie|disqus|navbar|newsletter|pagination|sidebar|sponsor")
+# Words in an id that tell where a part is or what holds it.
+PLACES = set("""area aside bar block bottom box center column container content group inner left list main outer panel right
+    section side top wrap wrapper""".split())
 HEADINGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 REGION = ("article", "main")
 NAMES = sorted(INLINE | BLOCK)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<svg(?=[\s/>])[^>]*/>"
     rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]++|<)", re.I | re.S)
-MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+MARKED = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PART = re.compile(r"[a-z]+")
 #: Cost of a tag that is always outside; smallest cost of any tag; cost without labelled pages.
 OUTSIDE, LEAST, PRIOR = 30.0, 0.001, 0.2
 
 
 def is_marked(attrs: str) -> bool:
-    """Some class, id or role names a part that is not main text."""
-    return any(not MARKS.isdisjoint(PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()))
-               or MARK_PARTS.search(v.lower()) for v in MARKED.findall(attrs))
+    """Some class or role names a part that is not main text, or an id does whose words after the last such name only tell
+    its place: other ids are often the slug of a heading."""
+    for kind, v in MARKED.findall(attrs):
+        words = PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower())
+        if kind.lower() == "id":
+            while words and words[-1] in PLACES:
+                words.pop()
+            if words and (words[-1] in MARKS or MARK_PARTS.search(words[-1])):
+                return True
+        elif not MARKS.isdisjoint(words) or MARK_PARTS.search(v.lower()):
+            return True
+    return False
 
 
 def hiding(found: list, marked: list[list[int]], regions: list[list[int]]) -> list[tuple[int, int]]:
@@ -91,20 +106,25 @@ def hiding(found: list, marked: list[list[int]], regions: list[list[int]]) -> li
     return out
 
 
-def events(page: str) -> list[tuple[str, str, bool, bool]]:
+def events(page: str) -> list[tuple[str, str, bool, bool | None]]:
     """(kind, value, hidden, linked): kind is ``tag`` (value: name, with / if it ends) or ``text`` (value: decoded
     text); hidden inside an element that is never main text, linked inside of ``a`` and outside
-    of paragraphs and headings."""
-    found: list[tuple[str, str, bool, bool]] = []
-    # open elements, whether each hides by its name, and its span of events if that is of use
-    stack: list[tuple[str, bool, list[int] | None]] = []
+    of paragraphs and headings (None if inside of the article, too).
+
+    Open elements are found by their names and by the block around them, so the time is linear in the page."""
+    found: list[tuple[str, str, bool, bool | None]] = []
+    # open elements, whether each hides by its name, its span of events if that is of use, and the place of the nearest
+    # block at or below it
+    stack: list[tuple[str, bool, list[int] | None, int]] = []
+    places: dict[str, list[int]] = {}
     marked: list[list[int]] = []
     regions: list[list[int]] = []
     hidden = links = paragraphs = 0
 
     def close(upto: int, end: int) -> None:
         nonlocal hidden, links, paragraphs
-        for name, hides, span in stack[upto:]:
+        for name, hides, span, _ in stack[upto:]:
+            places[name].pop()
             hidden -= hides
             links -= name == "a"
             paragraphs -= name in HEADINGS
@@ -114,24 +134,22 @@ def events(page: str) -> list[tuple[str, str, bool, bool]]:
 
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
-            found.append(("text", html.unescape(text), hidden > 0, links > 0 and not paragraphs))
+            linked = links > 0 and not paragraphs
+            found.append(("text", html.unescape(text), hidden > 0, None if linked and any(map(places.get, REGION)) else linked))
             continue
         if m["name"] is None:
             continue
         name = m["name"].lower()
         if m["end"]:
             was_hidden = hidden > 0
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             # an end tag of an inline element does not close blocks
-            if at is not None and not (name in INLINE and any(n not in INLINE for n, *_ in stack[at + 1:])):
-                close(at, len(found) + 1)
+            if places.get(name) and not (name in INLINE and stack[-1][3] > places[name][-1]):
+                close(places[name][-1], len(found) + 1)
             found.append(("tag", "/" + name, was_hidden, False))
             continue
-        if name in CLOSES_P and any(n == "p" for n, *_ in stack):
-            at = max(i for i, (n, *_) in enumerate(stack) if n == "p")
-            if all(n in INLINE for n, *_ in stack[at + 1:]):
-                close(at, len(found))
-        inside = any(n in REGION for n, *_ in stack)
+        if name in CLOSES_P and places.get("p") and stack[-1][3] == places["p"][-1]:
+            close(places["p"][-1], len(found))
+        inside = any(map(places.get, REGION))
         hides = name in NEVER or name == "header" and not inside
         span = None
         if not hides and not hidden and name not in ("html", "body"):
@@ -141,7 +159,9 @@ def events(page: str) -> list[tuple[str, str, bool, bool]]:
                 (regions if name in REGION else marked).append(span)
         found.append(("tag", name, hidden > 0 or hides, False))
         if name not in VOID and not m["attrs"].rstrip().endswith("/"):
-            stack.append((name, hides, span))
+            below = stack[-1][3] if stack else -1
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, hides, span, below if name in INLINE else len(stack)))
             hidden += hides
             links += name == "a"
             paragraphs += name in HEADINGS
@@ -214,7 +234,7 @@ def main_text(page: str, costs: dict[str, float]) -> str:
             else:
                 inner[-1] -= cost
             cost = 0.0
-            inner[-1] += -words if linked else words
+            inner[-1] += 0 if linked is None else -words if linked else words  # links between paragraphs break no article
             blocks[-1].append(value)
     best, best_at, run, begin = 0.0, (0, 0), 0.0, 0
     for i, (gap, own) in enumerate(zip(before, inner)):

@@ -1,9 +1,11 @@
 """URL filters, sharding and HTML extraction against brute force on small tables."""
 
 import re
+import time
 import zlib
 
 import numpy as np
+import pytest
 
 from productlens.llm import html_text, queries, sharding, url_filters
 from tests.conftest import SF_SMALL
@@ -180,6 +182,32 @@ def test_marked_wrappers_do_not_hide():
         assert html_text.main_text(page, {}) == "one two three"
 
 
+@pytest.mark.parametrize("inside, want", [
+    ("<p>Before it. <svg class='i'/> After it.</p><p>Last one.</p>", "Before it. After it. Last one."),
+    ("<p>Draw <svg><path d='M0'/><text>no</text></svg> a line.</p>", "Draw a line."),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>5</mn></math> be five.</p>", "Let x=5 be five."),
+    ("<p>So <math><semantics><mi>y</mi><annotation encoding='TeX'>y^2</annotation></semantics></math>.</p>", "So y."),
+    ("<p id='comments-on-trade'>On trade we wrote much.</p>", "On trade we wrote much."),
+    ("<section id='social-history'><p>History of towns and people.</p></section>", "History of towns and people."),
+    ("<div id='comments'><p>first! great!</p></div><p>The end is here.</p>", "The end is here."),
+    ("<ul>" + "".join(f"<li><a href='/{i}'>Long link name number {i} here</a></li>" for i in range(30))
+     + "</ul><p>A closing word.</p>", " ".join(f"Long link name number {i} here" for i in range(30)) + " A closing word."),
+])
+def test_article_text_is_not_lost(inside, want):
+    page = ("<body><nav><a href='/'>Home page</a></nav><article><h1>Title</h1><p>A first paragraph of some words, long enough.</p>"
+            f"{inside}</article><footer>Imprint</footer></body>")
+    costs = {"nav": 30.0, "article": 30.0, "footer": 30.0, **{n: 0.02 for n in ("p", "h1", "ul", "li", "a", "div", "section")}}
+    assert html_text.main_text(page, costs) == "Title A first paragraph of some words, long enough. " + want
+
+
+@pytest.mark.parametrize("tags", ["<div>", "<font>", "<p><font>", "<b><div><i>", "<i></b>", "<div></p>", "<li><a href=x>"])
+def test_unclosed_tags_take_linear_time(tags):
+    page = "<article><b>" + (tags + "word ") * 80_000 + "</b></article>"
+    start = time.perf_counter()
+    text = html_text.main_text(page, {})
+    assert time.perf_counter() - start < 5 and set(text.split()) <= {"word"}
+
+
 def test_region_is_the_best_run():
     costs = {"hr": 5.0}
     assert html_text.main_text("<p>a b<hr><p>" + "w " * 9 + "<p>x y<hr><p>z", costs) == ("w " * 9 + "x y")
