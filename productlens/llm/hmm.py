@@ -10,9 +10,11 @@ Steps, each over all documents:
 2. Word counts are summed by a window over each word's rows; they come back to the chunk's tokens by its number. What
    moves is a row for each distinct word of a chunk, never one for each token.
 3. The states start from clusters of the classes: each class's mean position among random directions of the pieces of
-   text it is in. Then ``ROUNDS`` of Baum-Welch: tasks run scaled forward-backward over pieces of ``PIECE`` tokens and
-   send expected counts, at most one row for each class; they are summed across partitions, and the sums (classes by
-   states numbers) make the next model, which goes to all tasks.
+   text it is in. Then ``ROUNDS`` of Baum-Welch over whole texts: a task cuts them into pieces of ``PIECE`` tokens, so
+   that memory is bounded and long texts advance side by side, and carries the forward and backward vectors over the
+   cuts by each piece's transfer matrix, so the counts are those of the uncut texts. Tasks send expected counts, at
+   most one row for each class; they are summed across partitions, and the sums (classes by states numbers) make the
+   next model, which goes to all tasks.
 4. The scaled forward recursion over the whole text gives its exact likelihood.
 
 NULL and empty texts are the end token alone. NULL ids are held out. Without training texts every class is equally
@@ -119,23 +121,30 @@ def flat(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-def training_pieces(batch: pa.RecordBatch):
-    """Blocks (classes, lengths) of the batch's training texts, cut into pieces of at most ``PIECE`` tokens, the longest
-    first."""
+def training_texts(batch: pa.RecordBatch):
+    """(classes, lengths, goes_on) of each chunk's training texts, cut into pieces of at most ``PIECE`` tokens; a piece
+    that goes on continues the text of the piece before it."""
     for i in range(batch.num_rows):
         b = batch.slice(i, 1)
         classes, lengths, held = flat(b.column("classes"))[flat(b.column("tokens"))], flat(b.column("lengths")), flat(b.column("held"))
         classes = classes[np.repeat(~held, lengths)]
         lengths = lengths[~held].astype(np.int64)
+        if not lengths.size:
+            continue
         parts = -(-lengths // PIECE)
         size = np.full(int(parts.sum()), PIECE)
         size[np.cumsum(parts) - 1] = lengths - PIECE * (parts - 1)
-        start = np.cumsum(size) - size
-        cuts = np.flatnonzero(np.diff(start // BLOCK_TOKENS)) + 1
-        for own in np.split(np.arange(size.size), cuts):
-            if own.size:
-                first, last = start[own[0]], start[own[-1]] + size[own[-1]]
-                yield classes[first:last], size[own]
+        goes_on = np.ones(size.size, bool)
+        goes_on[np.cumsum(parts) - parts] = False
+        yield classes, size, goes_on
+
+
+def blocks(lengths: np.ndarray):
+    """(pieces, tokens) as slices, of about ``BLOCK_TOKENS`` tokens each."""
+    start = np.cumsum(lengths) - lengths
+    cuts = [0, *(np.flatnonzero(np.diff(start // BLOCK_TOKENS)) + 1).tolist(), lengths.size]
+    for a, b in zip(cuts, cuts[1:]):
+        yield slice(a, b), slice(int(start[a]), int(start[b - 1] + lengths[b - 1]))
 
 
 class Model:
@@ -161,38 +170,96 @@ def by_step(classes: np.ndarray, lengths: np.ndarray):
     return order, [classes[start[:n] + t] for t, n in enumerate(alive)]
 
 
-def expected_counts(model: Model, classes: np.ndarray, lengths: np.ndarray):
-    """Expected starts, moves and emissions of scaled forward-backward over sequences that lie behind each other.
+def transfers(model: Model, classes: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray) -> np.ndarray:
+    """Of each piece the matrix (up to scale) that takes the state distribution at the end of the piece before to that at
+    its own end; of a piece that begins a text every row is the latter."""
+    order, steps = by_step(classes, lengths)
+    first = np.where(goes_on[order][:, None, None], model.move[None], model.start[None, None, :])
+    out = first * model.emit[steps[0]][:, None, :]
+    for t, s in enumerate(steps[1:], 1):
+        n = len(s)
+        out[:n] = (out[:n].reshape(-1, STATES) @ model.move).reshape(n, STATES, STATES) * model.emit[s][:, None, :]
+        if t % 16 == 0:  # long before anything underflows
+            out[:n] /= out[:n].sum(axis=(1, 2), keepdims=True)
+    back = np.empty_like(out)
+    back[order] = out / out.sum(axis=(1, 2), keepdims=True)
+    return back
+
+
+def carried(model: Model, classes: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What whole texts say at the borders of their pieces: of each piece the forward state distribution at the end of the
+    piece before it (zeros where a text begins), and the backward vector at its own end (ones where it ends)."""
+    before, leave = np.zeros((len(lengths), STATES)), np.ones((len(lengths), STATES))
+    cut = goes_on | np.append(goes_on[1:], False)
+    if not cut.any():
+        return before, leave
+    at, inner, own = np.flatnonzero(cut), classes[np.repeat(cut, lengths)], lengths[cut]
+    step = np.concatenate([transfers(model, inner[tokens], own[pieces], goes_on[at][pieces]) for pieces, tokens in blocks(own)])
+    first = np.flatnonzero(~goes_on[at])
+    count = np.diff(np.append(first, len(at)))
+    order = np.argsort(-count, kind="stable")
+    first, count = first[order], count[order]
+    alive = np.searchsorted(-count, -np.arange(count[0]), "left")  # texts of more than j pieces
+    end = np.empty((len(at), STATES))
+    end[first] = step[first][:, 0] / step[first][:, 0].sum(axis=1, keepdims=True)
+    for j in range(1, int(count[0])):
+        here = first[: alive[j]] + j
+        before[at[here]] = end[here - 1]
+        a = np.einsum("ni,nij->nj", end[here - 1], step[here])
+        end[here] = a / a.sum(axis=1, keepdims=True)
+    for j in range(int(count[0]) - 1, 0, -1):
+        here = first[: alive[j]] + j
+        b = np.einsum("nij,nj->ni", step[here], leave[at[here]])
+        leave[at[here - 1]] = b / (end[here - 1] * b).sum(axis=1, keepdims=True)
+    return before, leave
+
+
+def expected_counts(model: Model, classes: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray | None = None,
+                    before: np.ndarray | None = None, leave: np.ndarray | None = None):
+    """Expected starts, moves and emissions of scaled forward-backward over sequences that lie behind each other, or over
+    pieces with what ``carried`` gives at their borders; the move into a piece that goes on counts to it.
 
     With the forward scales in the backward recursion, alpha times beta is the state distribution without a further
     division.
     """
-    _, steps = by_step(classes, lengths)
+    order, steps = by_step(classes, lengths)
     seen = [model.emit[s] for s in steps]
+    start = model.start
+    if goes_on is not None:
+        goes_on, before, leave = goes_on[order], before[order], leave[order]
+        start = np.where(goes_on[:, None], before @ model.move, model.start)
     alpha, scale = [], []
     for t, b in enumerate(seen):
-        a = b * model.start if t == 0 else alpha[-1][: len(b)] @ model.move
+        a = b * start if t == 0 else alpha[-1][: len(b)] @ model.move
         if t:
             a *= b
         scale.append(a.sum(axis=1, keepdims=True))
         a /= scale[-1]
         alpha.append(a)
+
+    def at_end(upto):
+        return np.ones((upto, STATES)) if leave is None else leave[:upto].copy()
+
     moves = np.zeros((STATES, STATES))
-    beta = np.ones((len(seen[-1]), STATES))
+    beta = at_end(len(seen[-1]))
     gamma = [None] * len(seen)
-    gamma[-1] = alpha[-1]
+    gamma[-1] = alpha[-1] * beta
     for t in range(len(seen) - 2, -1, -1):
-        later = seen[t + 1]
-        later *= beta
-        later /= scale[t + 1]
-        n = len(later)
-        moves += alpha[t][:n].T @ later
-        beta = np.ones((len(seen[t]), STATES))
-        np.matmul(later, model.move.T, out=beta[:n])
+        ahead = seen[t + 1]
+        ahead *= beta
+        ahead /= scale[t + 1]
+        n = len(ahead)
+        moves += alpha[t][:n].T @ ahead
+        beta = at_end(len(seen[t]))
+        np.matmul(ahead, model.move.T, out=beta[:n])
         gamma[t] = alpha[t] * beta
+    starts = gamma[0]
+    if goes_on is not None:
+        moves += before[goes_on].T @ (seen[0] * beta / scale[0])[goes_on]
+        starts = starts[~goes_on]
     at, all_gamma = np.concatenate(steps), np.concatenate(gamma).T.copy()
     emit = np.stack([np.bincount(at, weights=g, minlength=CLASSES + 1) for g in all_gamma], axis=1)
-    return gamma[0].sum(axis=0), moves * model.move, emit
+    return starts.sum(axis=0), moves * model.move, emit
 
 
 def log10_likelihood(model: Model, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -211,15 +278,16 @@ def log10_likelihood(model: Model, classes: np.ndarray, lengths: np.ndarray) ->
 
 
 def summed(coded: DataFrame, work, width: int) -> np.ndarray:
-    """Sums across all tasks of the rows of ``work(block) -> (CLASSES + 1 + extra, width)``: a bounded table."""
+    """Sums across all tasks of the rows of ``work(classes, lengths, goes_on) -> [(CLASSES + 1 + extra, width), ...]``, given
+    the pieces of a chunk's texts: a bounded table."""
     names = [f"v{k}" for k in range(width)]
 
     def run(batches):
         total = None
         for b in batches:
-            for classes, lengths in training_pieces(b):
-                part = work(classes, lengths)
-                total = part if total is None else total + part
+            for texts in training_texts(b):
+                for part in work(*texts):
+                    total = part if total is None else total + part
         if total is not None:
             at = np.flatnonzero(total.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(width))],
@@ -239,14 +307,16 @@ def first_model(coded: DataFrame, shares: np.ndarray) -> Model:
     directions = np.random.default_rng(1).standard_normal((CLASSES + 1, DIRECTIONS))
     sent = spark.sparkContext.broadcast(directions)
 
-    def profile(classes, lengths):
-        mean = np.add.reduceat(sent.value[classes], np.cumsum(lengths) - lengths) / lengths[:, None]
-        owner = np.repeat(mean, lengths, axis=0)
-        out = np.zeros((CLASSES + 1, DIRECTIONS + 1))
-        out[:, -1] = np.bincount(classes, minlength=CLASSES + 1)
-        for k in range(DIRECTIONS):
-            out[:, k] = np.bincount(classes, weights=owner[:, k], minlength=CLASSES + 1)
-        return out
+    def profile(classes, lengths, goes_on):
+        for pieces, tokens in blocks(lengths):
+            size, own = lengths[pieces], classes[tokens]
+            mean = np.add.reduceat(sent.value[own], np.cumsum(size) - size) / size[:, None]
+            owner = np.repeat(mean, size, axis=0)
+            out = np.zeros((CLASSES + 1, DIRECTIONS + 1))
+            out[:, -1] = np.bincount(own, minlength=CLASSES + 1)
+            for k in range(DIRECTIONS):
+                out[:, k] = np.bincount(own, weights=owner[:, k], minlength=CLASSES + 1)
+            yield out
 
     table = summed(coded, profile, DIRECTIONS + 1)[: CLASSES + 1]
     count, emit = table[:, -1], np.ones((CLASSES + 1, STATES))
@@ -269,9 +339,12 @@ def baum_welch(coded: DataFrame, shares: np.ndarray, rounds: int = ROUNDS) -> Mo
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
-        def work(classes, lengths, sent=sent):
-            start, move, emit = expected_counts(sent.value, classes, lengths)
-            return np.concatenate([emit, start[None], move])
+        def work(classes, lengths, goes_on, sent=sent):
+            before, leave = carried(sent.value, classes, lengths, goes_on)
+            for pieces, tokens in blocks(lengths):
+                start, move, emit = expected_counts(sent.value, classes[tokens], lengths[pieces], goes_on[pieces],
+                                                    before[pieces], leave[pieces])
+                yield np.concatenate([emit, start[None], move])
 
         table = summed(coded, work, STATES)
         if not table.any():

@@ -131,6 +131,26 @@ def test_expected_counts_equal_all_paths(small_model):
         assert np.allclose(got, want)
 
 
+@pytest.mark.parametrize("piece, block", [(1, 4), (2, 7), (3, 1000), (5, 30)])
+def test_pieces_give_the_counts_of_whole_texts(small_model, monkeypatch, piece, block):
+    import pyarrow as pa
+    monkeypatch.setattr(hmm, "PIECE", piece)
+    monkeypatch.setattr(hmm, "BLOCK_TOKENS", block)
+    rng = np.random.default_rng(11)
+    lengths = np.array([7, 1, 40, 3, 2, 90, 5])
+    tokens = rng.integers(0, 5, lengths.sum())
+    held = np.array([False, False, False, True, False, False, False])
+    row = pa.RecordBatch.from_pydict({"held": [held.tolist()], "lengths": [lengths.tolist()], "tokens": [tokens.tolist()],
+                                      "classes": [[0, 1, 2, 3, 4]]})
+    (classes, sizes, goes_on), = hmm.training_texts(row)
+    before, leave = hmm.carried(small_model, classes, sizes, goes_on)
+    parts = [hmm.expected_counts(small_model, classes[t], sizes[p], goes_on[p], before[p], leave[p]) for p, t in hmm.blocks(sizes)]
+    whole = hmm.expected_counts(small_model, tokens[np.repeat(~held, lengths)], lengths[~held])
+    for k, want in enumerate(whole):
+        assert np.allclose(sum(part[k] for part in parts), want)
+    assert whole[1].sum() == pytest.approx(lengths[~held].sum() - (~held).sum()) and len(sizes) >= len(lengths) - 1
+
+
 def test_rounds_raise_the_likelihood(small_model):
     rng = np.random.default_rng(10)
     lengths = np.full(40, 30)
