@@ -115,7 +115,8 @@ def last_words(gram: str, k: int) -> Column:
 
 def node_flow(grams: DataFrame, size: int, at_least: int) -> DataFrame:
     """(lang, gram, n) of the phrases of ``size`` words: what leaves them and the pieces that end in them."""
-    prefixes = grams.where(word_count("gram") >= size).select("lang", first_words("gram", size).alias("gram"), "n")
+    enough = F.lit(True) if size == 1 else first_words("gram", size - 1) != F.col("gram")  # cheaper than counting words
+    prefixes = grams.where(enough).select("lang", first_words("gram", size).alias("gram"), "n")
     return prefixes.groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least)
 
 
