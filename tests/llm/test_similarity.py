@@ -168,6 +168,26 @@ def test_items_of_any_length_are_found_within_their_budget():
     assert decontamination.normal(texts[0])[:end].endswith("to be or")
 
 
+@pytest.mark.parametrize("postings, cells", [(None, None), (50, 40), (1, 1)])
+def test_items_of_one_template(monkeypatch, postings, cells):
+    """Shared grams and beginnings, repeated items and occurrences, counted and aligned a few at a time or at once."""
+    if postings:
+        monkeypatch.setattr(decontamination, "POSTINGS", postings)
+        monkeypatch.setattr(decontamination, "CELLS", cells)
+    rng = np.random.default_rng(12)
+    template = "which of the rivers with number {} runs through the old town of {} in the north"
+    items = [template.format(k, place) for k in (7, 1234, 1239, 58) for place in ("berg", "bergen", "tal")]
+    items += [items[3], template.format(7, "berg") + " and ends there", "aa" * 20, "ab" * 30]
+    block = decontamination.Items(items, decontamination.Q, decontamination.RATE)
+    texts = [" ".join(items[:5]), items[0] * 3, "a" * 200, "ab" * 100, "", items[4][:40] + " " + items[4]]
+    texts += [" so ".join(changed(rng, items[int(rng.integers(0, 12))], int(rng.integers(0, 9))) for _ in range(2)) for _ in range(12)]
+    found = {(t, i): d for t, i, d, _ in block.search(texts)}
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            best = fewest_edits(item, decontamination.normal(text))
+            assert found.get((t, i)) == (best if best <= block.edits[i] else None), (t, i)
+
+
 def test_item_ids_of_any_type(spark, make_docs):
     docs = make_docs([(1, "before " + ITEM)])
     for kind, value in (("string", "a"), ("double", 0.5), ("short", 3), ("date", date(2024, 1, 1))):
