@@ -73,3 +73,37 @@ with pieces as (
     select *, row_number() over (partition by lang order by score desc, a desc, encode(gram)) as rank from lowest)
 select lang, rank::bigint as rank, gram as phrase, a, l, r, n, score::bigint as score
 from ranked join totals using (lang) where rank <= 2000"""
+
+
+
+def url_filters(rules: list[tuple[str, str, str]], listed: list[tuple[str, str, str]]) -> str:
+    """Every listing against every URL; of those that fit the first by kind, length, verdict and name."""
+    def normal(text: str) -> str:
+        code = "(instr('0123456789ABCDEF', upper(p[2])) - 1) * 16 + instr('0123456789ABCDEF', upper(p[3])) - 1"
+        return f"""array_to_string(list_transform(regexp_extract_all({text}, '%[0-9A-Fa-f]{{2}}|[^%]+|%'), lambda p:
+             case when not regexp_full_match(p, '%[0-9A-Fa-f]{{2}}') then p
+                  when regexp_full_match(chr(({code})::int), '[A-Za-z0-9._~-]') then chr(({code})::int) else upper(p) end), '')"""
+
+    def low(text: str) -> str:
+        return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    names = [(*r, True) for r in rules] + [(*r, False) for r in listed]
+    listings = ", ".join(f"('{h}', '{p}', '{v}', {str(r).lower()})" for h, p, v, r in names)
+    bare = r"regexp_replace(regexp_replace(host, '^.*@', '', 's'), ':[0-9]*$', '')"
+    return f"""
+with listings(h, p, v, is_rule) as (values {listings}),
+  urls as (
+    select row_number() over () as n, page_id,
+           {low("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} as host,
+           regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path from pages),
+  forms as (
+    select *, rtrim({low(normal(bare))}, '.') as site, case when path = '' then '/' else {normal('path')} end as place from urls),
+  fits as (
+    select f.n, f.page_id, f.host, f.path, l.is_rule, l.v, l.h || l.p as name
+    from forms f left join listings l on
+      (case when is_rule then host else site end = h or ends_with(case when is_rule then host else site end, '.' || h))
+      and starts_with(case when is_rule then path else place end, p)
+    qualify row_number() over (partition by f.n order by is_rule desc nulls last, length(name) desc, v, name desc) = 1)
+select page_id, host, path, case when is_rule then name end as rule, case when not is_rule then name end as listed,
+       coalesce(v, 'allow') as verdict
+from fits"""

@@ -48,11 +48,11 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 LISTED_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 LISTED_ZONES = ["example.com", "example.net", "example.org"]
+LISTED_URLS = [(f"{site}.{zone}", "/", "block") for site in LISTED_SITES for zone in LISTED_ZONES]
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = [(f"{site}.{zone}", "/", "block", False) for site in LISTED_SITES for zone in LISTED_ZONES]
-    listings = spark.createDataFrame([(*r, True) for r in URL_RULES] + listed,
+    listings = spark.createDataFrame([(*r, True) for r in URL_RULES] + [(*r, False) for r in LISTED_URLS],
                                      "host string, path string, verdict string, is_rule boolean")
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), listings, canonical=True)
 
@@ -119,6 +119,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_url_filters": oracle.url_filters(URL_RULES, LISTED_URLS),
     "op11_vector_codes": oracle.VECTOR_CODES,
     "op13_collocations": oracle.COLLOCATIONS,
 }

@@ -5,7 +5,8 @@ its host suffixes, each with the starts of its path that have a listed length; t
 With ``canonical``, listed URLs (not rules, which fit the host and path as written) are filtered by a canonical form of
 both sides: no user info, port or dots at the host's end, ``/`` for an empty path, escapes of A-Z a-z 0-9 - . _ ~ decoded once,
 others in upper case. Dot segments of a path stay. A host or path that is no part of a URL has no canonical form.
-The filter is one bit array of fixed size, made by partial aggregation and sent to all tasks. Candidates that pass it
+The filter is one bit array of ``KEY_BYTES`` for each listing, at most ``MOST_BYTES``, made by partial aggregation and sent to all
+tasks; beyond that bound only more candidates pass it. Candidates that pass it
 are joined with the listings on the key, which removes the false positives. The join's skew is split by a salt: every
 listing is there once for each of ``SALTS`` values.
 
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from productlens.llm.tasks import lower_ascii, prepare
 
-#: 64-bit words in a block of the filter, bits set for a key, and bytes of the whole filter, whatever the list's size.
-BLOCK_WORDS, KEY_BITS, FILTER_BYTES = 8, 6, 1 << 20
+#: 64-bit words in a block of the filter, and bits set for a key
+BLOCK_WORDS, KEY_BITS = 8, 6
+#: bytes of the filter for each key, and of the whole filter at least and at most
+KEY_BYTES, LEAST_BYTES, MOST_BYTES = 2, 1 << 16, 1 << 26
 SALTS = 16
 #: First character of a key.
 RULE, LISTED = "r", "l"
@@ -75,7 +78,13 @@ def key_bits(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     return block, masks
 
 
-def bloom_filter(keys: DataFrame, filter_bytes: int = FILTER_BYTES) -> np.ndarray:
+def filter_size(keys: int) -> int:
+    """Bytes of a filter of that many keys, whole blocks."""
+    block = 8 * BLOCK_WORDS
+    return min(max(-(-KEY_BYTES * keys // block) * block, LEAST_BYTES), MOST_BYTES)
+
+
+def bloom_filter(keys: DataFrame, filter_bytes: int) -> np.ndarray:
     """The filter of column ``key``: (blocks, words). Tasks send the blocks they touch; at most ``filter_bytes`` meet."""
     blocks = filter_bytes // (8 * BLOCK_WORDS)
 
@@ -94,11 +103,12 @@ def bloom_filter(keys: DataFrame, filter_bytes: int = FILTER_BYTES) -> np.ndarra
 
 
 def judge_urls(pages: DataFrame, listings: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               filter_bytes: int = FILTER_BYTES, canonical: bool = False) -> DataFrame:
+               filter_bytes: int | None = None, canonical: bool = False) -> DataFrame:
     """(id, host, path, rule, listed, verdict) of every row of ``pages``.
 
     ``listings`` has host, path, verdict (allow or block) and is_rule; rule is the deciding listing if it is a rule,
-    listed the one if not. ``canonical`` compares listings that are no rules in their canonical form.
+    listed the one if not. ``canonical`` compares listings that are no rules in their canonical form;
+    ``filter_bytes`` is ``filter_size`` of their number unless given.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -116,7 +126,9 @@ def judge_urls(pages: DataFrame, listings: DataFrame, id_col: str = "page_id", u
               .groupBy("key", "kind", "n", "labels").agg(F.min("verdict").alias("verdict"), F.first("is_rule").alias("is_rule")))
     # bounded by the lengths of a URL's parts
     shapes = {r.kind: r for r in listed.groupBy("kind").agg(F.collect_set("n").alias("n"),
-                                                            F.collect_set("labels").alias("labels")).collect()}
+                                                            F.collect_set("labels").alias("labels"),
+                                                            F.count(F.lit(1)).alias("keys")).collect()}
+    filter_bytes = filter_bytes or filter_size(sum(r["keys"] for r in shapes.values()))
     bits = spark.sparkContext.broadcast(bloom_filter(listed, filter_bytes))
     blocks = filter_bytes // (8 * BLOCK_WORDS)
 

@@ -3,7 +3,9 @@
 import re
 import time
 import zlib
+from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -95,6 +97,27 @@ def test_registered_url_query(spark):
     assert got == {i: brute(u, listings) for i, u in urls.items()}
 
 
+def test_url_sql_equals_query_on_odd_urls(spark, tmp_path):
+    site = "casino-win.example.com"
+    spelled = [site, site + "./x", "u:p@q@" + site + "/x", "a.B." + site.upper() + ":80?", "casino%2dwin.example%2Ecom/%zz%", "%63ASINO-win.example.com:80",
+               "casino%252dwin.example.com/x", "%", "%e9%2", site + ":80/fr/", "\n" + site, site + ":8\n"]
+    urls = [*URLS, *(f"http://{u}" for u in spelled), URLS[4]]
+    rows = [(None if k == 5 else k % 20, u) for k, u in enumerate(urls)]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = queries.op4_url_filters(spark, str(tmp_path))
+    want = con.sql(queries.ORACLE["op4_url_filters"])
+    assert got.columns == want.columns
+    assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
+
+
+def test_filter_grows_with_the_list_up_to_a_bound():
+    sizes = [url_filters.filter_size(n) for n in (0, 1, 100_000, 10_000_000, 1 << 40)]
+    assert sizes[0] == sizes[1] == url_filters.LEAST_BYTES and sizes[-1] == url_filters.MOST_BYTES
+    assert all(b % 64 == 0 for b in sizes) and 100_000 * url_filters.KEY_BYTES <= sizes[2] < sizes[3]
+
+
 def check_shards(rows, texts, shards):
     assert sorted(((r.doc_id is None, r.doc_id or 0, r.size, r.text_crc32) for r in rows)) == sorted(
         (i is None, i or 0, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in texts)
