@@ -16,7 +16,7 @@ dimension joins. ``monthly_revenue`` is built once and shared by both marts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from productlens import config
@@ -56,10 +56,13 @@ def impact_summary(user_revenue: DataFrame, keys=SUMMARY_KEYS) -> DataFrame:
     g = user_revenue.groupBy(*keys).agg(
         F.sum("revenue_usd").alias("total_revenue_usd"),
         F.count(F.lit(1)).alias("users"))
-    num = F.col("total_revenue_usd").cast("decimal(38,10)")
-    arpu = F.when(F.col("users") == 0, F.lit(None)).otherwise(
-        F.round(num / F.col("users").cast("decimal(20,0)"), 2))
-    return g.withColumn("arpu_usd", arpu)
+    return g.withColumn("arpu_usd", arpu("total_revenue_usd", "users"))
+
+
+def arpu(revenue: str, users: str) -> Column:
+    """V5: revenue per user in exact decimal, rounded to cents; NULL without users."""
+    per_user = F.col(revenue).cast("decimal(38,10)") / F.col(users).cast("decimal(20,0)")
+    return F.when(F.col(users) == 0, F.lit(None)).otherwise(F.round(per_user, 2))
 
 
 def revenue_relative_to_adoption(adoption: DataFrame, revenue: DataFrame) -> DataFrame:

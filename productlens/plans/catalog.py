@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from productlens.operators import adoption as A
 from productlens.operators import clean as C
+from productlens.operators import distinct_users as D
 from productlens.operators import models as M
 from productlens.operators import quality as Q
 from productlens.operators import reports as N
@@ -131,6 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # revenue
     "user_revenue_monthly": _q(lambda m: m.mart_user_revenue_monthly),
     "impact_summary": _q(lambda m: m.mart_feature_impact_summary),
+    "impact_by_segment": _q(lambda m: D.rolled_up(m.mart_feature_impact_bitmaps, "industry", "adopted_feature")),
+    "impact_by_month_size": _q(lambda m: D.rolled_up(m.mart_feature_impact_bitmaps, "revenue_month", "company_size")),
+    "impact_total": _q(lambda m: D.rolled_up(m.mart_feature_impact_bitmaps)),
     "revenue_relative_to_adoption": _q(lambda m: m.mart_revenue_relative_to_adoption),
     # grain of every derived table (after the marts it checks)
     "grain_violations": _q(lambda m: Q.grain_violations({t: getattr(m, t) for t in Q.DERIVED_GRAINS})),

@@ -30,6 +30,7 @@ from productlens import config
 from productlens.operators import adoption as A
 from productlens.operators import clean as C
 from productlens.operators import cohorts as K
+from productlens.operators import distinct_users as D
 from productlens.operators import retention as R
 from productlens.operators import revenue as V
 from productlens.operators import sessions as W
@@ -129,6 +130,10 @@ class Marts:
     def mart_feature_impact_summary(self) -> DataFrame:
         return self._keep("mart_feature_impact_summary", V.impact_summary(self.mart_user_revenue_monthly))
 
+    @cached_property
+    def mart_feature_impact_bitmaps(self) -> DataFrame:
+        return self._keep("mart_feature_impact_bitmaps", D.impact_bitmaps(self.mart_user_revenue_monthly))
+
     @cached_property
     def mart_revenue_relative_to_adoption(self) -> DataFrame:
         df = V.revenue_relative_to_adoption(self.fct_feature_adoption, self.monthly_revenue)

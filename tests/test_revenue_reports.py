@@ -1,3 +1,4 @@
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -5,6 +6,7 @@ import pytest
 
 from productlens import schemas
 from productlens.operators import cohorts as K
+from productlens.operators import distinct_users as D
 from productlens.operators import reports as N
 from productlens.operators import revenue as V
 from tests.conftest import ts, user_row
@@ -52,6 +54,34 @@ def test_user_revenue_monthly(revenue_inputs):
                    ("never", None): Decimal("0.00")}
 
 
+def test_user_numbers_have_no_gaps_and_follow_the_attributes(spark):
+    rows = [(f"u{i}", "x" if i % 3 else None, i % 5) for i in range(200)] * 2 + [(None, "x", 1)]
+    users = spark.createDataFrame(rows, "user_id string, industry string, size int").repartition(7)
+    got = {r.user_id: r.number for r in D.numbered_users(users, ["industry", "size"]).collect()}
+    assert sorted(got.values()) == list(range(200))
+    attributes = {u: (a is not None, a or "", s, u) for u, a, s in rows if u}
+    assert sorted(got, key=got.get) == sorted(got, key=attributes.get)
+
+
+def test_any_keys_roll_up_to_exact_distinct_users(spark):
+    rng = random.Random(5)
+    users = [(f"u{i}", rng.choice(["a", "b", None]), rng.choice([True, False, None])) for i in range(300)] + [(None, "a", True)]
+    rows = [(u, date(2024, m, 1) if m else None, Decimal(rng.randrange(9999)) / 100, a, b)
+            for u, a, b in users for m in rng.sample(range(5), rng.randrange(1, 4))]
+    revenue = spark.createDataFrame(rows, "user_id string, revenue_month date, revenue_usd decimal(12,2), industry string,"
+                                          " adopted_feature boolean")
+    bitmaps = D.impact_bitmaps(revenue, ("revenue_month", "industry", "adopted_feature")).cache()
+    for keys in ((), ("industry",), ("revenue_month",), ("adopted_feature", "industry"), ("revenue_month", "adopted_feature")):
+        want = {}
+        for r in rows:
+            cell = dict(zip(("user_id", "revenue_month", "revenue_usd", "industry", "adopted_feature"), r))
+            total, who = want.setdefault(tuple(cell[k] for k in keys), (Decimal(0), set()))
+            want[tuple(cell[k] for k in keys)] = (total + cell["revenue_usd"], who | {cell["user_id"]} - {None})
+        got = {tuple(r[k] for k in keys): (r.total_revenue_usd, r.users) for r in D.rolled_up(bitmaps, *keys).collect()}
+        assert got == {k: (t, len(w)) for k, (t, w) in want.items()}
+    assert D.rolled_up(D.impact_bitmaps(revenue.limit(0), ("revenue_month", "industry")), "industry").count() == 0
+
+
 def test_impact_summary_arpu(revenue_inputs, spark):
     cohorts, rev, adopt = revenue_inputs
     s = V.impact_summary(V.user_revenue_monthly(cohorts, rev, adopt), keys=("revenue_month",)).collect()
