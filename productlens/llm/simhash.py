@@ -213,11 +213,14 @@ def representatives(docs: DataFrame, width: int = 3, radius: int = 2, id_col: st
     numbered, _ = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-numbered")
     # NULLs count for nothing in a hash: where they are is hashed as well
     content = F.xxhash64(*(numbered[c].isNull() for c in docs.columns), *(numbered[c] for c in docs.columns))
-    rows = fingerprints(numbered, width, id_col, text_col, content=content, row=numbered[row])
+    rows, rows_path = written(fingerprints(numbered, width, id_col, text_col, content=content, row=numbered[row]), "simhash-rows")
     unsigned = F.col("fp").bitwiseXOR(F.lit(-1 << 63)).alias("fp")
     distinct, _ = written(rows.groupBy("fp", F.col("id").isNull().alias("unnamed"))
                           .agg(F.min(F.struct("id", unsigned, "content", "row")).alias("first")), "simhash-distinct")
     roots = roots_of(distinct.select("fp").distinct(), radius)
     chosen = (distinct.join(roots, "fp").groupBy("root", "unnamed").agg(F.min("first").alias("first")).select("first.row")
               .unionByName(distinct.join(roots, "fp", "left_anti").select("first.row")))
-    return numbered.join(chosen.withColumnRenamed("row", row), row, "left_semi").select(*docs.columns)
+    # the rows that go are fewer than those that stay and are written, so their size is known to the join of the texts
+    dropped, _ = written(rows.select("row").join(chosen, "row", "left_anti"), "simhash-dropped")
+    drop_folder(docs.sparkSession, rows_path)
+    return numbered.join(dropped.withColumnRenamed("row", row), row, "left_anti").select(*docs.columns)
