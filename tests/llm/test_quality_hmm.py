@@ -32,6 +32,61 @@ def test_repeats():
     assert quality.repeats(code, owner, 3).tolist() == [2, 1, 0]
 
 
+def plain_features(text):
+    """Bucket -> how often, one word and one character gram at a time, in whole numbers of 64 bits."""
+    base, whole = int(quality.BASE), 1 << 64
+    words, counts = re.findall(r"\S+", text), Counter()
+    for k, word in enumerate(words):
+        codes = [ord(c) + 1 for c in f"<{word}>"]
+        values = [sum(c * base ** i for i, c in enumerate(codes)) + 7]
+        for n in quality.NGRAMS:
+            values += [sum(c * base ** i for i, c in enumerate(codes[at: at + n])) * (2 * n + 1) for at in range(len(codes) - n + 1)]
+        counts.update((v * base % whole) >> 47 for v in values)
+        if word in words[max(0, k - quality.LAGS): k]:
+            counts[quality.REPEAT] += 1
+    return counts
+
+
+TEXTS = ["ab ba", "ab ab c", "é東 ab\tba", "", "c c c c", "ba  ab", " long" * 40, "a" * 300]
+
+
+def test_scores_equal_plain_features():
+    rng = np.random.default_rng(3)
+    model = quality.Model(rng.normal(size=quality.BUCKETS + 1), 0.3)
+    for text, score in zip(TEXTS, quality.Scorer(model)(TEXTS)):
+        counts = plain_features(text)
+        logit = sum(model.weight[b] * n for b, n in counts.items()) / max(1, counts.total()) + model.bias
+        assert score == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-12)
+
+
+def test_two_gradient_steps_equal_finite_differences(monkeypatch):
+    """Each step goes against the slope of the cross-entropy: its sum for table and layer, its mean for the bias."""
+    texts, labels = TEXTS[:6], np.array([1, 0, 1, 1, 0, 0])
+    monkeypatch.setattr(quality, "EPOCHS", 2)
+    monkeypatch.setattr(quality, "BATCH", len(texts))
+    got = quality.fit(texts, labels, seed=5)
+    counts = [plain_features(t) for t in texts]
+    used = sorted(set().union(*counts))
+    shares = np.array([[c[b] / max(1, c.total()) for b in used] for c in counts])
+    start = np.random.default_rng(5).uniform(-1 / quality.DIM, 1 / quality.DIM, (quality.BUCKETS + 1, quality.DIM))
+    cut = np.cumsum([len(used) * quality.DIM, quality.DIM * 2])
+    x = np.concatenate([start[used].ravel(), np.zeros(quality.DIM * 2), np.log([1 - labels.mean(), labels.mean()])])
+
+    def loss(x):
+        table, layer, bias = np.split(x, cut)
+        logits = shares @ table.reshape(-1, quality.DIM) @ layer.reshape(-1, 2) + bias
+        return sum(math.log(sum(math.exp(v) for v in row)) - row[y] for row, y in zip(logits.tolist(), labels))
+
+    for rate in (quality.RATE, quality.RATE / 2):
+        slope = np.array([(loss(x + d) - loss(x - d)) / 2e-5 for d in np.eye(len(x)) * 1e-5])
+        slope[cut[1]:] /= len(texts)
+        x = x - rate * slope
+    table, layer, bias = np.split(x, cut)
+    layer = layer.reshape(-1, 2)
+    assert got.weight[used] == pytest.approx(table.reshape(-1, quality.DIM) @ (layer[:, 1] - layer[:, 0]), abs=1e-7)
+    assert got.bias == pytest.approx(bias[1] - bias[0], abs=1e-7)
+
+
 def test_fit_separates_and_is_repeatable():
     rng = np.random.default_rng(0)
     good = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 30)) for _ in range(80)]
