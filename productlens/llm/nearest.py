@@ -7,7 +7,7 @@ hold ``SHARE`` of all vectors (k + 1 at least); the entries of those cells are r
 precision. Ids are read as longs: rows whose id is no number have none.
 
 A cell of more than ``BLOCK`` entries is split by a hash of the row; a task keeps one block and streams the queries that visit it,
-and sends on at most k rows for each. So no task holds a whole cell, and copies of one vector spread over blocks; they
+and of all its blocks sends on the k nearest of each query (of as many queries as ``HELD`` rows allow at once). So no task holds a whole cell, and copies of one vector spread over blocks; they
 lie in the same cell, all of which is searched, so ties go to the smaller id.
 
 Vectors that are NULL, zero, of another length than most, or hold NULL or non-finite components take no part, nor do rows
@@ -32,6 +32,8 @@ SHARE = 0.55
 BLOCK = 8192
 #: numbers that a task's distance table holds at once
 TABLE = 1 << 22
+#: found rows that a task holds at once
+HELD = 1 << 20
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,6 +79,39 @@ def visited(one: np.ndarray, two: np.ndarray, counts: np.ndarray, want: int) ->
     return cells
 
 
+class Nearest:
+    """The k nearest of each query among the rows that a task has found so far, ties to the smaller id."""
+
+    def __init__(self, k: int):
+        self.k, self.size = k, 0
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def take(self, query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> bool:
+        """Add rows; False if those to be kept have grown to more than half of ``HELD`` and should be sent."""
+        self.parts.append((query, vec, score))
+        self.size += len(query)
+        if self.size <= HELD:
+            return True
+        self._merge()
+        return self.size <= HELD // 2
+
+    def _merge(self) -> None:
+        query, vec, score = map(np.concatenate, zip(*self.parts))
+        order = np.lexsort((vec, score, query))
+        query, vec, score = query[order], vec[order], score[order]
+        begin = np.flatnonzero(np.append(True, query[1:] != query[:-1])[: len(query)])
+        place = np.arange(len(query)) - np.repeat(begin, np.diff(np.append(begin, len(query))))
+        near = place < self.k
+        self.parts, self.size = [(query[near], vec[near], score[near])], int(near.sum())
+
+    def sent(self) -> pa.RecordBatch:
+        """All rows that are kept; none are left."""
+        self.parts.append((np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)))
+        self._merge()
+        rows, self.parts, self.size = self.parts[0], [], 0
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], ["query_id", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
             share: float = SHARE) -> DataFrame:
     """(query_id, rank, id, score): the k nearest found of each query row, by Euclidean distance, ties to smaller ids."""
@@ -137,7 +172,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     asked = queries.mapInArrow(visits, f"cell int, block int, visitor int, id long, v {kind}")
 
     def rerank(batches):
-        key, ids, held = None, [], []
+        key, ids, held, nearest = None, [], [], Nearest(k)
         own_ids = own = None
         for b in batches:
             cell, block, visitor, vec = (c.to_numpy() for c in b.columns[:4])
@@ -167,9 +202,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                     best = np.argsort(d, axis=1, kind="stable")[:, :k]
                     score = np.take_along_axis(d, best, axis=1)
                     fine = np.isfinite(score)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(vec[part], best.shape[1])[fine.ravel()]), pa.array(own_ids[best][fine]),
-                         pa.array(score[fine])], ["query_id", "vec_id", "score"])
+                    if not nearest.take(np.repeat(vec[part], best.shape[1])[fine.ravel()], own_ids[best][fine], score[fine]):
+                        yield nearest.sent()
+        yield nearest.sent()
 
     found = (homes.union(asked.select("cell", "block", "visitor", "id", "v")).repartition("cell", "block")
              .sortWithinPartitions("cell", "block", "visitor").mapInArrow(rerank, out_schema))

@@ -270,6 +270,22 @@ def test_nearest_with_few_or_no_rows(spark):
         assert out.count() == 0 and out.columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_a_task_keeps_the_nearest_of_each_query(monkeypatch):
+    monkeypatch.setattr(nearest, "HELD", 40)
+    rng = np.random.default_rng(2)
+    kept, sent, rows = nearest.Nearest(3), [], []
+    for _ in range(30):
+        part = rng.integers(0, 9, 12), rng.integers(0, 50, 12), rng.integers(0, 6, 12) / 2
+        rows += zip(*(c.tolist() for c in part))
+        if not kept.take(*part):
+            sent.append(kept.sent())
+    sent.append(kept.sent())
+    first = lambda found: {q: sorted((s, v) for o, v, s in found if o == q)[:3] for q in range(9)}
+    got = [tuple(r.values()) for b in sent for r in b.to_pylist()]
+    assert len(sent) > 1 and len(got) < len(rows) and first(got) == first(rows)
+    assert kept.sent().num_rows == 0
+
+
 def test_visited_cells_come_in_order():
     rng = np.random.default_rng(3)
     one, two = rng.random(5), rng.random(4)
