@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from productlens.llm.tasks import drop_folder, prepare, shared_folder, slices, texts_of, written
 
 HOT = 10_000
+#: parts of a language that are ranked on their own
+PARTS = 64
 #: text bytes that a task combines at once
 SLICE = 8 << 20
 #: A-Z lower-cased, a tab as a space, what ends a piece as a line break; in UTF-8 these bytes are characters of their own
@@ -221,7 +223,11 @@ def collocations(docs: DataFrame, longest: int = 3, at_least: int = 10, covered:
 
 
 def top(phrases: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` phrases of each language with their rank; a partition sends on no more than that."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+    """The first ``count`` phrases of each language with their rank: first those of each of ``PARTS`` parts of a language,
+    so a task ranks a part of its phrases or at most ``PARTS`` times ``count`` of them."""
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    first = phrases.withColumn("part", part).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= count)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= count)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
