@@ -44,7 +44,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The rules of the URL query, and the sites that its block list names (those that the given tables hold).
-URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 LISTED_SITES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 LISTED_ZONES = ["example.com", "example.net", "example.org"]

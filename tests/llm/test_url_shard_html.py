@@ -97,6 +97,21 @@ def test_registered_url_query(spark):
     assert got == {i: brute(u, listings) for i, u in urls.items()}
 
 
+def test_registered_url_rules_are_those_of_the_contract(spark, tmp_path):
+    contract = "allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/"
+    want = {key: verdict for verdict, key in (r.split(" ") for r in contract.split(", "))}
+    assert {h + p: v for h, p, v in queries.URL_RULES} == want
+    urls = ["http://example.org/en/1", "http://a.Example.org/en/12?x", "http://example.org/en/2", "http://example.org/es/1",
+            "http://x.com/fr/", "http://x.com/de/1"]
+    rules = ["example.org/en/1", "example.org/en/1", "org/", "example.org/es/", "com/fr/", "com/de/"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((r.page_id, r.rule, r.verdict) for r in queries.op4_url_filters(spark, str(tmp_path)).collect())
+    assert got == [(i, r, want[r]) for i, r in enumerate(rules)]
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert sorted(con.sql(queries.ORACLE["op4_url_filters"]).project("page_id, rule, verdict").fetchall()) == got
+
+
 def test_url_sql_equals_query_on_odd_urls(spark, tmp_path):
     site = "casino-win.example.com"
     spelled = [site, site + "./x", "u:p@q@" + site + "/x", "a.B." + site.upper() + ":80?", "casino%2dwin.example%2Ecom/%zz%", "%63ASINO-win.example.com:80",
