@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -133,6 +134,24 @@ def test_session_window_cross_check(spark):
     assert a == b
 
 
+def test_session_window_keeps_events_without_time(spark):
+    rows = [row(1, "a", T0), row(2, "a", T0 + timedelta(hours=2)), row(3, "a", None),       # joins the last session
+            row(4, "b", None), row(5, "b", None), row(6, "b", None),                        # three sessions
+            row(7, "c", T0), row(8, "c", None), row(9, "c", None), row(10, "d", T0),
+            row(11, None, T0), row(12, None, None), row(13, None, None)]
+    rows += [row(100 + i, "e", None) for i in range(2 * W.LOOSE_BLOCK + 1)]
+    events = ev(spark, rows)
+    cols = ["user_id", "session_start_at", "session_end_at", "event_count"]
+    got = Counter(map(tuple, W.session_windows(events).select(cols).collect()))
+    assert got == Counter(map(tuple, W.sessionize(events).select(cols).collect()))
+    assert sum(n * c for (*_, n), c in got.items()) == len(rows)
+    assert {k[0]: c for k, c in got.items() if k[1] is None} == {"b": 3, "c": 1, None: 1, "e": 2 * W.LOOSE_BLOCK + 1}
+    random_events = _random_events(spark, seed=13).withColumn(
+        "event_time_final", F.when(F.crc32("event_id") % 50 != 0, F.col("event_time_final")))
+    assert (Counter(map(tuple, W.session_windows(random_events).select(cols).collect()))
+            == Counter(map(tuple, W.sessionize(random_events).select(cols).collect())))
+
+
 def test_event_count_invariant(spark):
     events = _random_events(spark, seed=3)
     total = W.sessionize(events).agg(F.sum("event_count")).collect()[0][0]
