@@ -3,8 +3,9 @@
 An interval of length d goes to the level whose bins are 2^level >= d long, so
 it meets at most two of them, whatever its length; a point has one bin at each
 level that occurs (at most 63, in practice a few). Points and intervals join on
-(keys, level, bin), a hash or sort-merge join that Spark spreads over tasks,
-and the bounds are checked after it. A pair meets in one bin only, so no pair
+(keys, level, bin), a sort-merge join that Spark spreads over tasks (asked for,
+as Spark's size estimates don't count exploded rows and the bins would be
+broadcast at any size), and the bounds are checked after it. A pair meets in one bin only, so no pair
 is found twice, and no nested loop is planned.
 """
 
@@ -32,5 +33,5 @@ def range_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end
         levels = [0]
     spread = (points.where(F.col(at).isNotNull()).withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels])))
               .withColumn("_bin", _bin(F.col(at), F.col("_level"))))
-    return (spread.join(placed, [*keys, "_level", "_bin"])
+    return (spread.join(placed.hint("merge"), [*keys, "_level", "_bin"])
             .where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_level", "_bin"))

@@ -49,6 +49,17 @@ def test_range_join_plans_no_nested_loop(spark):
     assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_range_join_broadcasts_no_side(spark, tmp_path):
+    # a small file whose rows become many by explode: estimated as small as the file
+    spark.range(100).selectExpr("id", "'a' as k").write.parquet(str(tmp_path / "t"))
+    few = spark.read.parquet(str(tmp_path / "t"))
+    i = few.select("k", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("lo")).selectExpr("k", "bigint(lo) lo", "bigint(lo + 7) hi")
+    joined = range_join(few.selectExpr("k", "id as at"), i, "at", "lo", "hi", keys=("k",))
+    assert joined.count() == 100 * sum(1 for at in range(100) for lo in range(100) if lo <= at < lo + 7)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_account_weeks_follow_the_signup(spark, make_users):
     from datetime import timedelta
 
