@@ -152,6 +152,21 @@ def test_session_window_keeps_events_without_time(spark):
             == Counter(map(tuple, W.sessionize(random_events).select(cols).collect())))
 
 
+def test_only_sessions_at_a_border_are_added_up(spark, ranges):
+    events = _random_events(spark, seed=17)
+    pieces = W.session_pieces(events)
+    whole = pieces.where("whole")
+    assert whole.count() == whole.select("part", "user_id", "seq").distinct().count()
+    parts, batches = pieces.select("part").distinct().count(), 1500 // (7 if ranges == "many" else 10_000) + 1
+    cut = pieces.where("not whole").select("part", "user_id", "seq").distinct().count()
+    assert 0 < cut <= 2 * (parts + batches)
+    plan = W.sessionize(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
+    got = sorted(map(tuple, W.sessionize(events).select("user_id", "session_number", "event_count", "raw_session_id_count").collect()))
+    assert got == sorted(map(tuple, session_forms.sessions_by_user(events).select(
+        "user_id", "session_number", "event_count", "raw_session_id_count").collect()))
+
+
 def test_event_count_invariant(spark):
     events = _random_events(spark, seed=3)
     total = W.sessionize(events).agg(F.sum("event_count")).collect()[0][0]
