@@ -85,8 +85,14 @@ def joined(names: pa.Array, grams: np.ndarray) -> pa.Array:
 
 
 def count_grams(docs: DataFrame, longest: int, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, gram, n): the longest gram of every word occurrence; fewer words than ``longest`` end a piece."""
-    prepare(docs.sparkSession)
+    """(lang, gram, n): the longest gram of every word occurrence; fewer words than ``longest`` end a piece.
+
+    The tasks combine them over ``SLICE`` bytes of text, so after the shuffle they are sorted once and added up in that
+    order, with no hash table on either side. The gram goes first: the sort compares its first bytes as one number.
+    Each task's rows come in this order.
+    """
+    spark = docs.sparkSession
+    prepare(spark)
     rows = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), docs[text_col].alias("text"))
 
     def run(batches):
@@ -100,7 +106,11 @@ def count_grams(docs: DataFrame, longest: int, lang_col: str = "lang", text_col:
                         [pa.repeat(pa.scalar(lang, pa.string()), part.shape[1]), joined(names, part),
                          pa.array(counts[at: at + part.shape[1]], pa.int64())], ["lang", "gram", "n"])
 
-    return rows.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(run, "lang string, gram string, n long")
+    spark.conf.set("spark.sql.execution.replaceHashWithSortAgg", "true")
+    total = F.sum(F.col("n").cast("double")).cast("long")  # exact to 2^53; Spark drops a sort before a sum of integers
+    return (counts.repartition("lang", "gram").sortWithinPartitions("gram", "lang")
+            .groupBy("gram", "lang").agg(total.alias("n")).select("lang", "gram", "n"))
 
 
 def word_count(gram: str) -> Column:
@@ -194,7 +204,7 @@ def collocations(docs: DataFrame, longest: int = 3, at_least: int = 10, covered:
     spark = docs.sparkSession
     folder = shared_folder(spark, "grams")
     counted = count_grams(docs, longest, lang_col, text_col)
-    counted.sortWithinPartitions("lang", "gram").write.option("compression", "zstd").parquet(folder)
+    counted.write.option("compression", "zstd").parquet(folder)
     grams = spark.read.schema(counted.schema).parquet(folder)
     words, words_path = written(grams.groupBy("lang").agg(F.sum("n").alias("n")), "gram-totals")
     total = words.agg(F.sum("n")).first()[0] or 0

@@ -178,6 +178,16 @@ def test_collocations_equal_plain_counting(spark, monkeypatch, longest, at_least
     assert len(got) == len(set(got)) and set(got) == plain_collocations(rows, longest, at_least)
 
 
+def test_grams_are_sorted_once_and_summed_in_order(spark):
+    docs = spark.createDataFrame([(t, lang) for lang, t in phrase_rows()], "text string, lang string")
+    grams = collocations.count_grams(docs, 3)
+    plan = grams._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("SortAggregate") == 1 and plan.count("Exchange") == 1
+    rows = grams.collect()
+    assert grams.columns == ["lang", "gram", "n"] and dict(grams.dtypes)["n"] == "bigint"
+    assert len(rows) == len({(r.lang, r.gram) for r in rows})
+
+
 def test_paths_run_between_branches(spark):
     docs = spark.createDataFrame([(t, lang) for lang, t in phrase_rows()], "text string, lang string")
     grams = collocations.count_grams(docs, 3)
