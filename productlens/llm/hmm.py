@@ -6,7 +6,8 @@ P(word | state) = P(class | state) * (c + 0.1) / (C + 0.1 * (V + 1)) with the cl
 So the model stays as small as classes by states, while the word counts are exact and grow with the corpus.
 
 Steps, each over all documents:
-1. Texts become chunks: token codes, the chunk's distinct words, their training counts. Written to the shared folder.
+1. Texts become chunks: token codes, the chunk's distinct words, their training counts. Written to the shared folder in
+   rows of bounded size, each readable alone: the codes go by class, so a row of texts needs only each class's first.
 2. Word counts are summed by a window over each word's rows; they come back to the chunk's tokens by its number. What
    moves is a row for each distinct word of a chunk, never one for each token.
 3. The states start from clusters of the classes: each class's mean position among random directions of the pieces of
@@ -39,6 +40,14 @@ STATES, CLASSES, ROUNDS, PIECE, DIRECTIONS = 8, 1 << 14, 4, 256, 8
 END = CLASSES
 #: a chunk ends when it has so many tokens or distinct words; tokens that forward-backward works on at once
 CHUNK_TOKENS, CHUNK_WORDS, BLOCK_TOKENS = 2_000_000, 400_000, 100_000
+#: bytes of text that end a chunk, so that long words do not fill memory
+CHUNK_BYTES = 64 << 20
+#: tokens of a chunk's row of texts (more only for a single longer text), bytes of its row of words
+ROW_TOKENS, ROW_BYTES = 1 << 18, 1 << 18
+#: Spark's readers and writers hold a row group at once: by default 100 rows at least, of any size
+CHUNK_FILES = {"parquet.block.size": str(4 << 20), "parquet.page.size.row.check.min": "1",
+               "parquet.page.size.row.check.max": "4", "parquet.enable.dictionary#tokens.list.element": "false",
+               "parquet.enable.dictionary#words.list.element": "false"}
 #: prior weight of uniform starts and moves
 MOVE_PRIOR = 1.0
 #: stands for the end of a text: no word has a space
@@ -51,98 +60,129 @@ def tokens_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     coded = lists.flatten().dictionary_encode()
-    words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-    real = np.fromiter((len(w) > 0 for w in words), bool, len(words))[code] if words else np.empty(0, bool)
-    return words, code[real], owner[real]
-
-
-def word_class(word: str) -> int:
-    return END if word == END_WORD else zlib.crc32(word.encode()) % CLASSES
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    real = (pc.binary_length(coded.dictionary).to_numpy() > 0)[code]
+    return coded.dictionary.to_pylist(), code[real], owner[real]
 
 
 class Chunk:
     """Documents whose tokens share one list of distinct words."""
 
     def __init__(self):
-        self.ids, self.held, self.lengths, self.tokens, self.trained = [], [], [], [], []
-        self.words, self.size = {END_WORD: 0}, 0
+        self.ids, self.held, self.lengths, self.tokens = [], [], [], []
+        self.words, self.size, self.bytes = {END_WORD: 0}, 0, 0
+
+    def full(self) -> bool:
+        return self.size >= CHUNK_TOKENS or len(self.words) >= CHUNK_WORDS or self.bytes >= CHUNK_BYTES
 
     def add(self, batch: pa.RecordBatch) -> None:
         distinct, code, owner = tokens_of(batch.column("text"))
         known = self.words
-        local = np.fromiter((known.setdefault(w, len(known)) for w in distinct), np.int64, len(distinct))
+        local = np.fromiter((known.setdefault(w, len(known)) for w in distinct), np.int32, len(distinct))
         lengths = np.bincount(owner, minlength=batch.num_rows) + 1
-        held = batch.column("held").to_numpy(zero_copy_only=False)
-        tokens = np.zeros(int(lengths.sum()), np.int64)  # 0, the end, at the last place of each text
+        tokens = np.zeros(int(lengths.sum()), np.int32)  # 0, the end, at the last place of each text
         inner = np.ones(tokens.size, bool)
         inner[np.cumsum(lengths) - 1] = False
         tokens[inner] = local[code]
         self.ids.append(batch.column("id"))
-        self.held.append(held)
+        self.held.append(batch.column("held").to_numpy(zero_copy_only=False))
         self.lengths.append(lengths)
         self.tokens.append(tokens)
-        self.trained.append(tokens[np.repeat(~held, lengths)])
         self.size += tokens.size
-
-    def row(self, number: int) -> pa.RecordBatch:
-        lengths, tokens = np.concatenate(self.lengths), np.concatenate(self.tokens)
-        counts = np.bincount(np.concatenate(self.trained), minlength=len(self.words))
-        classes = np.fromiter(map(word_class, self.words), np.int64, len(self.words))
-        ids = pa.concat_arrays(self.ids)
-        one = lambda values: list_array(values, [len(values)])
-        whole = pa.array([0, len(ids)], pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.ListArray.from_arrays(whole, ids),
-             pa.ListArray.from_arrays(whole, pa.array(np.concatenate(self.held))), one(lengths), one(tokens),
-             pa.array([list(self.words)], pa.list_(pa.string())), one(classes), one(counts)],
-            ["chunk", "ids", "held", "lengths", "tokens", "words", "classes", "trained"])
+        self.bytes += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+
+    def rows(self, number: int):
+        """Rows of its words, then rows of its texts; words are numbered by class, then by first sight."""
+        classes = np.array([zlib.crc32(w.encode()) for w in self.words]) % CLASSES
+        classes[0] = END
+        order = np.argsort(classes, kind="stable")
+        classes = classes[order]
+        code = np.empty(len(order), np.int32)
+        code[order] = np.arange(len(order), dtype=np.int32)
+        lengths, held, ids = np.concatenate(self.lengths), np.concatenate(self.held), pa.concat_arrays(self.ids)
+        tokens = code[np.concatenate(self.tokens)]
+        counts = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(code))
+        first = one(np.searchsorted(classes, np.arange(CLASSES + 1)))
+        words = pa.array(list(self.words), pa.string()).take(pa.array(order))
+
+        def row(**columns) -> pa.RecordBatch:
+            full = [columns.get(f.name, pa.nulls(1, f.type)) for f in row_schema(ids.type)]
+            return pa.RecordBatch.from_arrays([pa.array([number]), *full[1:]], schema=row_schema(ids.type))
+
+        for part, _ in blocks(pc.binary_length(words).to_numpy().astype(np.int64) + 12, ROW_BYTES):
+            yield row(at=pa.array([part.start], pa.int32()), words=one(words[part]), kinds=one(classes[part]), trained=one(counts[part]))
+        for texts, inner in blocks(lengths, ROW_TOKENS):
+            yield row(ids=one(ids[texts]), held=one(pa.array(held[texts])), lengths=one(lengths[texts]),
+                      tokens=one(tokens[inner]), classes=first)
+
+
+def one(values) -> pa.ListArray:
+    """A single list of all values; those of numpy become int32."""
+    if isinstance(values, np.ndarray):
+        return list_array(values, [len(values)])
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def row_schema(id_type: pa.DataType) -> pa.Schema:
+    """A row of a chunk holds texts (``classes``: the first code of each class) or words (``at``: the first one's code)."""
+    ints = pa.list_(pa.int32())
+    return pa.schema([("chunk", pa.int64()), ("ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())), ("lengths", ints),
+                      ("tokens", ints), ("classes", ints), ("at", pa.int32()), ("words", pa.list_(pa.string())),
+                      ("kinds", ints), ("trained", ints)])
 
 
 def chunks(docs: DataFrame, folds: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each chunk of documents."""
+    """The rows of each chunk of documents."""
     def run(batches):
         part, number, chunk = TaskContext.get().partitionId(), 0, Chunk()
         for b in slices(batches, "text"):
-            if chunk.size and (chunk.size >= CHUNK_TOKENS or len(chunk.words) >= CHUNK_WORDS):
-                yield chunk.row(part << 32 | number)
+            if chunk.size and chunk.full():
+                yield from chunk.rows(part << 32 | number)
                 number, chunk = number + 1, Chunk()
             chunk.add(b)
         if chunk.size:
-            yield chunk.row(part << 32 | number)
+            yield from chunk.rows(part << 32 | number)
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"),
                        held_out(docs[id_col], folds).alias("held")).mapInArrow(
         run, f"chunk long, ids array<{kind}>, held array<boolean>, lengths array<int>, tokens array<int>,"
-             " words array<string>, classes array<int>, trained array<int>")
+             " classes array<int>, at int, words array<string>, kinds array<int>, trained array<int>")
 
 
 def flat(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
+def class_of_code(first: np.ndarray) -> np.ndarray:
+    """The class of each code, given the first code of each class; the end of a text is the last class's only word."""
+    return np.repeat(np.arange(len(first)), np.diff(np.append(first, first[-1] + 1)))
+
+
 def training_texts(batch: pa.RecordBatch):
-    """(classes, lengths, goes_on) of each chunk's training texts, cut into pieces of at most ``PIECE`` tokens; a piece
+    """(classes, lengths, goes_on) of the training texts of some rows, cut into pieces of at most ``PIECE`` tokens; a piece
     that goes on continues the text of the piece before it."""
+    classes, lengths = [], []
     for i in range(batch.num_rows):
         b = batch.slice(i, 1)
-        classes, lengths, held = flat(b.column("classes"))[flat(b.column("tokens"))], flat(b.column("lengths")), flat(b.column("held"))
-        classes = classes[np.repeat(~held, lengths)]
-        lengths = lengths[~held].astype(np.int64)
-        if not lengths.size:
-            continue
-        parts = -(-lengths // PIECE)
-        size = np.full(int(parts.sum()), PIECE)
-        size[np.cumsum(parts) - 1] = lengths - PIECE * (parts - 1)
-        goes_on = np.ones(size.size, bool)
-        goes_on[np.cumsum(parts) - parts] = False
-        yield classes, size, goes_on
-
-
-def blocks(lengths: np.ndarray):
-    """(pieces, tokens) as slices, of about ``BLOCK_TOKENS`` tokens each."""
+        size, held = flat(b.column("lengths")), flat(b.column("held"))
+        classes.append(class_of_code(flat(b.column("classes")))[flat(b.column("tokens"))[np.repeat(~held, size)]])
+        lengths.append(size[~held].astype(np.int64))
+    classes, lengths = np.concatenate(classes), np.concatenate(lengths)
+    if not lengths.size:
+        return
+    parts = -(-lengths // PIECE)
+    size = np.full(int(parts.sum()), PIECE)
+    size[np.cumsum(parts) - 1] = lengths - PIECE * (parts - 1)
+    goes_on = np.ones(size.size, bool)
+    goes_on[np.cumsum(parts) - parts] = False
+    yield classes, size, goes_on
+
+
+def blocks(lengths: np.ndarray, limit: int | None = None):
+    """(pieces, tokens) as slices, of about ``limit`` (``BLOCK_TOKENS``) tokens each."""
     start = np.cumsum(lengths) - lengths
-    cuts = [0, *(np.flatnonzero(np.diff(start // BLOCK_TOKENS)) + 1).tolist(), lengths.size]
+    cuts = [0, *(np.flatnonzero(np.diff(start // (limit or BLOCK_TOKENS))) + 1).tolist(), lengths.size]
     for a, b in zip(cuts, cuts[1:]):
         yield slice(a, b), slice(int(start[a]), int(start[b - 1] + lengths[b - 1]))
 
@@ -170,15 +210,14 @@ def by_step(classes: np.ndarray, lengths: np.ndarray):
     return order, [classes[start[:n] + t] for t, n in enumerate(alive)]
 
 
-def transfers(model: Model, classes: np.ndarray, lengths: np.ndarray, goes_on: np.ndarray) -> np.ndarray:
+def transfers(model: Model, classes: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Of each piece the matrix (up to scale) that takes the state distribution at the end of the piece before to that at
-    its own end; of a piece that begins a text every row is the latter."""
+    its own end, with ``first`` the model's moves; with its start as the only row, the latter of pieces that begin a text."""
     order, steps = by_step(classes, lengths)
-    first = np.where(goes_on[order][:, None, None], model.move[None], model.start[None, None, :])
     out = first * model.emit[steps[0]][:, None, :]
     for t, s in enumerate(steps[1:], 1):
         n = len(s)
-        out[:n] = (out[:n].reshape(-1, STATES) @ model.move).reshape(n, STATES, STATES) * model.emit[s][:, None, :]
+        out[:n] = (out[:n].reshape(-1, STATES) @ model.move).reshape(n, -1, STATES) * model.emit[s][:, None, :]
         if t % 16 == 0:  # long before anything underflows
             out[:n] /= out[:n].sum(axis=(1, 2), keepdims=True)
     back = np.empty_like(out)
@@ -193,8 +232,13 @@ def carried(model: Model, classes: np.ndarray, lengths: np.ndarray, goes_on: np.
     cut = goes_on | np.append(goes_on[1:], False)
     if not cut.any():
         return before, leave
-    at, inner, own = np.flatnonzero(cut), classes[np.repeat(cut, lengths)], lengths[cut]
-    step = np.concatenate([transfers(model, inner[tokens], own[pieces], goes_on[at][pieces]) for pieces, tokens in blocks(own)])
+    at = np.flatnonzero(cut)
+    step = np.empty((len(at), STATES, STATES))
+    for on, enter in ((False, model.start[None]), (True, model.move)):
+        here, own = np.flatnonzero(goes_on[at] == on), cut & (goes_on == on)
+        inner, size = classes[np.repeat(own, lengths)], lengths[own]
+        for pieces, tokens in blocks(size):
+            step[here[pieces]] = transfers(model, inner[tokens], size[pieces], enter)
     first = np.flatnonzero(~goes_on[at])
     count = np.diff(np.append(first, len(at)))
     order = np.argsort(-count, kind="stable")
@@ -279,12 +323,14 @@ def log10_likelihood(model: Model, classes: np.ndarray, lengths: np.ndarray) ->
 
 def summed(coded: DataFrame, work, width: int) -> np.ndarray:
     """Sums across all tasks of the rows of ``work(classes, lengths, goes_on) -> [(CLASSES + 1 + extra, width), ...]``, given
-    the pieces of a chunk's texts: a bounded table."""
+    the pieces of some texts: a bounded table."""
     names = [f"v{k}" for k in range(width)]
 
     def run(batches):
         total = None
         for b in batches:
+            if not b.num_rows:
+                continue
             for texts in training_texts(b):
                 for part in work(*texts):
                     total = part if total is None else total + part
@@ -293,7 +339,7 @@ def summed(coded: DataFrame, work, width: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(width))],
                                              ["row", *names])
 
-    rows = (coded.select("held", "lengths", "tokens", "classes")
+    rows = (coded.where("tokens is not null").select("held", "lengths", "tokens", "classes")
             .mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
             .groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toPandas())
     out = np.zeros((CLASSES + 1 + 1 + STATES, width))
@@ -359,9 +405,11 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, scores in log10."""
     spark = docs.sparkSession
     prepare(spark)
-    coded, _ = written(chunks(docs, folds, id_col, text_col), "hmm-chunks")
-    each = coded.select("chunk", F.posexplode(F.arrays_zip("words", "classes", "trained")).alias("at", "w")).select(
-        "chunk", "at", F.col("w.words").alias("word"), F.col("w.classes").alias("class"), F.col("w.trained").alias("n"))
+    coded, _ = written(chunks(docs, folds, id_col, text_col), "hmm-chunks", CHUNK_FILES)
+    each = coded.where("words is not null").select(
+        "chunk", "at", F.posexplode(F.arrays_zip("words", "kinds", "trained")).alias("then", "w")).select(
+        "chunk", (F.col("at") + F.col("then")).alias("at"), F.col("w.words").alias("word"), F.col("w.kinds").alias("class"),
+        F.col("w.trained").alias("n"))
     # a word has a row for each chunk at most, so no word is a hot key
     same = Window.partitionBy("word").orderBy("chunk")
     total = F.sum("n").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -379,7 +427,7 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
     def finish(key, chunk: pa.Table, known: pa.Table) -> pa.Table:
         model, class_size = sent.value
         code, lengths = flat(chunk.column("tokens").combine_chunks()), flat(chunk.column("lengths").combine_chunks())
-        classes = flat(chunk.column("classes").combine_chunks())
+        classes = class_of_code(flat(chunk.column("classes").slice(0, 1).combine_chunks()))
         c = np.zeros(len(classes))
         c[known.column("at").to_numpy()] = known.column("c").to_numpy()
         begin = np.cumsum(lengths) - lengths
@@ -393,7 +441,7 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
             "base_score": pa.array(words - lengths * whole),
             "score": pa.array(inner + log10_likelihood(model, classes[code], lengths.astype(np.int64)))})
 
-    out = (coded.select("chunk", "ids", "held", "lengths", "tokens", "classes").groupBy("chunk")
+    out = (coded.where("tokens is not null").select("chunk", "ids", "held", "lengths", "tokens", "classes").groupBy("chunk")
            .cogroup(known.select("of_chunk", "at", "c").groupBy("of_chunk"))
            .applyInArrow(finish, f"id {dict(docs.dtypes)[id_col]}, held_out boolean, n_tokens long, n_known long,"
                                  " train_tokens long, base_score double, score double"))

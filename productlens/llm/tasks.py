@@ -39,11 +39,11 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` as a parquet table in the shared folder (lineage ends there), and its path."""
+def written(df: DataFrame, label: str, options: dict[str, str] | None = None) -> tuple[DataFrame, str]:
+    """``df`` as a parquet table in the shared folder (lineage ends there), and its path; ``options`` are the writer's."""
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

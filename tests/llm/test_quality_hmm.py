@@ -273,3 +273,62 @@ def test_sample_bounds_hold_for_long_texts_and_hot_ids(spark, make_docs):
     kept = [i for i in order[:40] if i != long]
     want = quality.fit([texts[i] for i in kept], np.array([i % 2 for i in kept], np.int64))
     assert len(kept) == 39 and np.isclose(got.bias, want.bias) and np.allclose(got.weight, want.weight, atol=1e-9)
+
+
+def test_rows_of_a_chunk_hold_its_texts_and_words(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(hmm, "ROW_TOKENS", 6)
+    monkeypatch.setattr(hmm, "ROW_BYTES", 60)
+    texts = ["b a b", None, "", "long " * 20, "C c d", "e f g h i j k", "a  a\tz", "é東 東"]
+    held = [False, True, False, False, True, False, False, False]
+    chunk = hmm.Chunk()
+    for part in (slice(0, 3), slice(3, 8)):
+        chunk.add(pa.RecordBatch.from_pydict({"id": list(range(8))[part], "text": pa.array(texts[part], pa.string()), "held": held[part]}))
+    rows = pa.Table.from_batches(chunk.rows(5)).to_pylist()
+    words = [w for r in rows if r["words"] is not None for w in r["words"]]
+    kinds = [k for r in rows if r["words"] is not None for k in r["kinds"]]
+    trained = [n for r in rows if r["words"] is not None for n in r["trained"]]
+    assert [r["at"] for r in rows if r["words"]] == list(np.cumsum([0] + [len(r["words"]) for r in rows if r["words"]])[:-1])
+    assert kinds == [hmm.END if w == " " else zlib.crc32(w.encode()) % hmm.CLASSES for w in words] == sorted(kinds)
+    assert +Counter(dict(zip(words, trained))) == Counter(w for t, h in zip(texts, held) for w in words_and_end(t) if not h)
+    own = [r for r in rows if r["words"] is None]
+    assert [i for r in own for i in r["ids"]] == list(range(8)) and [h for r in own for h in r["held"]] == held
+    for r in own:
+        assert len(r["ids"]) == 1 or sum(r["lengths"][:-1]) < 2 * hmm.ROW_TOKENS
+        assert [words[t] for t in r["tokens"]] == [w for i in r["ids"] for w in words_and_end(texts[i])]
+        assert [hmm.class_of_code(np.array(r["classes"]))[t] for t in r["tokens"]] == [kinds[t] for t in r["tokens"]]
+    assert len(own) > 3 and len(rows) - len(own) > 2 and {r["chunk"] for r in rows} == {5}
+
+
+def test_long_words_end_a_chunk(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(hmm, "CHUNK_BYTES", 1000)
+    chunk = hmm.Chunk()
+    chunk.add(pa.RecordBatch.from_pydict({"id": [1], "text": ["x" * 999], "held": [False]}))
+    assert not chunk.full()
+    chunk.add(pa.RecordBatch.from_pydict({"id": [2], "text": pa.array([None], pa.string()), "held": [False]}))
+    assert not chunk.full()
+    chunk.add(pa.RecordBatch.from_pydict({"id": [3], "text": ["東"], "held": [False]}))
+    assert chunk.full()
+
+
+def test_chunks_are_written_in_small_rows_and_row_groups(spark, monkeypatch):
+    import pyarrow.parquet as pq
+    docs = spark.range(0, 3000, 1, 1).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 2000), k -> hex(pmod(xxhash64(id, k), 300000)))) AS text")
+
+    class Done(Exception):
+        pass
+
+    def first(*args, written=hmm.written):
+        raise Done(written(*args)[1])
+
+    monkeypatch.setattr(hmm, "written", first)
+    with pytest.raises(Done) as done:  # 6 M tokens in one task
+        hmm.score(docs)
+    table = spark.read.parquet(done.value.args[0])
+    most, total = table.selectExpr("max(size(tokens))", "sum(size(tokens)) FILTER (WHERE tokens IS NOT NULL)").first()
+    assert total == 3000 * 2001 and most <= hmm.BLOCK_TOKENS * 3
+    groups = [g for f in table.inputFiles() for meta in [pq.ParquetFile(f.removeprefix("file://")).metadata]
+              for g in map(meta.row_group, range(meta.num_row_groups))]
+    assert max(g.total_byte_size for g in groups) < 10 << 20
